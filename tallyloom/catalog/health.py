@@ -107,7 +107,7 @@ def health_alerts(spark: SparkSession, root: str) -> DataFrame:
 def health_alerts_stream(spark: SparkSession, root: str) -> DataFrame:
     """Alerts over the whole history, raised by the streaming job."""
     events = views.table(spark, root, "events")
-    source = spark.readStream.schema(events.schema).parquet(f"{root.rstrip('/')}/events.parquet")
+    source = spark.readStream.schema(events.schema).parquet(f"{root.rstrip('/')}/events.parque[t]")
     path = scratch_path(spark, "alerts")
     start_alerts(views.as_health_data(source), views.wearable_devices(spark, root), views.users(spark, root),
                  path).awaitTermination()

@@ -21,7 +21,7 @@ QUERY_DIMENSIONS = 64
 QUERY = [1.0 / (i + 1) for i in range(QUERY_DIMENSIONS)]
 INSTRUCTION = "Summarize the maintanance reports in one paragraph"
 
-QUERY_SQL = f"(SELECT list_transform(generate_series(1, {QUERY_DIMENSIONS}), i -> 1.0::DOUBLE / i))"
+QUERY_SQL = f"CAST('{QUERY}' AS DOUBLE[])"
 
 
 def _distance(vector: str, target: str = QUERY_SQL) -> str:
@@ -50,8 +50,8 @@ def _geodesic_sql(lon: float, lat: float, steps: int) -> str:
         u{i} AS (SELECT *, 1 - sa * sa AS c2a, cs - 2 * su1 * su2 / (1 - sa * sa) AS c2m,
             {f} / 16 * (1 - sa * sa) * (4 + {f} * (4 - 3 * (1 - sa * sa))) AS c FROM t{i}),
         g{i + 1} AS (SELECT id, lam0, lam0 + (1 - c) * {f} * sa * (atan2(ss, cs) + c * ss
-            * (c2m + c * cs * (2 * c2m * c2m - 1))) AS lam, su1, cu1, su2, cu2, ss, cs, c2a, c2m FROM u{i})""")
-    parts.append(f"""v AS (SELECT *, c2a * (1 / pow(1 - {f}, 2) - 1) AS uu FROM g{steps}),
+            * (c2m + c * cs * (2 * c2m * c2m - 1))) AS lam, su1, cu1, su2, cu2 FROM u{i})""")
+    parts.append(f"""v AS (SELECT *, c2a * (1 / pow(1 - {f}, 2) - 1) AS uu FROM u{steps - 1}),
     w AS (SELECT *, 1 + uu / 16384 * (4096 + uu * (uu * (320 - 175 * uu) - 768)) AS ka,
         uu / 1024 * (256 + uu * (uu * (74 - 47 * uu) - 128)) AS kb FROM v),
     geodesic AS (SELECT id, CASE WHEN ss = 0 THEN 0 ELSE {a} * (1 - {f}) * ka * (atan2(ss, cs) - kb * ss
