@@ -140,7 +140,7 @@ def health_from_rollup(spark: SparkSession, root: str) -> DataFrame:
     rollup = Rollup(scratch_path(spark, "daily"), "1 day", ("device_id",), tuple(health.DAILY), bucket="day")
     rollup.create(data.where(F.col("time") < F.lit("2024-01-20").cast("timestamp_ntz")))
     as_of = datetime.fromisoformat(AS_OF)
-    rollup.refresh(data, as_of, "7 days", "1 day")
+    rollup.refresh(data, as_of, timedelta(days=7), timedelta(days=1))
     return rounded(rollup.read(data, lo=as_of - timedelta(days=14)))
 
 

@@ -99,7 +99,7 @@ def candles_refreshed_rollup(spark: SparkSession, root: str) -> DataFrame:
     ticks = views.ticks(spark, root)
     early = ticks.where(F.col("time") < F.lit("2024-01-20").cast("timestamp_ntz"))
     rollup = candle_rollup(spark).create(early)
-    rollup.refresh(ticks, datetime.fromisoformat(AS_OF), "3 days", "1 day")
+    rollup.refresh(ticks, datetime.fromisoformat(AS_OF), timedelta(days=3), timedelta(days=1))
     return rollup.read(materialized_only=True)
 
 

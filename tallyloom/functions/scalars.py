@@ -15,11 +15,8 @@ def rounded_int(col: Column) -> Column:
 
 
 def size_pretty(num_bytes: Column) -> Column:
-    """Byte count as text, rounded half up in the first unit that keeps it short.
-
-    Plain bytes are used below 10 units of the next step, every other unit below
-    20 units of the next one.
-    """
+    """Byte count as text, rounded half up, in the first unit that keeps it below
+    ten of the next one."""
     size = num_bytes.cast("long")
 
     def halves(power: int) -> Column:

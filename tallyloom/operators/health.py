@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyloom.functions.measures import Measure, aggregate, finalize, merge_partials, partial_aggregate
+from tallyloom.functions.measures import Measure, aggregate
 from tallyloom.functions.times import add_bucket, instant, interval, shifted, time_type, trailing
+from tallyloom.operators.dimensions import aggregate_by_attribute, join_dimension
 
 DAILY = [
     Measure("avg_heart_rate", "avg", "heart_rate"),
@@ -76,22 +77,16 @@ def hourly_vitals(data: DataFrame, as_of, span: str = "1 day", k: int = 24) -> D
     return hourly.orderBy(F.col("period").desc_nulls_first()).limit(k)
 
 
-def _with_names(per_device: DataFrame, devices: DataFrame, users: DataFrame) -> DataFrame:
-    """Add the owner's name; rows of devices nobody owns drop out.
-
-    The two dimension tables are joined first, without hints: Spark broadcasts
-    them while its size estimate allows and shuffles beyond that.
-    """
-    named = devices.select(F.col("id").alias("device_id"), "user_id").join(
-        users.select(F.col("id").alias("user_id"), "name"), "user_id")
-    return per_device.join(named, "device_id")
+def _owned(devices: DataFrame, users: DataFrame, *columns: str) -> DataFrame:
+    """Device ids with their owner's name; devices nobody owns are absent."""
+    return devices.select(F.col("id").alias("device_id"), "user_id", *columns).join(
+        users.select(F.col("id").alias("user_id"), "name"), "user_id").drop("user_id")
 
 
 def _daily_by_user(data: DataFrame, devices: DataFrame, users: DataFrame, measures: list[Measure]) -> DataFrame:
-    """Daily measures per user name, reduced per device before the joins."""
-    per_device = partial_aggregate(add_bucket(data, "1 day", "time", "date"), ["date", "device_id"], measures)
-    keys = ["date", "name"]
-    return finalize(merge_partials(_with_names(per_device, devices, users), keys, measures), keys, measures)
+    """Daily measures per user name."""
+    return aggregate_by_attribute(add_bucket(data, "1 day", "time", "date"), _owned(devices, users), "device_id",
+                                  ["date"], ["name"], measures)
 
 
 def daily_activity(data: DataFrame, devices: DataFrame, users: DataFrame, as_of, span: str = "7 days") -> DataFrame:
@@ -122,9 +117,7 @@ def alert_status() -> Column:
 
 def label_alerts(data: DataFrame, devices: DataFrame, users: DataFrame) -> DataFrame:
     """Readings worth an alert, with owner, device type and status (batch or stream)."""
-    named = devices.select(F.col("id").alias("device_id"), "user_id", "device_type").join(
-        users.select(F.col("id").alias("user_id"), "name"), "user_id")
-    return data.where(is_alert()).join(named, "device_id").select(
+    return join_dimension(data.where(is_alert()), _owned(devices, users, "device_type"), "device_id").select(
         "time", "name", "device_type", "heart_rate", "blood_pressure_systolic", "blood_pressure_diastolic",
         "spo2", alert_status().alias("alert_status"))
 
@@ -159,16 +152,18 @@ def heart_rate_variability(data: DataFrame, as_of=None, span: str = "24 hours")
 def sleep_and_next_day(data: DataFrame, as_of=None, span: str = "30 days") -> DataFrame:
     """A day's sleep score beside the heart rate of the day after.
 
-    Both sides come from one pass over the readings: each day gives its sleep score
-    for itself and its heart rate to the day before, and the two meet in a join of
-    per-day rows on hashable keys.
+    One pass over the readings gives one row per device and day; the following row
+    of the device is then looked up, and counts if it is the next calendar day. A
+    device has at most one row per day there, however many readings it sent.
     """
-    per_day = aggregate(add_bucket(data, "1 day", "time", "day"), ["day", "device_id"],
+    known = F.col("time").isNotNull() & F.col("device_id").isNotNull()
+    per_day = aggregate(add_bucket(data.where(known), "1 day", "time", "day"), ["day", "device_id"],
                         [Measure("sleep_score", "avg", "sleep_quality_score"),
-                         Measure("next_day_avg_hr", "avg", "heart_rate")])
-    sleep = (per_day.where(F.col("sleep_score").isNotNull())
-             .select(F.col("day").alias("sleep_day"), "device_id", "sleep_score"))
+                         Measure("rate", "avg", "heart_rate")])
+    following = Window.partitionBy("device_id").orderBy("day")
+    paired = (per_day.withColumn("_next", F.lead("day").over(following))
+              .withColumn("next_day_avg_hr", F.lead("rate").over(following))
+              .where(F.col("sleep_score").isNotNull() & (F.col("_next") == shifted("day", "1 day"))))
     if as_of is not None:
-        sleep = sleep.where(F.col("sleep_day") >= instant(as_of, time_type(data, "time")) - interval(span))
-    after = per_day.select(shifted("day", "-1 day").alias("sleep_day"), "device_id", "next_day_avg_hr")
-    return sleep.join(after, ["sleep_day", "device_id"])
+        paired = paired.where(F.col("day") >= instant(as_of, time_type(data, "time")) - interval(span))
+    return paired.select(F.col("day").alias("sleep_day"), "device_id", "sleep_score", "next_day_avg_hr")

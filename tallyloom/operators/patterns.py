@@ -62,7 +62,9 @@ def exchange_like(vinout: DataFrame, min_in: int, min_out: int) -> DataFrame:
     `in_degree` and `out_degree` count transactions; `sender_links` and
     `receiver_links` add up the distinct counterparties of each of them.
     """
-    parties = vinout.select(*TX, "type", "address").distinct()
+    # the same filter on both uses below, so that Spark runs this shuffle once
+    known = vinout.where(F.col("txid").isNotNull() & F.col("timestamp").isNotNull())
+    parties = known.select(*TX, "type", "address").distinct()
     per_tx = parties.groupBy(*TX).agg(F.count_if(is_input()).alias("senders"),
                                       F.count_if(is_output()).alias("receivers"))
     received, spent = F.when(is_output(), F.col("senders")), F.when(is_input(), F.col("receivers"))

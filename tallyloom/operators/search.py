@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tallyloom.functions.scalars import chat_messages
-from tallyloom.functions.vectors import as_matrix, cosine_distance, cosine_to
+from tallyloom.functions.vectors import as_matrix, cosine_to
 
 # Largest block of query vectors sent to every task of one pass.
 QUERY_BLOCK_BYTES = 8 * 1024 * 1024
@@ -36,12 +36,14 @@ def nearest_to_row(df: DataFrame, condition: Column, k: int = 5, vector_col: str
                    id_col: str = "id", digits: int = 6) -> DataFrame:
     """The k rows closest to the stored vector of the first row (by id) meeting `condition`.
 
-    The row itself is part of the answer. The vector comes from a scalar subquery,
-    so it is read once and no join is made.
+    The row itself is part of the answer. That one vector is fetched first, so the
+    search is the same map and top-k as for a literal; without such a row every
+    distance is null.
     """
-    target = df.where(condition).orderBy(id_col).limit(1).select(vector_col).scalar()
-    with_target = df.withColumn("_target", target)
-    return _closest(with_target, cosine_distance(F.col(vector_col), F.col("_target")), k, id_col, digits).drop("_target")
+    found = df.where(condition).orderBy(id_col).select(vector_col).first()
+    if found is None or found[0] is None:
+        return _closest(df, F.lit(None).cast("double"), k, id_col, digits)
+    return nearest(df, [float(x) for x in found[0]], k, vector_col, id_col, digits)
 
 
 def _task_topk(query_ids: list, targets: np.ndarray, k: int):

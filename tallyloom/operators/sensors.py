@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallyloom.functions.measures import Measure, aggregate, finalize, merge_partials, partial_aggregate
+from tallyloom.functions.measures import Measure, aggregate
 from tallyloom.functions.times import add_bucket, trailing
+from tallyloom.operators.dimensions import aggregate_by_attribute
 
 AVERAGES = [Measure("avg_temp", "avg", "temperature"), Measure("avg_cpu", "avg", "cpu")]
 SUMMARY = [Measure("avg_temp", "avg", "temperature"), Measure("last_temp", "last", "temperature", "time"),
@@ -31,13 +32,7 @@ def summary_of_sensor(data: DataFrame, sensor_id: int, as_of, span: str, width:
 
 
 def summary_by_location(data: DataFrame, sensors: DataFrame, width: str = "30 minutes") -> DataFrame:
-    """Summary per location of the sensors.
-
-    Readings are reduced to one partial row per bucket and sensor before they meet
-    the sensor table: the join and its shuffle see the reduced rows only, and a hot
-    sensor is already down to one row per bucket.
-    """
-    per_sensor = partial_aggregate(add_bucket(data, width, "time", "period"), ["period", "sensor_id"], SUMMARY)
-    located = per_sensor.join(sensors.select(F.col("id").alias("sensor_id"), "location"), "sensor_id")
-    keys = ["location", "period"]
-    return finalize(merge_partials(located, keys, SUMMARY), keys, SUMMARY)
+    """Summary per location of the sensors."""
+    located = sensors.select(F.col("id").alias("sensor_id"), "location")
+    return aggregate_by_attribute(add_bucket(data, width, "time", "period"), located, "sensor_id",
+                                  ["period"], ["location"], SUMMARY)

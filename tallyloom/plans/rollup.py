@@ -3,7 +3,8 @@
 A roll-up keeps *partial* aggregates per bucket and key (sum and count for an
 average, value and time for first/last), partitioned by the day of the bucket. Its
 watermark is a bucket edge: buckets below it are read from the store, rows at or
-above it are aggregated live, so no bucket is counted in both.
+above it are aggregated live, so no bucket is counted in both. The newest bucket of
+the first build may still be filling, so the watermark starts at its lower edge.
 
 A row that arrives late, below the watermark, is seen once a refresh covers its
 bucket.
@@ -12,7 +13,7 @@ bucket.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -20,7 +21,11 @@ from tallyloom.functions.measures import Measure, finalize, merge_partials, part
 from tallyloom.functions.times import add_bucket, instant, interval, time_range, time_type, utc_day
 from tallyloom.sources.files import Folder
 
-LOG_SCHEMA = "at timestamp, action string, edge string"
+LOG_SCHEMA = "at timestamp, action string, edge string, stored string"
+
+
+def _day(at: datetime) -> datetime:
+    return at.replace(hour=0, minute=0, second=0, microsecond=0)
 
 
 @dataclass(frozen=True)
@@ -48,20 +53,19 @@ class Rollup:
 
     # -- log: a refresh first lowers the watermark, then raises it -------------
 
-    def _record(self, spark: SparkSession, action: str, edge: datetime | None) -> None:
-        row = (datetime.now(), action, edge.isoformat(sep=" ") if edge else None)
+    def _record(self, spark: SparkSession, action: str, edge: datetime | None, stored: datetime | None) -> None:
+        row = (datetime.now(), action, *[at.isoformat(sep=" ") if at else None for at in (edge, stored)])
         spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.path}/log")
 
+    def _edges(self, spark: SparkSession, done_only: bool = False) -> tuple[datetime | None, datetime | None]:
+        """Watermark and end of the stored buckets, as of the last (finished) action."""
+        log = spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/log")
+        last = (log.where("action = 'done'") if done_only else log).orderBy(F.desc("at")).first()
+        return tuple(datetime.fromisoformat(at) if at else None for at in (last.edge, last.stored))
+
     def watermark(self, spark: SparkSession) -> datetime | None:
         """Edge below which the store is complete; while a refresh runs, its lower edge."""
-        last = spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/log").orderBy(F.desc("at")).first()
-        return datetime.fromisoformat(last.edge) if last and last.edge else None
-
-    def _top(self, spark: SparkSession) -> datetime | None:
-        """Highest edge ever reached."""
-        last = (spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/log").where("action = 'done'")
-                .orderBy(F.desc("at")).first())
-        return datetime.fromisoformat(last.edge) if last and last.edge else None
+        return self._edges(spark)[0]
 
     # -- writing ------------------------------------------------------------
 
@@ -71,14 +75,13 @@ class Rollup:
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(self._bucket_day).parquet(f"{self.path}/store"))
 
-    def _edge(self, spark: SparkSession, at: datetime | None, dtype: T.DataType, step: int = 0) -> datetime | None:
-        """Start of the bucket holding `at`, or of a later bucket."""
-        if at is None:
-            return None
-        one = spark.range(1).select(instant(at, dtype).alias("t"))
-        start = add_bucket(one, self.width, "t", "b").select(
-            (F.col("b") + interval(self.width) * step if step else F.col("b")).cast("string").alias("b"))
-        return datetime.fromisoformat(start.first()["b"])
+    def _edge(self, spark: SparkSession, at: datetime, dtype: T.DataType, up: bool = False) -> datetime:
+        """Bucket edge at or before `at`, or with `up` the one at or after it."""
+        one = add_bucket(spark.range(1).select(instant(at, dtype).alias("t")), self.width, "t", "b")
+        row = one.select(F.col("b").cast("string").alias("b"),
+                         (F.col("b") + interval(self.width)).cast("string").alias("n")).first()
+        start, following = datetime.fromisoformat(row["b"]), datetime.fromisoformat(row["n"])
+        return following if up and start != at else start
 
     def create(self, source: DataFrame) -> "Rollup":
         """Build the store from the whole source."""
@@ -86,61 +89,55 @@ class Rollup:
         if Folder(spark, f"{self.path}/log").exists():
             raise FileExistsError(self.path)
         self._store(self._partials(source.where(F.col(self.time_col).isNotNull())), dtype)
-        last = spark.read.parquet(f"{self.path}/store").agg(F.max(self.bucket).cast("string").alias("b")).first()["b"]
-        self._record(spark, "done", self._edge(spark, datetime.fromisoformat(last), dtype, 1) if last else None)
+        newest, after = None, None
+        if Folder(spark, f"{self.path}/store").names():
+            last = spark.read.parquet(f"{self.path}/store").agg(F.max(self.bucket).cast("string").alias("b")).first()["b"]
+            newest = datetime.fromisoformat(last)
+            after = self._edge(spark, newest + timedelta(microseconds=1), dtype, up=True)
+        self._record(spark, "done", newest, after)
         return self
 
-    def refresh(self, source: DataFrame, as_of: datetime, start_offset: str, end_offset: str) -> None:
+    def refresh(self, source: DataFrame, as_of: datetime, start_offset: timedelta, end_offset: timedelta) -> None:
         """Recompute the buckets inside ``[as_of - start_offset, as_of - end_offset)``.
 
         The range is widened down to the watermark, so that no bucket is left out,
-        and to whole day partitions, which are what gets replaced. The watermark is
-        lowered before and raised after the write: a refresh cut short leaves reads
-        on the raw rows until the next one.
+        and to whole days, since day partitions are what gets replaced. The
+        watermark is lowered before and raised after the write: a refresh cut short
+        leaves reads on the raw rows until the next one.
         """
         spark, dtype = source.sparkSession, time_type(source, self.time_col)
-        now = instant(as_of, dtype)
-        span = spark.range(1).select((now - interval(start_offset)).cast("string").alias("lo"),
-                                     (now - interval(end_offset)).cast("string").alias("hi")).first()
-        lo, hi = datetime.fromisoformat(span.lo), datetime.fromisoformat(span.hi)
-        if self._edge(spark, lo, dtype) != lo:
-            lo = self._edge(spark, lo, dtype, 1)
-        hi = self._edge(spark, hi, dtype)
-        mark, top = self.watermark(spark), self._top(spark)
-        if mark is not None:
-            lo = min(lo, mark)
-        elif hi > lo:
+        lo = self._edge(spark, as_of - start_offset, dtype, up=True)
+        hi = self._edge(spark, as_of - end_offset, dtype)
+        mark = self.watermark(spark)
+        top, stored = self._edges(spark, done_only=True)
+        if mark is None:
             first = source.agg(F.min(self.time_col).cast("string").alias("t")).first()["t"]
             lo = min(lo, self._edge(spark, datetime.fromisoformat(first), dtype)) if first else lo
+        else:
+            lo = min(lo, mark)
         if hi <= lo:
             return
-        # whole day partitions, and whole buckets: a bucket longer than a day starts on its own day
-        day_lo = self._edge(spark, lo.replace(hour=0, minute=0, second=0, microsecond=0), dtype)
-        day_hi = hi if hi == hi.replace(hour=0, minute=0, second=0, microsecond=0) else \
-            self._next_day(hi)
-        self._record(spark, "begin", min(day_lo, mark) if mark else None)
-        rows = time_range(source, self.time_col, lo=day_lo, hi=day_hi)
-        self._store(self._partials(rows), dtype)
+        day_lo, day_hi = _day(lo), _day(hi) if hi == _day(hi) else _day(hi) + timedelta(days=1)
+        # every bucket starting on these days, from all of its rows
+        rows = time_range(source, self.time_col, lo=day_lo, hi=instant(day_hi, dtype) + interval(self.width))
+        partials = self._partials(rows).where(
+            (F.col(self.bucket) >= instant(day_lo, dtype)) & (F.col(self.bucket) < instant(day_hi, dtype)))
+        lowered = min(mark, self._edge(spark, day_lo, dtype, up=True)) if mark else None
+        self._record(spark, "begin", lowered, lowered)
+        self._store(partials, dtype)
         self._drop_empty_days(spark, rows, day_lo, day_hi, dtype)
-        self._record(spark, "done", max(hi, top) if top else hi)
-
-    @staticmethod
-    def _next_day(at: datetime) -> datetime:
-        return at.replace(hour=0, minute=0, second=0, microsecond=0) + timedelta(days=1)
+        self._record(spark, "done", max(hi, top) if top else hi, max(hi, stored) if stored else hi)
 
     def _drop_empty_days(self, spark: SparkSession, rows: DataFrame, lo: datetime, hi: datetime,
                          dtype: T.DataType) -> None:
         """Remove stored days of the range whose raw rows are all gone."""
         prefix = f"{self._bucket_day}="
-        stored = [n[len(prefix):] for n in Folder(spark, f"{self.path}/store").names(prefix)]
-        inside = [d for d in stored if lo.date().isoformat() <= d < hi.isoformat(sep=" ")]
-        if not inside:
-            return
-        bucketed = add_bucket(rows, self.width, self.time_col, "b")
-        full = {r.d.isoformat() for r in bucketed.select(utc_day(F.col("b"), dtype).alias("d")).distinct().collect()}
-        for day in inside:
-            if day not in full:
-                Folder(spark, f"{self.path}/store/{prefix}{day}").delete()
+        stored = {date.fromisoformat(n[len(prefix):]) for n in Folder(spark, f"{self.path}/store").names(prefix)}
+        inside = {d for d in stored if lo.date() <= d < hi.date()}
+        if inside:
+            days = add_bucket(rows, self.width, self.time_col, "b").select(utc_day(F.col("b"), dtype).alias("d"))
+            for day in inside - {r.d for r in days.distinct().collect()}:
+                Folder(spark, f"{self.path}/store/{prefix}{day.isoformat()}").delete()
 
     # -- reading ------------------------------------------------------------
 
@@ -153,13 +150,12 @@ class Rollup:
         if source is None and not materialized_only:
             raise ValueError("a live read needs the source table")
         spark = source.sparkSession if source is not None else SparkSession.active()
-        mark = self.watermark(spark)
+        mark, stored = self._edges(spark)
+        end = stored if materialized_only else mark
         parts = []
-        if Folder(spark, f"{self.path}/store").names():
-            stored = spark.read.parquet(f"{self.path}/store")
-            if mark is not None:
-                kept = time_range(stored, self.bucket, lo=lo, hi=mark)
-                parts.append(kept.drop(self._bucket_day))
+        if end is not None and Folder(spark, f"{self.path}/store").names():
+            kept = time_range(spark.read.parquet(f"{self.path}/store"), self.bucket, lo=lo, hi=end)
+            parts.append(kept.drop(self._bucket_day))
         if not materialized_only:
             live = source
             dtype = time_type(source, self.time_col)

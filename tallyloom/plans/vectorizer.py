@@ -69,16 +69,21 @@ class Vectorizer:
         gone = (items.where("content_hash IS NOT NULL")
                 .join(source.select(F.col(self.id_col).alias("id")), "id", "left_anti")
                 .select("id", F.lit(None).cast("string").alias("content_hash")))
-        entries = todo.unionByName(gone)
+        number = (items.agg(F.max("run").alias("n")).first()["n"] or 0) + 1
+        # written once, so that the source is hashed once and both steps see the same ids
+        listed = f"{self.path}/pending/run={number}"
+        todo.unionByName(gone).write.mode("overwrite").parquet(listed)
+        entries = spark.read.parquet(listed)
         if entries.isEmpty():
+            Folder(spark, listed).delete()
             return 0
-        number = (items.agg(F.max("run").alias("n")).first()["n"] or 0) + 1
         texts = (source.select(F.col(self.id_col).alias("id"), F.col(self.text_col).alias("text"))
-                 .join(todo.select("id"), "id", "left_semi"))
+                 .join(entries.where("content_hash IS NOT NULL").select("id"), "id", "left_semi"))
         chunks = split_column(texts, "text", self.chunk_size, self.chunk_overlap, self.separators)
         embed_column(chunks, "chunk", "embedding", self.provider).write.mode("overwrite").parquet(
             f"{self.path}/chunks/run={number}")
         entries.write.mode("overwrite").parquet(f"{self.path}/items/run={number}")
+        Folder(spark, listed).delete()
         return number
 
     def view(self, source: DataFrame) -> DataFrame:

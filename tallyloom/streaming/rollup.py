@@ -61,6 +61,4 @@ class StreamRollup:
 
     def read(self, spark: SparkSession) -> DataFrame:
         changes = spark.read.parquet(f"{self.path}/changes")
-        names = [m.name for m in self.measures]
-        newest = changes.groupBy(*self._group).agg(F.max_by(F.struct(*names), "batch").alias("row"))
-        return newest.select(*self._group, "row.*")
+        return changes.groupBy(*self._group).agg(*[F.max_by(m.name, "batch").alias(m.name) for m in self.measures])

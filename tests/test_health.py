@@ -1,0 +1,92 @@
+from __future__ import annotations
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyloom.functions.measures import Measure, aggregate, finalize, merge_partials, partial_aggregate
+from tallyloom.operators import health, market, sensors
+from tallyloom.operators.dimensions import aggregate_by_attribute
+from tallyloom.sources import views
+from tests.conftest import DATA
+
+T0 = datetime(2024, 1, 1)
+
+
+def readings(spark, *rows):
+    """(minutes after T0, device, heart rate, systolic, spo2, sleep)"""
+    data = [(T0 + timedelta(minutes=m), d, hr, sys, 80, ox, 36.5, 100, sleep, "light") for m, d, hr, sys, ox, sleep in rows]
+    from tallyloom.catalog.health import HEALTH_SCHEMA
+    return spark.createDataFrame(data, HEALTH_SCHEMA)
+
+
+def test_partials_merge_to_the_same_values(spark, rows):
+    data = spark.createDataFrame([(i % 3, i % 2, float(i * i % 17) if i % 5 else None, i) for i in range(200)],
+                                 "k int, g int, x double, t long")
+    measures = [Measure("a", "avg", "x"), Measure("s", "sum", "x"), Measure("lo", "min", "x"), Measure("hi", "max", "x"),
+                Measure("n", "count"), Measure("nx", "count", "x"), Measure("f", "first", "x", "t"),
+                Measure("l", "last", "x", "t"), Measure("sd", "stddev", "x")]
+    direct = aggregate(data, ["k"], measures)
+    merged = finalize(merge_partials(partial_aggregate(data, ["k", "g"], measures), ["k"], measures), ["k"], measures)
+    for a, b in zip(rows(direct), rows(merged), strict=True):
+        assert a == pytest.approx(b)
+
+
+def test_one_row_deviation_is_null(spark):
+    row = health.heart_rate_variability(readings(spark, (0, 1, 70, 120, 98.0, None))).first()
+    assert row.hr_variability is None and row.hr_range == 0
+
+
+def test_large_dimension_gives_the_same_answer(spark, rows):
+    data = views.sensor_data(spark, DATA).withColumn("period", F.col("time").cast("date").cast("timestamp_ntz"))
+    dim = views.sensors(spark, DATA).select(F.col("id").alias("sensor_id"), "location")
+    small, large = (aggregate_by_attribute(data, dim, "sensor_id", ["period"], ["location"], sensors.SUMMARY, n)
+                    for n in (10_000, 0))
+    for a, b in zip(rows(small), rows(large), strict=True):
+        assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:])
+
+
+def test_abnormal_precedence(spark):
+    data = readings(spark, (0, 1, 120, 120, 98.0, None), (0, 1, 50, 120, 98.0, None), (2880, 1, 50, 120, 98.0, None),
+                    (2880, 1, 99, 120, 98.0, None), (2880, 1, 60, 120, 98.0, None))
+    as_of = T0 + timedelta(days=2)
+    assert [r.condition for r in health.abnormal_heart_rate(data, as_of).orderBy("time").collect()] == [
+        "Tachycardia", "Bradycardia"]
+    assert health.abnormal_heart_rate(data, as_of, strict=True).count() == 1
+
+
+def test_alerts_first_match_wins_and_unmapped_devices_drop(spark):
+    data = readings(spark, (0, 1, 130, 150, 90.0, None), (0, 2, 80, 141, 90.0, None), (0, 3, 80, 120, 94.9, None),
+                    (0, 4, 100, 120, 98.0, None), (0, 4, 99, 140, 95.0, None), (0, 99, 130, 150, 90.0, None))
+    devices = spark.createDataFrame([(i, i, "ring") for i in range(1, 5)], "id int, user_id int, device_type string")
+    users = spark.createDataFrame([(i, f"u{i}") for i in range(1, 5)], "id int, name string")
+    got = {r.name: r.alert_status for r in health.health_alerts(data, devices, users, T0).collect()}
+    assert got == {"u1": "Critical: High Heart Rate", "u2": "Warning: High BP", "u3": "Critical: Low Oxygen", "u4": "Normal"}
+
+
+def test_sleep_needs_the_very_next_day(spark):
+    day = 24 * 60
+    data = readings(spark, (0, 1, 60, 120, 98.0, 80.0), (day, 1, 70, 120, 98.0, None), (3 * day, 1, 90, 120, 98.0, 50.0),
+                    (day, 2, 75, 120, 98.0, 10.0))
+    got = health.sleep_and_next_day(data).collect()
+    assert [tuple(r) for r in got] == [(T0, 1, 80.0, 70.0)]
+
+
+def test_candles_keep_a_null_last_value_and_a_null_time(spark):
+    from tallyloom.catalog.market import TICK_SCHEMA
+    data = [(T0, "A", 1.0, 5), (T0 + timedelta(hours=1), "A", 3.0, None), (None, "A", 9.0, 1)]
+    ticks = spark.createDataFrame(data, TICK_SCHEMA.replace("decimal(18,2)", "int"))
+    got = {r.bucket: r for r in market.candles(ticks).collect()}
+    assert (got[T0].open, got[T0].close, got[T0].day_volume) == (1.0, 3.0, None)
+    assert got[None].high == 9.0
+    assert market.candles(ticks.limit(0)).count() == 0
+
+
+def test_newest_ticks_survive_a_hot_symbol(spark):
+    hot = spark.range(5000).select((F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id"))).alias("time"),
+                                   F.lit("HOT").alias("symbol"), F.col("id").cast("double").alias("price"),
+                                   F.lit(1).alias("day_volume"))
+    ticks = hot.unionByName(hot.limit(3).withColumn("symbol", F.lit("COLD")))
+    assets = spark.createDataFrame([("COLD", "cold")], "symbol string, name string")
+    assert market.ticks_with_asset(ticks, assets).count() == 3

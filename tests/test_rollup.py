@@ -1,0 +1,115 @@
+from __future__ import annotations
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyloom.catalog.market import TICK_SCHEMA
+from tallyloom.functions.measures import Measure, aggregate
+from tallyloom.functions.times import add_bucket
+from tallyloom.operators import market
+from tallyloom.plans.rollup import Rollup
+from tallyloom.sources.readers import literal_rows
+
+START = datetime(2024, 1, 1)
+MEASURES = (*market.CANDLE, Measure("mean", "avg", "price"), Measure("n", "count"), Measure("sd", "stddev", "price"))
+
+
+def ticks(spark, days, step=17):
+    return spark.range(days * 24 * 60 // step).select(
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(mins=(F.col("id") * step).cast("int"))).alias("time"),
+        F.concat(F.lit("S"), F.col("id") % 2).alias("symbol"), (F.col("id") * 7 % 101).cast("double").alias("price"),
+        (F.col("id") % 13).cast("decimal(18,2)").alias("day_volume"))
+
+
+def before(df, day):
+    return df.where(F.col("time") < F.lit(str(START + timedelta(days=day))).cast("timestamp_ntz"))
+
+
+def same(rows, got, want):
+    for a, b in zip(rows(got), rows(want), strict=True):
+        assert a[:7] == b[:7] and a[7:] == pytest.approx(b[7:])
+
+
+def plain(df, width):
+    return aggregate(add_bucket(df, width, "time", "bucket"), ["bucket", "symbol"], list(MEASURES))
+
+
+@pytest.mark.parametrize("width", ["1 day", "30 minutes", "7 hours", "7 days"])
+def test_live_read_equals_full_recompute(spark, tmp_path, rows, width):
+    data = ticks(spark, 9)
+    rollup = Rollup(str(tmp_path / "r"), width, ("symbol",), MEASURES).create(before(data, 4))
+    same(rows, rollup.read(data), plain(data, width))
+    for _ in range(2):
+        rollup.refresh(data, START + timedelta(days=9), timedelta(days=3), timedelta(days=1, hours=5))
+        same(rows, rollup.read(data), plain(data, width))
+    if width == "7 days":  # no bucket of this width ends in the refreshed range
+        return
+    stored = rollup.read(materialized_only=True)
+    mark = rollup._edges(spark)[1]
+    assert START + timedelta(days=9) - timedelta(days=1, hours=5) >= mark > START + timedelta(days=6)
+    same(rows, stored, plain(data, width).where(F.col("bucket") < F.lit(str(mark)).cast("timestamp_ntz")))
+
+
+def test_new_row_shows_without_a_refresh(spark, tmp_path):
+    data = ticks(spark, 3)
+    rollup = Rollup(str(tmp_path / "r"), "1 day", ("symbol",), MEASURES).create(data)
+    newer = data.unionByName(literal_rows(spark, [("2024-01-05 00:00:00", "S1", "120000", "30750246")], TICK_SCHEMA))
+    live = rollup.read(newer, lo=START + timedelta(days=3)).collect()
+    assert [(r.bucket.day, r.close) for r in live] == [(5, 120000.0)]
+    assert rollup.read(materialized_only=True).where("high > 1000").count() == 0
+
+
+def test_late_row_needs_a_refresh_that_covers_it(spark, tmp_path):
+    data = ticks(spark, 6)
+    rollup = Rollup(str(tmp_path / "r"), "1 day", ("symbol",), MEASURES).create(data)
+    late = data.unionByName(literal_rows(spark, [("2024-01-04 12:00:00", "S0", "5000", "1")], TICK_SCHEMA))
+    assert rollup.read(late).where("high = 5000").count() == 0
+    rollup.refresh(late, START + timedelta(days=6), timedelta(days=1), timedelta(0))
+    assert rollup.read(late).where("high = 5000").count() == 0
+    assert rollup.watermark(spark) == START + timedelta(days=6)
+    rollup.refresh(late, START + timedelta(days=6), timedelta(days=4), timedelta(days=1))
+    assert rollup.read(late).where("high = 5000").count() == 1
+
+
+def test_interrupted_refresh_reads_raw_rows(spark, tmp_path, rows, monkeypatch):
+    data = ticks(spark, 6)
+    rollup = Rollup(str(tmp_path / "r"), "1 day", ("symbol",), MEASURES).create(before(data, 5))
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Rollup, "_store", fail)
+        with pytest.raises(RuntimeError):
+            rollup.refresh(data, START + timedelta(days=6), timedelta(days=3), timedelta(0))
+    assert rollup.watermark(spark) == START + timedelta(days=3)
+    same(rows, rollup.read(data), plain(data, "1 day"))
+    same(rows, rollup.read(materialized_only=True), plain(before(data, 3), "1 day"))
+    rollup.refresh(data, START + timedelta(days=6), timedelta(days=1), timedelta(0))
+    same(rows, rollup.read(materialized_only=True), plain(data, "1 day"))
+
+
+def test_deleted_days_leave_the_store(spark, tmp_path, rows):
+    data = ticks(spark, 6)
+    rollup = Rollup(str(tmp_path / "r"), "1 day", ("symbol",), MEASURES).create(data)
+    kept = data.where("day(time) <> 5")
+    rollup.refresh(kept, START + timedelta(days=6), timedelta(days=3), timedelta(0))
+    same(rows, rollup.read(materialized_only=True), plain(kept, "1 day"))
+
+
+def test_empty_source(spark, tmp_path, rows):
+    data = ticks(spark, 2)
+    rollup = Rollup(str(tmp_path / "r"), "1 day", ("symbol",), MEASURES).create(data.limit(0))
+    assert rollup.watermark(spark) is None
+    same(rows, rollup.read(data), plain(data, "1 day"))
+    rollup.refresh(data, START + timedelta(days=2), timedelta(days=1), timedelta(0))
+    same(rows, rollup.read(materialized_only=True), plain(data, "1 day"))
+
+
+def test_widen(spark, tmp_path, rows):
+    data = ticks(spark, 5)
+    rollup = Rollup(str(tmp_path / "r"), "1 hour", ("symbol",), MEASURES).create(data)
+    stored = spark.read.parquet(f"{rollup.path}/store").drop("bucket_day")
+    same(rows, rollup.widen(stored, "1 day"), plain(data, "1 day"))
