@@ -130,9 +130,11 @@ class TimeTable:
     def _with_day(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.day_col, utc_day(F.col(self.time_col), self.struct[self.time_col].dataType))
 
-    def _write(self, df: DataFrame, path: str, mode: str, codec: str = "snappy", bloom: bool = False) -> None:
-        writer = df.write.mode(mode).partitionBy(self.day_col).option("compression", codec)
-        if bloom:
+    def _write(self, df: DataFrame, path: str, mode: str, packed: bool = False) -> None:
+        writer = df.write.mode(mode).partitionBy(self.day_col).option("compression", "zstd" if packed else "snappy")
+        if packed:
+            # version 2 pages store sorted times as differences
+            writer = writer.option("parquet.writer.version", "v2")
             for column in self.bloom:
                 writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
         writer.parquet(path)
@@ -212,7 +214,7 @@ class TimeTable:
         done = self._compacted(spark)
         every = self._days(spark, f"{self.path}/hot")
         todo = [d for d in (every if days is None else days) if not self._is_compacted(spark, d, done)]
-        return self._rewrite(spark, todo, "compact", self._arranged, "zstd", True)
+        return self._rewrite(spark, todo, "compact", self._arranged, True)
 
     def compact_older_than(self, spark: SparkSession, older_than: timedelta, as_of: datetime) -> list[date]:
         return self.compact(spark, self._hot_before(spark, older_than, as_of))
@@ -222,17 +224,16 @@ class TimeTable:
         done = self._compacted(spark)
         every = self._days(spark, f"{self.path}/hot")
         todo = [d for d in (every if days is None else days) if d in done]
-        return self._rewrite(spark, todo, "expand", lambda df: df, "snappy", False)
+        return self._rewrite(spark, todo, "expand", lambda df: df, False)
 
-    def _rewrite(self, spark: SparkSession, days: list[date], action: str, arrange, codec: str,
-                 bloom: bool) -> list[date]:
+    def _rewrite(self, spark: SparkSession, days: list[date], action: str, arrange, packed: bool) -> list[date]:
         self.recover(spark)
         if not days:
             return []
         swap = f"{self.path}/swap/{uuid.uuid4().hex}"
         before = {d: self._hot_chunk(spark, d).files() for d in days}
         rows = self._hot(spark).where(F.col(self.day_col).isin(days))
-        self._write(arrange(rows.hint("rebalance", F.col(self.day_col))), f"{swap}/new", "errorifexists", codec, bloom)
+        self._write(arrange(rows.hint("rebalance", F.col(self.day_col))), f"{swap}/new", "errorifexists", packed)
         self._check_counts(spark, rows, f"{swap}/new")
         entries = []
         for day in days:
@@ -281,7 +282,7 @@ class TimeTable:
         rows = self._hot(spark).where(F.col(self.day_col).isin(days))
         before = {d: self._hot_chunk(spark, d).files() for d in days}
         target = f"{self.cold}/run={run}"
-        self._write(self._arranged(rows.hint("rebalance", F.col(self.day_col))), target, "errorifexists", "zstd", True)
+        self._write(self._arranged(rows.hint("rebalance", F.col(self.day_col))), target, "errorifexists", True)
         self._check_counts(spark, rows, target)
         if any(self._hot_chunk(spark, d).files() != before[d] for d in days):
             Folder(spark, target).delete()
