@@ -25,7 +25,8 @@ QUERY_SQL = f"CAST('{QUERY}' AS DOUBLE[])"
 
 
 def _distance(vector: str, target: str = QUERY_SQL) -> str:
-    return f"ROUND(list_cosine_distance(CAST({vector} AS DOUBLE[]), {target}), 6)"
+    # abs only turns a rounded -0.0 into 0.0
+    return f"abs(ROUND(list_cosine_distance(CAST({vector} AS DOUBLE[]), {target}), 6))"
 
 
 # great-circle miles as SQL

@@ -40,6 +40,9 @@ class Folder:
         found = [s.getPath().getName() for s in self._fs.listStatus(self._path) if s.isDirectory()]
         return sorted(n for n in found if n.startswith(prefix))
 
+    def has(self, name: str) -> bool:
+        return self._fs.exists(self._child(name))
+
     def files(self) -> dict[str, int]:
         """Data files right below the folder, with their sizes."""
         if not self.exists():

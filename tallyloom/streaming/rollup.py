@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyloom.functions.measures import Measure
 from tallyloom.functions.times import time_bucket
+from tallyloom.sources.files import Folder
 
 
 def with_event_time(stream: DataFrame, time_col: str) -> DataFrame:
@@ -59,6 +60,38 @@ class StreamRollup:
         writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)
         return writer.start()
 
+    def _base(self, spark: SparkSession) -> int | None:
+        """Last batch folded into the newest complete base."""
+        names = Folder(spark, f"{self.path}/base").names("upto=")
+        done = [n for n in names if Folder(spark, f"{self.path}/base/{n}").has("_SUCCESS")]
+        return max((int(n.removeprefix("upto=")) for n in done), default=None)
+
+    def consolidate(self, spark: SparkSession) -> None:
+        """Fold all changes so far into one base table, while the stream is stopped.
+
+        The folded batches are removed once the base is complete; a batch replayed
+        later brings the rows the base already holds and is not read.
+        """
+        batches = [int(n.removeprefix("batch=")) for n in Folder(spark, f"{self.path}/changes").names("batch=")]
+        base = self._base(spark)
+        if not batches or (base is not None and max(batches) <= base):
+            return
+        self.read(spark).write.mode("overwrite").parquet(f"{self.path}/base/upto={max(batches)}")
+        for batch in batches:
+            Folder(spark, f"{self.path}/changes/batch={batch}").delete()
+        if base is not None:
+            Folder(spark, f"{self.path}/base/upto={base}").delete()
+
     def read(self, spark: SparkSession) -> DataFrame:
-        changes = spark.read.parquet(f"{self.path}/changes")
+        """Newest state of every bucket and key."""
+        base = self._base(spark)
+        if base is None:
+            changes = spark.read.parquet(f"{self.path}/changes")
+        else:
+            folded = spark.read.parquet(f"{self.path}/base/upto={base}")
+            changes = folded.withColumn("batch", F.lit(base))
+            if Folder(spark, f"{self.path}/changes").names("batch="):
+                schema = folded.schema.add("batch", T.IntegerType())
+                changes = changes.unionByName(
+                    spark.read.schema(schema).parquet(f"{self.path}/changes").where(F.col("batch") > base))
         return changes.groupBy(*self._group).agg(*[F.max_by(m.name, "batch").alias(m.name) for m in self.measures])

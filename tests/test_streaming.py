@@ -19,6 +19,9 @@ def test_stream_equals_batch_over_several_files_and_restarts(spark, tmp_path, ro
         part.coalesce(1).write.mode("append").parquet(inbox)
         stream = spark.readStream.schema(data.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
         rollup.start(stream).awaitTermination()
+        if half != 1:
+            rollup.consolidate(spark)
+    assert not list((tmp_path / "out" / "changes").glob("batch=*")) and len(list((tmp_path / "out" / "base").iterdir())) == 1
     got = rollup.read(spark).withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
     assert rows(got) == rows(market.candles(data))
 
