@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.catalog.registry import AS_OF, query, rounded
-from tallyloom.functions.times import latest_instant
+from tallyloom.functions.times import latest_instant, time_range
 from tallyloom.operators import checks, health
 from tallyloom.plans.rollup import Rollup
 from tallyloom.plans.timetable import TimeTable
@@ -138,7 +138,7 @@ def health_from_rollup(spark: SparkSession, root: str) -> DataFrame:
     """A roll-up built early, refreshed once over the 7-to-1-day range, and read live."""
     data = views.health_data(spark, root)
     rollup = Rollup(scratch_path(spark, "daily"), "1 day", ("device_id",), tuple(health.DAILY), bucket="day")
-    rollup.create(data.where(F.col("time") < F.lit("2024-01-20").cast("timestamp_ntz")))
+    rollup.create(time_range(data, "time", hi="2024-01-20"))
     as_of = datetime.fromisoformat(AS_OF)
     rollup.refresh(data, as_of, timedelta(days=7), timedelta(days=1))
     return rounded(rollup.read(data, lo=as_of - timedelta(days=14)))

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.catalog.registry import AS_OF, SYMBOL, query
-from tallyloom.functions.times import trailing
+from tallyloom.functions.times import time_range
 from tallyloom.operators import market
 from tallyloom.plans.rollup import Rollup
 from tallyloom.plans.timetable import TimeTable
@@ -87,8 +87,7 @@ def candles_from_rollup(spark: SparkSession, root: str) -> DataFrame:
     """Stored candles of the days up to the 24th, and the newer days from the ticks."""
     ticks = views.ticks(spark, root)
     edge = datetime.fromisoformat(AS_OF) - timedelta(days=7)
-    rollup = candle_rollup(spark).create(trailing(ticks, "time", AS_OF, "3650 days").where(
-        F.col("time") < F.lit(str(edge)).cast("timestamp_ntz")))
+    rollup = candle_rollup(spark).create(time_range(ticks, "time", hi=edge))
     return rollup.read(ticks, lo=datetime.fromisoformat(AS_OF) - timedelta(days=14)).where(F.col("symbol") == SYMBOL)
 
 
@@ -97,8 +96,7 @@ def candles_from_rollup(spark: SparkSession, root: str) -> DataFrame:
 def candles_refreshed_rollup(spark: SparkSession, root: str) -> DataFrame:
     """A roll-up built early, brought forward by one refresh, and read without live rows."""
     ticks = views.ticks(spark, root)
-    early = ticks.where(F.col("time") < F.lit("2024-01-20").cast("timestamp_ntz"))
-    rollup = candle_rollup(spark).create(early)
+    rollup = candle_rollup(spark).create(time_range(ticks, "time", hi="2024-01-20"))
     rollup.refresh(ticks, datetime.fromisoformat(AS_OF), timedelta(days=3), timedelta(days=1))
     return rollup.read(materialized_only=True)
 

@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.catalog.registry import AS_OF, SENSOR, query, rounded
+from tallyloom.functions.times import time_range
 from tallyloom.operators import checks, sensors
 from tallyloom.plans.rollup import Rollup
 from tallyloom.plans.timetable import TimeTable
@@ -73,9 +74,8 @@ def sensor_1d_summary(spark: SparkSession, root: str) -> DataFrame:
 WHERE sensor_id = {SENSOR} AND period >= TIMESTAMP '{AS_OF}' - INTERVAL '14 days'""", ("sensor_data",))
 def sensor_from_rollup(spark: SparkSession, root: str) -> DataFrame:
     data = views.sensor_data(spark, root)
-    stored = data.where(F.col("time") < F.lit("2024-01-24").cast("timestamp_ntz"))
     rollup = Rollup(scratch_path(spark, "summary"), "1 day", ("sensor_id",), tuple(sensors.SUMMARY),
-                    bucket="period").create(stored)
+                    bucket="period").create(time_range(data, "time", hi="2024-01-24"))
     recent = rollup.read(data, lo=datetime.fromisoformat(AS_OF) - timedelta(days=14))
     return rounded(recent.where(F.col("sensor_id") == SENSOR))
 

@@ -2,12 +2,13 @@
 
 Every function works on both `timestamp` and `timestamp_ntz` columns and gives
 the same result under any session time zone: buckets and days are counted from
-the UTC epoch (or from the wall clock of an NTZ column).
+the UTC epoch (or from the wall clock of an NTZ column), and an instant given
+without an offset is UTC.
 """
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -34,9 +35,19 @@ def instant(value: str | datetime | Column, dtype: T.DataType) -> Column:
     """
     if isinstance(value, Column):
         return value.cast(dtype)
-    if isinstance(value, datetime):
-        value = value.isoformat(sep=" ")
-    return F.lit(value).cast(dtype)
+    if isinstance(value, str):
+        value = datetime.fromisoformat(value)
+    if value.tzinfo is not None:
+        value = value.astimezone(timezone.utc).replace(tzinfo=None)
+    return F.lit(value.isoformat(sep=" ") + ("" if isinstance(dtype, T.TimestampNTZType) else "Z")).cast(dtype)
+
+
+def fetch_instant(df: DataFrame, col: Column, dtype: T.DataType) -> datetime | None:
+    """Value of `col` in the first row, in UTC, without an offset."""
+    if isinstance(dtype, T.TimestampNTZType):
+        return df.select(col.alias("t")).first()["t"]
+    micros = df.select(F.unix_micros(col).alias("t")).first()["t"]
+    return None if micros is None else datetime(1970, 1, 1) + timedelta(microseconds=micros)
 
 
 def interval(text: str) -> Column:
@@ -114,7 +125,7 @@ def trailing(df: DataFrame, time_col: str, as_of: str | datetime | Column, span:
 
 def latest_instant(df: DataFrame, time_col: str) -> datetime | None:
     """Newest time in the table: one aggregate row, usable as `as_of`."""
-    return df.agg(F.max(time_col).alias("t")).first()["t"]
+    return fetch_instant(df.agg(F.max(time_col).alias("t")), F.col("t"), time_type(df, time_col))
 
 
 def shifted(col: Column | str, span: str) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tallyloom.functions.scalars import chat_messages
 from tallyloom.functions.vectors import as_matrix, cosine_to
+from tallyloom.session import cut_lineage
 
 # Largest block of query vectors sent to every task of one pass.
 QUERY_BLOCK_BYTES = 8 * 1024 * 1024
@@ -86,7 +87,8 @@ def nearest_for_each(df: DataFrame, queries: DataFrame, k: int = 5, vector_col:
     without a direction are no candidates.
     """
     spark = df.sparkSession
-    queries = queries.select(F.col(query_id).cast("long").alias("q"), F.col(query_vector).cast("array<double>").alias("v"))
+    # kept in the shared folder, since the size and every pass read it
+    queries = cut_lineage(queries.select(F.col(query_id).cast("long").alias("q"), F.col(query_vector).cast("array<double>").alias("v")))
     size = queries.agg(F.sum(F.size("v") * 8).alias("b")).first()["b"] or 0
     passes = max(1, math.ceil(size / block_bytes * (1 if size <= block_bytes else 1.5)))
     # the vector is part of the hash, so repeated ids do not crowd one block

@@ -18,7 +18,8 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyloom.functions.measures import Measure, finalize, merge_partials, partial_aggregate
-from tallyloom.functions.times import add_bucket, instant, interval, time_range, time_type, utc_day
+from tallyloom.functions.times import (
+    add_bucket, fetch_instant, instant, interval, latest_instant, time_range, time_type, utc_day)
 from tallyloom.sources.files import Folder
 
 LOG_SCHEMA = "at timestamp, action string, edge string, stored string"
@@ -78,10 +79,8 @@ class Rollup:
     def _edge(self, spark: SparkSession, at: datetime, dtype: T.DataType, up: bool = False) -> datetime:
         """Bucket edge at or before `at`, or with `up` the one at or after it."""
         one = add_bucket(spark.range(1).select(instant(at, dtype).alias("t")), self.width, "t", "b")
-        row = one.select(F.col("b").cast("string").alias("b"),
-                         (F.col("b") + interval(self.width)).cast("string").alias("n")).first()
-        start, following = datetime.fromisoformat(row["b"]), datetime.fromisoformat(row["n"])
-        return following if up and start != at else start
+        start = fetch_instant(one, F.col("b"), dtype)
+        return fetch_instant(one, F.col("b") + interval(self.width), dtype) if up and start != at else start
 
     def create(self, source: DataFrame) -> "Rollup":
         """Build the store from the whole source."""
@@ -91,8 +90,7 @@ class Rollup:
         self._store(self._partials(source.where(F.col(self.time_col).isNotNull())), dtype)
         newest, after = None, None
         if Folder(spark, f"{self.path}/store").names():
-            last = spark.read.parquet(f"{self.path}/store").agg(F.max(self.bucket).cast("string").alias("b")).first()["b"]
-            newest = datetime.fromisoformat(last)
+            newest = latest_instant(spark.read.parquet(f"{self.path}/store"), self.bucket)
             after = self._edge(spark, newest + timedelta(microseconds=1), dtype, up=True)
         self._record(spark, "done", newest, after)
         return self
@@ -111,8 +109,8 @@ class Rollup:
         mark = self.watermark(spark)
         top, stored = self._edges(spark, done_only=True)
         if mark is None:
-            first = source.agg(F.min(self.time_col).cast("string").alias("t")).first()["t"]
-            lo = min(lo, self._edge(spark, datetime.fromisoformat(first), dtype)) if first else lo
+            first = fetch_instant(source.agg(F.min(self.time_col).alias("t")), F.col("t"), dtype)
+            lo = min(lo, self._edge(spark, first, dtype)) if first else lo
         else:
             lo = min(lo, mark)
         if hi <= lo:

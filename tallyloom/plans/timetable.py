@@ -24,7 +24,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyloom.functions.scalars import percent_saved, size_pretty
-from tallyloom.functions.times import day_column, utc_day
+from tallyloom.functions.times import day_column, instant, utc_day
 from tallyloom.sources.files import Folder
 
 LOG_SCHEMA = ("at timestamp, action string, chunk date, detail string, "
@@ -187,14 +187,15 @@ class TimeTable:
                 for d, packed, tier in sorted([*hot, *cold])]
         frame = spark.createDataFrame(rows, "chunk_name string, lo string, hi string, is_compressed boolean, tier string")
         time = self.struct[self.time_col].dataType
-        return frame.select("chunk_name", F.col("lo").cast(time).alias("range_start"),
-                            F.col("hi").cast(time).alias("range_end"), "is_compressed", "tier")
+        zone = F.lit(" 00:00:00" if isinstance(time, T.TimestampNTZType) else " 00:00:00Z")
+        return frame.select("chunk_name", F.concat("lo", zone).cast(time).alias("range_start"),
+                            F.concat("hi", zone).cast(time).alias("range_end"), "is_compressed", "tier")
 
     def tiered_chunks(self, spark: SparkSession) -> DataFrame:
         return self.chunks(spark).where("tier = 'cold'").drop("tier")
 
     def queued_for_tiering(self, spark: SparkSession, older_than: timedelta, as_of: datetime) -> DataFrame:
-        edge = F.lit((as_of - older_than).isoformat(sep=" ")).cast(self.struct[self.time_col].dataType)
+        edge = instant(as_of - older_than, self.struct[self.time_col].dataType)
         return self.chunks(spark).where((F.col("tier") == "hot") & (F.col("range_end") <= edge)).drop("tier")
 
     def _hot_before(self, spark: SparkSession, older_than: timedelta, as_of: datetime) -> list[date]:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tallyloom.functions.times import add_bucket
+from tallyloom.functions.times import add_bucket, fetch_instant, instant, time_type
 
 
 def time_grid(spark: SparkSession, lo: datetime, hi: datetime, step: timedelta, keys: int,
-              time_col: str = "time", key_col: str = "key") -> DataFrame:
+              time_col: str = "time", key_col: str = "key", dtype: T.DataType | None = None) -> DataFrame:
     """Every instant from `lo` to `hi` (both ends included) for each key 1..keys.
 
     One range split over all tasks; the pair is unpacked from the row number, so
@@ -18,7 +18,7 @@ def time_grid(spark: SparkSession, lo: datetime, hi: datetime, step: timedelta,
     """
     points = (hi - lo) // step + 1 if hi >= lo else 0
     width = step // timedelta(microseconds=1)
-    start = F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz")
+    start = instant(lo, dtype or T.TimestampNTZType())
     micros = F.floor(F.col("id") / keys).cast("long") * width
     day_us = 86_400_000_000
     rest = micros % day_us
@@ -36,9 +36,14 @@ def empty_slots(df: DataFrame, time_col: str, key_col: str, step: timedelta) ->
     """
     width = f"{int(step.total_seconds())} seconds"
     slots = add_bucket(df, width, time_col, "slot").where(F.col("slot").isNotNull())
-    edge = slots.agg(F.min("slot").alias("lo"), F.max("slot").alias("hi"), F.max(key_col).alias("keys")).first()
-    if edge["lo"] is None:
+    dtype = time_type(df, time_col)
+    # one row, kept while its three values are read
+    edges = df.sparkSession.createDataFrame(
+        slots.agg(F.min("slot").alias("lo"), F.max("slot").alias("hi"), F.max(key_col).cast("long").alias("keys")).toArrow())
+    lo, hi = (fetch_instant(edges, F.col(name), dtype) for name in ("lo", "hi"))
+    keys = edges.first()["keys"]
+    if lo is None or keys is None:
         return slots.select(F.col("slot").alias(time_col), F.col(key_col).cast("long").alias(key_col)).limit(0)
-    grid = time_grid(df.sparkSession, edge["lo"], edge["hi"], step, int(edge["keys"]), time_col, key_col)
+    grid = time_grid(df.sparkSession, lo, hi, step, keys, time_col, key_col, dtype)
     taken = slots.select(F.col("slot").alias(time_col), F.col(key_col).cast("long").alias(key_col)).distinct()
     return grid.join(taken, [time_col, key_col], "left_anti")

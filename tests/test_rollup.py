@@ -113,3 +113,19 @@ def test_widen(spark, tmp_path, rows):
     rollup = Rollup(str(tmp_path / "r"), "1 hour", ("symbol",), MEASURES).create(data)
     stored = spark.read.parquet(f"{rollup.path}/store").drop("bucket_day")
     same(rows, rollup.widen(stored, "1 day"), plain(data, "1 day"))
+
+
+def test_zoned_times_under_any_session_zone(spark, tmp_path, rows):
+    data = ticks(spark, 5).withColumn("time", F.timestamp_micros(F.unix_micros(F.col("time").cast("timestamp"))))
+    micros = F.unix_micros("bucket").alias("bucket")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        rollup = Rollup(str(tmp_path / "r"), "1 hour", ("symbol",), MEASURES).create(before(data, 3))
+        rollup.refresh(data, START + timedelta(days=5), timedelta(days=2, hours=3), timedelta(hours=7))
+        for got, want in ((rollup.read(data), plain(data, "1 hour")),
+                          (rollup.read(materialized_only=True), plain(data, "1 hour").where(
+                              F.unix_micros("bucket") < F.lit(int((START + timedelta(days=5, hours=-7) - datetime(1970, 1, 1)).total_seconds() * 1e6))))):
+            same(rows, got.withColumn("bucket", micros), want.withColumn("bucket", micros))
+        assert rollup.watermark(spark) == START + timedelta(days=5, hours=-7)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -155,3 +155,20 @@ def test_bloom_filter_is_written(spark, table):
     from dataclasses import replace
     replace(table, bloom=()).compact(spark)
     assert sum(p.stat().st_size for p in files(table)) < with_bloom
+
+
+def test_zoned_times_use_utc_days_under_any_session_zone(spark, tmp_path, rows):
+    spec = TimeTable("z", str(tmp_path / "z"), "time timestamp, v int", "time")
+    data = spark.range(48).select(F.timestamp_seconds(F.col("id") * 3600 + 1704067200).alias("time"), F.col("id").cast("int").alias("v"))
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        spec.load(data)
+        assert [c.chunk_name for c in spec.chunks(spark).orderBy("chunk_name").collect()] == ["z_20240101", "z_20240102"]
+        kept = trailing(spec.read(spark), "time", datetime(2024, 1, 1, 19), "1 hour")
+        assert kept.count() == 30
+        ends = [r.e for r in spec.chunks(spark).orderBy("chunk_name").select(F.unix_seconds("range_end").alias("e")).collect()]
+        assert ends == [1704067200 + 86400, 1704067200 + 2 * 86400]
+        spec.compact(spark)
+        assert spec.read(spark).count() == 48
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
