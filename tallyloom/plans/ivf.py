@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.operators.search import nearest
 from tallyloom.sources.files import Folder
+from tallyloom.sources.readers import small_frame
 
 # Default size below which clustering does not pay, and vectors used to place the centres.
 MIN_ROWS = 500
@@ -56,8 +57,7 @@ class IvfIndex:
          .write.mode("overwrite").partitionBy("cell").parquet(f"{self.path}/rows"))
         spark = df.sparkSession
         centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-        spark.createDataFrame(centres, "cell int, centre array<double>").coalesce(1).write.mode("overwrite").parquet(
-            f"{self.path}/centres")
+        small_frame(spark, centres, "cell int, centre array<double>").write.mode("overwrite").parquet(f"{self.path}/centres")
         return True
 
     def drop(self, spark: SparkSession) -> None:

@@ -13,7 +13,7 @@ bucket.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -21,6 +21,7 @@ from tallyloom.functions.measures import Measure, finalize, merge_partials, part
 from tallyloom.functions.times import (
     add_bucket, fetch_instant, instant, interval, latest_instant, time_range, time_type, utc_day)
 from tallyloom.sources.files import Folder
+from tallyloom.sources.readers import small_frame
 
 LOG_SCHEMA = "at timestamp, action string, edge string, stored string"
 
@@ -55,8 +56,8 @@ class Rollup:
     # -- log: a refresh first lowers the watermark, then raises it -------------
 
     def _record(self, spark: SparkSession, action: str, edge: datetime | None, stored: datetime | None) -> None:
-        row = (datetime.now(), action, *[at.isoformat(sep=" ") if at else None for at in (edge, stored)])
-        spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.path}/log")
+        row = (datetime.now(timezone.utc), action, *[at.isoformat(sep=" ") if at else None for at in (edge, stored)])
+        small_frame(spark, [row], LOG_SCHEMA).write.mode("append").parquet(f"{self.path}/log")
 
     def _edges(self, spark: SparkSession, done_only: bool = False) -> tuple[datetime | None, datetime | None]:
         """Watermark and end of the stored buckets, as of the last (finished) action."""

@@ -19,13 +19,14 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass, replace
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyloom.functions.scalars import percent_saved, size_pretty
 from tallyloom.functions.times import day_column, instant, utc_day
 from tallyloom.sources.files import Folder
+from tallyloom.sources.readers import small_frame
 
 LOG_SCHEMA = ("at timestamp, action string, chunk date, detail string, "
               "bytes_before long, bytes_after long")
@@ -98,9 +99,9 @@ class TimeTable:
 
     def _record(self, spark: SparkSession, entries: list[tuple]) -> None:
         if entries:
-            now = datetime.now()
+            now = datetime.now(timezone.utc)
             rows = [(now, *entry) for entry in entries]
-            spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.path}/log")
+            small_frame(spark, rows, LOG_SCHEMA).write.mode("append").parquet(f"{self.path}/log")
 
     def log(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/log")
@@ -185,7 +186,7 @@ class TimeTable:
         cold = {(d, True, "cold") for run in self._cold_runs(spark) for d in self._days(spark, f"{self.cold}/run={run}")}
         rows = [(f"{self.name}_{d:%Y%m%d}", d.isoformat(), (d + timedelta(days=1)).isoformat(), packed, tier)
                 for d, packed, tier in sorted([*hot, *cold])]
-        frame = spark.createDataFrame(rows, "chunk_name string, lo string, hi string, is_compressed boolean, tier string")
+        frame = small_frame(spark, rows, "chunk_name string, lo string, hi string, is_compressed boolean, tier string")
         time = self.struct[self.time_col].dataType
         zone = F.lit(" 00:00:00" if isinstance(time, T.TimestampNTZType) else " 00:00:00Z")
         return frame.select("chunk_name", F.concat("lo", zone).cast(time).alias("range_start"),
@@ -336,8 +337,8 @@ class TimeTable:
     def compaction_stats(self, spark: SparkSession) -> DataFrame:
         """Bytes before and after compaction over the compacted chunks, and the share saved."""
         done = self._compacted(spark)
-        sizes = spark.createDataFrame([(sum(b for b, _ in done.values()), sum(a for _, a in done.values()))],
-                                      "before_bytes long, after_bytes long")
+        sizes = small_frame(spark, [(sum(b for b, _ in done.values()), sum(a for _, a in done.values()))],
+                            "before_bytes long, after_bytes long")
         before, after = F.col("before_bytes"), F.col("after_bytes")
         return sizes.select(before, after, size_pretty(before).alias("before"), size_pretty(after).alias("after"),
                             percent_saved(before, after).alias("compression_ratio_percent"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyloom.functions.scalars import parse_array_literal
@@ -36,6 +37,18 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
         for f in schema.fields])
 
 
+# Arrow types of the small frames the jobs build themselves.
+_ARROW = {"timestamp": pa.timestamp("us", "UTC"), "string": pa.string(), "date": pa.date32(),
+          "bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "array<double>": pa.list_(pa.float64())}
+
+
+def small_frame(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
+    """A handful of driver rows, handed over as one Arrow table (no Python worker starts)."""
+    fields = T.StructType.fromDDL(schema).fields
+    columns = [pa.array([row[i] for row in rows], _ARROW[f.dataType.simpleString()]) for i, f in enumerate(fields)]
+    return spark.createDataFrame(pa.table(columns, names=[f.name for f in fields]), schema).coalesce(1)
+
+
 def literal_rows(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType | str,
                  columns: Sequence[str] | None = None) -> DataFrame:
     """A few literal rows with the table's types; text is cast, a bad value fails.
