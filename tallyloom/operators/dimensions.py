@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyloom.functions.measures import Measure, aggregate, finalize, merge_partials, partial_aggregate
 
-# Most dimension rows sent to every executor; narrow rows, so well below 100 MB.
+# Most dimension rows, and bytes written out as text, sent to every executor.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the dimension has at most `max_rows` rows, counting no further than that."""
-    return dim.limit(max_rows + 1).count() <= max_rows
+    """Whether the dimension is small in rows and bytes, reading no further than the row limit."""
+    size = dim.limit(max_rows + 1).agg(
+        F.count("*").alias("n"), F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("b")).first()
+    return size["n"] <= max_rows and (size["b"] or 0) <= BROADCAST_BYTES
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, key: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -213,6 +213,7 @@ class TimeTable:
 
     def compact(self, spark: SparkSession, days: list[date] | None = None) -> list[date]:
         """Rewrite chunks sorted by segment and order, zstd, few files. Returns the chunks done."""
+        self.recover(spark)
         done = self._compacted(spark)
         every = self._days(spark, f"{self.path}/hot")
         todo = [d for d in (every if days is None else days) if not self._is_compacted(spark, d, done)]
@@ -223,13 +224,13 @@ class TimeTable:
 
     def expand(self, spark: SparkSession, days: list[date] | None = None) -> list[date]:
         """Undo compaction: the same rows as plain files."""
+        self.recover(spark)
         done = self._compacted(spark)
         every = self._days(spark, f"{self.path}/hot")
         todo = [d for d in (every if days is None else days) if d in done]
         return self._rewrite(spark, todo, "expand", lambda df: df, False)
 
     def _rewrite(self, spark: SparkSession, days: list[date], action: str, arrange, packed: bool) -> list[date]:
-        self.recover(spark)
         if not days:
             return []
         swap = f"{self.path}/swap/{uuid.uuid4().hex}"

@@ -90,3 +90,12 @@ def test_newest_ticks_survive_a_hot_symbol(spark):
     ticks = hot.unionByName(hot.limit(3).withColumn("symbol", F.lit("COLD")))
     assets = spark.createDataFrame([("COLD", "cold")], "symbol string, name string")
     assert market.ticks_with_asset(ticks, assets).count() == 3
+
+
+def test_broadcast_limit_counts_rows_and_bytes(spark, monkeypatch):
+    from tallyloom.operators import dimensions
+    dim = spark.range(10).select("id", F.lit("x" * 1000).alias("name"))
+    assert dimensions.fits_broadcast(dim, 10) and not dimensions.fits_broadcast(dim, 9)
+    assert dimensions.fits_broadcast(dim.limit(0), 10)
+    monkeypatch.setattr(dimensions, "BROADCAST_BYTES", 5000)
+    assert not dimensions.fits_broadcast(dim, 10)
