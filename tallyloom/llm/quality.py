@@ -158,19 +158,19 @@ def descend(rows: list[np.ndarray], ratios: np.ndarray, y: np.ndarray, cost: np.
 
     `rows` holds the buckets of each row, `y` is -1 or 1, `cost` bounds each dual variable.
     """
-    scaled = [ratios[r] for r in rows]
-    scaled = [s / (np.sqrt(s @ s) or 1.0) for s in scaled]
-    square = np.array([s @ s + 1.0 for s in scaled])
+    scale = np.array([1.0 / (np.sqrt(ratios[r] @ ratios[r]) or 1.0) for r in rows])
+    square = np.array([1.0 + (s * s) * (ratios[r] @ ratios[r]) for r, s in zip(rows, scale)])
     weights, bias, alpha = np.zeros(len(ratios)), 0.0, np.zeros(len(rows))
     order = np.random.default_rng(7)
     for _ in range(epochs):
         moved = 0.0
         for i in order.permutation(len(rows)):
-            gradient = y[i] * (weights[rows[i]] @ scaled[i] + bias) - 1.0
+            own = scale[i] * ratios[rows[i]]
+            gradient = y[i] * (weights[rows[i]] @ own + bias) - 1.0
             new = min(max(alpha[i] - gradient / square[i], 0.0), cost[i])
             step = (new - alpha[i]) * y[i]
             if step:
-                weights[rows[i]] += step * scaled[i]
+                weights[rows[i]] += step * own
                 bias += step
                 moved = max(moved, abs(step))
                 alpha[i] = new
@@ -226,7 +226,8 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
 
     taken = _sample(labelled, 2 * sample_rows)
     y = np.where(taken.column("y").to_numpy() == 1, 1.0, -1.0)
-    rows = [np.asarray(b) for b in taken.column("buckets").to_pylist()]
+    lists = taken.column("buckets").combine_chunks()
+    rows = np.split(lists.flatten().to_numpy(), lists.offsets.to_numpy()[1:-1] - lists.offsets.to_numpy()[0])
     fitted = np.arange(len(rows)) % 2 == 0
     y_fit = y[fitted]
     weights, bias = descend([r for r, f in zip(rows, fitted) if f], ratios, y_fit, np.full(len(y_fit), COST))
