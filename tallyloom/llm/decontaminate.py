@@ -1,7 +1,6 @@
 """Benchmark decontamination with DataFrame functions only.
 
-Words are runs of characters outside ASCII punctuation, digits' neighbours and
-control characters, with A-Z folded. A window is 13 consecutive words of an item, or all words
+Words are runs of ASCII letters and digits and of any character beyond ASCII, with A-Z folded. A window is 13 consecutive words of an item, or all words
 of a shorter one. Each window is filed under its longest word, its anchor. The
 texts are scanned once: words that are an anchor give the windows that could stand
 there, and the words around decide. Windows are broadcast while their number is
@@ -94,6 +93,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, pa
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of documents that are not contaminated; rows without doc_id stay."""
-    bad = written(contamination(docs, benchmark).where("contaminated and doc_id is not null").select(
-        F.col("doc_id").alias("contaminated_id")), "contaminated")
-    return docs.join(bad, F.col("doc_id").cast("long") == F.col("contaminated_id"), "left_anti").select(docs.columns)
+    bad = written(contamination(docs, benchmark).where("contaminated and doc_id is not null").select("doc_id"), "contaminated")
+    return docs.join(bad, docs["doc_id"].cast("long") == bad["doc_id"], "left_anti")

@@ -112,7 +112,7 @@ def templates() -> list[Template]:
     out = []
     for name, texts in TEMPLATES.items():
         for text in texts:
-            data = " ".join(text.split()).encode()
+            data = " ".join(text.lower().split()).encode()
             dictionary = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             out.append(Template(name, data, tuple(words_of(text)), len(_plain().compress(data)), zstandard.ZstdCompressor(
                 level=19, dict_data=dictionary, write_checksum=False, write_content_size=False, write_dict_id=False)))
@@ -147,7 +147,7 @@ def _aligned(template: Template, words: list[str]) -> tuple[tuple[str, ...], int
 
 def licenses_of(block: str) -> list[Match]:
     """The confirmed licenses of a block, in the order of their place."""
-    data = " ".join(block.split()).encode()
+    data = " ".join(block.lower().split()).encode()
     alone = len(_plain().compress(data))
     scores = [((alone - len(t.compressor.compress(data))) / t.plain_size, k) for k, t in enumerate(templates())]
     ranked = sorted((s for s in scores if s[0] >= MIN_SAVED), key=lambda s: (-s[0], s[1]))

@@ -1,0 +1,71 @@
+from __future__ import annotations
+
+from collections import defaultdict
+
+from tallyloom.llm import lines
+from tests.llm.helpers import documents
+
+
+def _brute(texts, min_sites):
+    site_of = {}
+    for _, t, s in texts:
+        if t is not None and s is not None:
+            site_of[t] = min(s, site_of.get(t, s))
+    spread = defaultdict(set)
+    for t, s in site_of.items():
+        for line in t.split("\n"):
+            if line.strip(" "):
+                spread[line.strip(" ")].add(s)
+    cut = {line for line, sites in spread.items() if len(sites) >= min_sites}
+    out = []
+    for i, t, s in texts:
+        if t is None:
+            out.append((i, s, None, 0, 0))
+            continue
+        all_lines = t.split("\n")
+        rest = [x for x in all_lines if x.strip(" ") not in cut]
+        new = rest if any(x.strip(" ") for x in rest) else all_lines
+        out.append((i, s, "\n".join(new), len(all_lines), len(all_lines) - len(new)))
+    return sorted(out, key=repr)
+
+
+def _texts():
+    texts = []
+    for k in range(60):
+        own = [f"line {k} of its own", "everywhere", f"on some sites {k % 7}", "", "  everywhere  "]
+        texts.append((k, "\n".join(own), f"site{k % 12}"))
+    texts += [(100 + k, "a copied page\nwith two lines", f"site{k}") for k in range(12)]  # one text: one site
+    texts += [(200, "everywhere", "site1"), (201, None, "site2"), (202, "", None), (203, "everywhere\nnew", None), (None, "everywhere\nno id", "site3"),
+              (1, texts[1][1], "site1"), (204, "x" * 300_000 + "\neverywhere", "site4")]
+    return texts
+
+
+def test_against_sets(spark):
+    texts = _texts()
+    for limit in (2, 7, 10, 12):
+        docs = documents(spark, texts, extra=True)
+        out = lines.line_dedup(docs, min_sites=limit, counts=True)
+        assert out.columns == docs.columns + ["n_lines", "n_removed"]
+        got = sorted(((r.doc_id, r.source, r.text, r.n_lines, r.n_removed) for r in out.collect()), key=repr)
+        assert got == _brute(texts, limit)
+
+
+def test_counts_of_characters_follow_the_text(spark):
+    out = lines.line_dedup(documents(spark, _texts()), min_sites=10).collect()
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in out)
+
+
+def test_many_sites_are_counted_through_the_sketch(spark):
+    """Far above and far below the band the sketch alone decides; inside it the exact count does."""
+    texts = [(k, f"{k}\nwide" + ("\nedge" if k < 200 else "") + ("\nshort" if k < 199 else ""), f"site{k}") for k in range(400)]
+    out = lines.line_dedup(documents(spark, texts), min_sites=200).collect()
+    assert not any("wide" in r.text or "edge" in r.text for r in out)
+    assert sum("short" in r.text for r in out) == 199
+
+
+def test_empty_table_and_shuffled_beyond_the_limit(spark, monkeypatch):
+    assert lines.line_dedup(documents(spark, [])).collect() == []
+    monkeypatch.setattr(lines, "BROADCAST_CUTS", 0)
+    texts = _texts()
+    got = sorted(((r.doc_id, r.source, r.text, r.n_lines, r.n_removed) for r in lines.line_dedup(documents(spark, texts), 10, True).collect()), key=repr)
+    assert got == _brute(texts, 10)
