@@ -26,8 +26,8 @@ import regex
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
-CACHE_PIECES = 400_000
-GROUP_CHARS = 1 << 20
+CACHE_PIECES = 200_000
+GROUP_CHARS = 1 << 19
 # Field numbers and kinds of the SentencePiece model format.
 _UNKNOWN, _NORMAL, _BPE = 2, 1, 2
 # The usual pattern, and one that gives the same pieces where letters are ASCII or Latin and all

@@ -25,12 +25,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.llm.frames import byte_blocks, small
-from tallyloom.llm.shingles import BLOCK_BYTES, mixed, words_of
+from tallyloom.llm.shingles import mixed, words_of
 
 BUCKETS = 1 << 16
 SAMPLE_ROWS = 3_000
 COST = 1.0
 EPOCHS = 12
+BLOCK_BYTES = 1 << 17
+BLOCK_ROWS = 32
 SMOOTHING = 1.0
 THRESHOLD = 0.3
 BROADCAST_LABELS = 4_000_000  # 48 MB of ids and labels; more are joined by a shuffle
@@ -104,8 +106,8 @@ def indicators(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
 def _blocks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray, np.ndarray]]:
     for batch in batches:
         for first, raw, bounds in byte_blocks(batch.column(column), BLOCK_BYTES):
-            for start in range(0, len(bounds) - 1, 512):  # bounds the bit table
-                part = bounds[start:start + 513]
+            for start in range(0, len(bounds) - 1, BLOCK_ROWS):  # bounds the bit table
+                part = bounds[start:start + BLOCK_ROWS + 1]
                 rows, buckets = indicators(raw[part[0]:part[-1]], part - part[0])
                 yield batch.slice(first + start, len(part) - 1), len(part) - 1, rows, buckets
 

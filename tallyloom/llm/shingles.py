@@ -7,7 +7,7 @@ from dataclasses import dataclass
 import numpy as np
 
 WORDS = 5
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 19
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15 | 1)
 _UNBASE = _U(pow(int(_BASE), -1, 1 << 64))
