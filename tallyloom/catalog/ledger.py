@@ -138,18 +138,19 @@ def anomalous_tx(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _hops_sql(hops: int) -> str:
-    """The tracing loop written out, one block of expressions per hop."""
-    parts, seen = [], f"SELECT '{ADDRESS}' AS address"
+    """Earliest arrival at every address after at most so many hops, each level computed from all of the level before."""
+    parts = [f"level0 AS (SELECT '{ADDRESS}' AS address, TIMESTAMP '0001-01-01' AS reached)"]
     for hop in range(1, hops + 1):
-        source = (f"SELECT DISTINCT txid, timestamp FROM tx_vinout WHERE type = 'vin' AND address = '{ADDRESS}'"
-                  if hop == 1 else f"""SELECT DISTINCT v.txid, v.timestamp FROM tx_vinout v
-        JOIN hop{hop - 1} f ON v.address = f.address WHERE v.type = 'vin' AND v.timestamp >= f.first_time""")
-        parts.append(f"""hop{hop} AS (SELECT {hop} AS hop, address, MIN(timestamp) AS first_time, COUNT(*) AS outputs,
-        SUM(value) AS total_value FROM tx_vinout WHERE type = 'vout' AND (txid, timestamp) IN ({source})
-        AND address NOT IN ({seen}) GROUP BY address)""")
-        seen += f" UNION ALL SELECT address FROM hop{hop}"
-    body = " UNION ALL ".join(f"SELECT * FROM hop{hop}" for hop in range(1, hops + 1))
-    return f"WITH {', '.join(parts)} {body}"
+        parts.append(f"""paid{hop} AS (SELECT o.address, o.timestamp, o.value FROM tx_vinout o SEMI JOIN (
+            SELECT i.txid, i.timestamp FROM tx_vinout i JOIN level{hop - 1} ON i.address = level{hop - 1}.address
+            AND i.timestamp >= reached WHERE i.type = 'vin') s ON o.txid = s.txid AND o.timestamp = s.timestamp
+            WHERE o.type = 'vout' AND o.address <> '{ADDRESS}')""")
+        parts.append(f"""level{hop} AS (SELECT address, MIN(reached) AS reached FROM (SELECT * FROM level{hop - 1}
+            UNION ALL SELECT address, timestamp FROM paid{hop}) GROUP BY address)""")
+    firsts = " UNION ALL ".join(f"""SELECT {hop} AS hop, address, COUNT(*) AS outputs, SUM(value) AS total_value FROM paid{hop}
+        WHERE address NOT IN (SELECT address FROM level{hop - 1}) GROUP BY address""" for hop in range(1, hops + 1))
+    return f"""WITH {", ".join(parts)} SELECT hop, address, reached AS first_time, outputs, total_value
+    FROM ({firsts}) JOIN level{hops} USING (address)"""
 
 
 @query("flow_trace_hops", _hops_sql(3), ROWS)

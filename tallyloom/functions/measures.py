@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 @dataclass(frozen=True)
@@ -56,23 +56,30 @@ class Measure:
         if self.kind == "avg":
             return [F.sum(part("sum")).alias(part("sum")), F.sum(part("n")).alias(part("n"))]
         if self.kind == "stddev":
-            n, mean = F.col(part("n")), F.col(part("mean"))
-            total = F.sum(n)
-            weighted = F.try_divide(F.sum(n * mean), total)
-            spread = F.sum(F.col(part("m2")) + n * mean * mean) - total * weighted * weighted
-            return [total.alias(part("n")), weighted.alias(part("mean")),
-                    F.greatest(spread, F.lit(0.0)).alias(part("m2"))]
+            # differences from the group's own mean, not from zero: nothing large cancels
+            n, mean, centre = F.col(part("n")), F.col(part("mean")), F.col(part("centre"))
+            return [F.sum(n).alias(part("n")), F.first(centre).alias(part("mean")),
+                    F.sum(F.col(part("m2")) + n * (mean - centre) * (mean - centre)).alias(part("m2"))]
         pick, edge = (F.min_by, F.min) if self.kind == "first" else (F.max_by, F.max)
         return [pick(part("value"), part("at")).alias(part("value")), edge(part("at")).alias(part("at"))]
 
-    def final(self) -> Column:
+    def centre(self) -> Column:
+        """Mean over the partials of a group."""
+        n = F.col(self._part("n"))
+        return F.try_divide(F.sum(n * F.col(self._part("mean"))), F.sum(n)).alias(self._part("centre"))
+
+    def final(self, schema: T.StructType) -> Column:
         part = self._part
         if self.kind in ("min", "max", "sum"):
             out = F.col(part(self.kind))
         elif self.kind == "count":
             out = F.col(part("n"))
         elif self.kind == "avg":
-            out = F.try_divide(F.col(part("sum")), F.col(part("n")))
+            out, kind = F.try_divide(F.col(part("sum")), F.col(part("n"))), schema[part("sum")].dataType
+            if isinstance(kind, T.DecimalType):
+                # a sum has ten digits more than its column, an average four more and four decimals more
+                digits = min(kind.precision - 6, 38) if kind.precision < 38 else 38
+                out = out.cast(T.DecimalType(digits, min(kind.scale + 4, digits)))
         elif self.kind == "stddev":
             out = F.sqrt(F.try_divide(F.col(part("m2")), F.col(part("n")) - 1))
         else:
@@ -99,8 +106,23 @@ def partial_aggregate(df: DataFrame, keys: list[str], measures: list[Measure]) -
 
 
 def merge_partials(df: DataFrame, keys: list[str], measures: list[Measure]) -> DataFrame:
-    return df.groupBy(*keys).agg(*[c for m in measures for c in m.merge()])
+    """One row of partials per group. The columns keep their types, so merging can be repeated."""
+    spread = [m for m in measures if m.kind == "stddev"]
+    names = [c for c in df.columns if c not in keys]
+    if spread:
+        centres = df.groupBy(*keys).agg(*[m.centre() for m in spread])
+        if keys:
+            same = [f"_same_{k}" for k in keys]
+            centres = centres.toDF(*same, *centres.columns[len(keys):])
+            df = df.join(centres, [df[k].eqNullSafe(centres[s]) for k, s in zip(keys, same)])
+        else:
+            df = df.crossJoin(centres)  # one row
+    merged = df.groupBy(*keys).agg(*[c for m in measures for c in m.merge()])
+    kept = {n: df.schema[n].dataType for n in names}
+    return merged.select(*keys, *[F.col(c).cast(kept[c]).alias(c) if isinstance(kept.get(c), T.DecimalType) else F.col(c)
+                                  for c in merged.columns[len(keys):]])
 
 
 def finalize(df: DataFrame, keys: list[str], measures: list[Measure]) -> DataFrame:
-    return df.select(*keys, *[m.final() for m in measures])
+    """The final values, with the types that a single aggregate over the rows has."""
+    return df.select(*keys, *[m.final(df.schema) for m in measures])

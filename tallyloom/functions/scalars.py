@@ -44,11 +44,19 @@ def segment_key(col: Column, length: int = 2) -> Column:
 
 
 def parse_array_literal(col: Column) -> Column:
-    """``{a,b}`` as an array of text; ``{}`` is the empty array, not one empty item."""
-    inner = F.btrim(col, F.lit("{}"))
+    """``{a,"b,c",NULL}`` as an array of text.
+
+    ``{}`` is the empty array. A quoted item may hold commas, braces and characters
+    escaped by a backslash; an unquoted NULL in any case is null.
+    """
+    inner = F.regexp_extract(col, r"(?s)^\s*\{(.*)\}\s*$", 1)
+    items = F.regexp_extract_all(F.concat(F.lit(","), inner), F.lit(r'(?s),(\s*"(?:[^"\\]|\\.)*"\s*|[^,]*)'), 1)
+    bare = lambda x: F.regexp_replace(F.btrim(x), r'(?s)^"(.*)"$', "$1")
+    item = lambda x: F.when(F.btrim(x).startswith('"'), F.regexp_replace(bare(x), r"(?s)\\(.)", "$1")).when(
+        F.upper(F.btrim(x)) != "NULL", F.btrim(x))
     return (F.when(col.isNull(), F.lit(None).cast("array<string>"))
-            .when(inner == "", F.array().cast("array<string>"))
-            .otherwise(F.split(inner, ",")))
+            .when(F.btrim(inner) == "", F.array().cast("array<string>"))
+            .otherwise(F.transform(items, item)))
 
 
 def parse_vector(col: Column) -> Column:

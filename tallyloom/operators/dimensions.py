@@ -1,42 +1,28 @@
-"""Joining a fact table with a dimension whose size is not known beforehand."""
+"""Joining a fact table with a dimension whose size is not known beforehand.
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, functions as F
-
-from tallyloom.functions.measures import Measure, aggregate, finalize, merge_partials, partial_aggregate
-
-# Most dimension rows, and bytes written out as text, sent to every executor.
-BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 64 * 1024 * 1024
+There is one calculation for every size. The joins carry no hint: adaptive execution
+broadcasts a side that it has measured to be small, and splits hot partitions otherwise.
+"""
 
+from __future__ import annotations
 
-def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the dimension is small in rows and bytes, reading no further than the row limit."""
-    size = dim.limit(max_rows + 1).agg(
-        F.count("*").alias("n"), F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("b")).first()
-    return size["n"] <= max_rows and (size["b"] or 0) <= BROADCAST_BYTES
+from pyspark.sql import DataFrame
 
+from tallyloom.functions.measures import Measure, finalize, merge_partials, partial_aggregate
 
-def join_dimension(fact: DataFrame, dim: DataFrame, key: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Inner join on `key`: broadcast while the dimension is small.
 
-    Beyond that it is a shuffled join, in which adaptive execution splits the
-    partitions of a hot key on the fact side.
-    """
-    return fact.join(F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim, key)
+def join_dimension(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Inner join on `key`."""
+    return fact.join(dim, key)
 
 
 def aggregate_by_attribute(fact: DataFrame, dim: DataFrame, key: str, buckets: list[str], attributes: list[str],
-                           measures: list[Measure], max_rows: int = BROADCAST_ROWS) -> DataFrame:
+                           measures: list[Measure]) -> DataFrame:
     """Measures per bucket and dimension attribute.
 
-    A small dimension is broadcast, and one shuffle of partial rows remains. For a
-    large one the facts are first reduced to one row per bucket and key, so that the
-    join shuffles reduced rows only and a hot key is down to one row per bucket.
+    The facts are first reduced to one row per bucket and key, so that the join sees
+    reduced rows only and a hot key is down to one row per bucket.
     """
     keys = [*attributes, *buckets]
-    if fits_broadcast(dim, max_rows):
-        return aggregate(fact.join(F.broadcast(dim), key), keys, measures)
     reduced = partial_aggregate(fact, [*buckets, key], measures)
     return finalize(merge_partials(reduced.join(dim, key), keys, measures), keys, measures)

@@ -54,6 +54,7 @@ def recent_rows(data: DataFrame, as_of, span: str = "5 minutes") -> DataFrame:
     return trailing(data, "time", as_of, span)
 
 
+# The labels of heart rates and alerts, here and in `alert_status`.
 def heart_rate_condition(rate: Column) -> Column:
     return F.when(rate > 99, "Tachycardia").when(rate < 60, "Bradycardia")
 
@@ -68,7 +69,8 @@ def abnormal_heart_rate(data: DataFrame, as_of, span: str = "1 day", strict: boo
     high, low = F.col("heart_rate") > 99, F.col("heart_rate") < 60
     wanted = ((high | low) & recent) if strict else (high | (low & recent))
     return data.where(wanted).select(
-        "time", "device_id", "heart_rate", heart_rate_condition(F.col("heart_rate")).alias("condition"))
+        "time", "device_id", "heart_rate", heart_rate_condition(F.col("heart_rate")).alias("condition")).orderBy(
+        F.col("time").desc_nulls_first(), "device_id")
 
 
 def hourly_vitals(data: DataFrame, as_of, span: str = "1 day", k: int = 24) -> DataFrame:
@@ -94,14 +96,15 @@ def daily_activity(data: DataFrame, devices: DataFrame, users: DataFrame, as_of,
 
     `total_steps` is the maximum, since the counter is cumulative over the day.
     """
-    return _daily_by_user(trailing(data, "time", as_of, span), devices, users, ACTIVITY)
+    return _daily_by_user(trailing(data, "time", as_of, span), devices, users, ACTIVITY).orderBy(
+        F.col("date").desc_nulls_first(), "name")
 
 
 def blood_pressure_trend(data: DataFrame, devices: DataFrame, users: DataFrame,
                          condition: str = "Hypertension") -> DataFrame:
     """Daily blood pressure of the users whose conditions mention `condition`."""
     patients = users.where(F.col("medical_conditions").contains(condition))
-    return _daily_by_user(data, devices, patients, PRESSURE)
+    return _daily_by_user(data, devices, patients, PRESSURE).orderBy(F.col("date").desc_nulls_first(), "name")
 
 
 def is_alert() -> Column:
@@ -123,13 +126,14 @@ def label_alerts(data: DataFrame, devices: DataFrame, users: DataFrame) -> DataF
 
 
 def health_alerts(data: DataFrame, devices: DataFrame, users: DataFrame, as_of, span: str = "1 hour") -> DataFrame:
-    return label_alerts(trailing(data, "time", as_of, span), devices, users)
+    return label_alerts(trailing(data, "time", as_of, span), devices, users).orderBy(
+        F.col("time").desc_nulls_first(), "name", "device_type")
 
 
 def daily_summary(data: DataFrame, as_of=None, span: str = "14 days") -> DataFrame:
     if as_of is not None:
         data = trailing(data, "time", as_of, span)
-    return aggregate(add_bucket(data, "1 day", "time", "day"), ["day", "device_id"], DAILY)
+    return aggregate(add_bucket(data, "1 day", "time", "day"), ["day", "device_id"], DAILY).orderBy("day", "device_id")
 
 
 def activity_vs_heart_rate(data: DataFrame, as_of, span: str = "7 days") -> DataFrame:
@@ -146,7 +150,7 @@ def heart_rate_variability(data: DataFrame, as_of=None, span: str = "24 hours")
     return add_bucket(data, "1 hour", "time", "hour").groupBy("hour", "device_id").agg(
         F.avg("heart_rate").alias("avg_hr"),
         F.stddev("heart_rate").alias("hr_variability"),
-        (F.max("heart_rate") - F.min("heart_rate")).alias("hr_range"))
+        (F.max("heart_rate") - F.min("heart_rate")).alias("hr_range")).orderBy(F.col("hour").desc_nulls_first(), "device_id")
 
 
 def sleep_and_next_day(data: DataFrame, as_of=None, span: str = "30 days") -> DataFrame:
@@ -156,6 +160,9 @@ def sleep_and_next_day(data: DataFrame, as_of=None, span: str = "30 days") -> Da
     of the device is then looked up, and counts if it is the next calendar day. A
     device has at most one row per day there, however many readings it sent.
     """
+    if as_of is not None:
+        # a day at or after the bound has all its readings there, so the scan can skip the rest
+        data = trailing(data, "time", as_of, span)
     known = F.col("time").isNotNull() & F.col("device_id").isNotNull()
     per_day = aggregate(add_bucket(data.where(known), "1 day", "time", "day"), ["day", "device_id"],
                         [Measure("sleep_score", "avg", "sleep_quality_score"),
@@ -166,4 +173,5 @@ def sleep_and_next_day(data: DataFrame, as_of=None, span: str = "30 days") -> Da
               .where(F.col("sleep_score").isNotNull() & (F.col("_next") == shifted("day", "1 day"))))
     if as_of is not None:
         paired = paired.where(F.col("day") >= instant(as_of, time_type(data, "time")) - interval(span))
-    return paired.select(F.col("day").alias("sleep_day"), "device_id", "sleep_score", "next_day_avg_hr")
+    return paired.select(F.col("day").alias("sleep_day"), "device_id", "sleep_score", "next_day_avg_hr").orderBy(
+        F.col("sleep_day").desc_nulls_first(), "device_id")

@@ -93,31 +93,33 @@ def flow_trace_hops(vinout: DataFrame, address: str, hops: int = 3) -> DataFrame
 
     The rows carry no link from an input to the output it spends, so one hop means:
     an address received coins, and spent in a transaction at that time or later.
-    Each address is followed once, from the hop and time it is first reached.
-    Returns one row per reached address: hop, address, first_time, outputs,
-    total_value.
+    An address is followed from the hop that first reaches it, and again whenever a
+    later hop reaches it at an earlier time. Returns one row per reached address: hop, outputs
+    and total_value of the hop that first reached it, and first_time, the earliest time of any hop.
 
     Every hop is a join on the address and a semi join on the transaction; its
     per-address result is checkpointed, so the plan does not grow with the hops.
     """
     inputs = vinout.where(is_input()).select("address", *TX)
-    frontier, found = None, None
+    spends, found = inputs.where(F.col("address") == address), None
     for hop in range(1, hops + 1):
-        if frontier is None:
-            spends = inputs.where(F.col("address") == address)
-        else:
-            spends = inputs.join(frontier.select("address", "first_time"), "address").where(
-                F.col("timestamp") >= F.col("first_time"))
-        reached = (outputs_of(vinout, spends.select(*TX).distinct())
+        reached = (outputs_of(vinout, spends.select(*TX).distinct()).where(F.col("address") != address)
                    .groupBy("address")
-                   .agg(F.min("timestamp").alias("first_time"), F.count("*").alias("outputs"),
-                        F.sum("value").alias("total_value"))
-                   .where(F.col("address") != address))
-        if found is not None:
-            reached = reached.join(found.select("address"), "address", "left_anti")
-        frontier = cut_lineage(reached.select(F.lit(hop).alias("hop"), "address", "first_time",
-                                              "outputs", "total_value"))
-        found = frontier if found is None else found.unionByName(frontier)
-        if frontier.isEmpty():
+                   .agg(F.min("timestamp").alias("time"), F.count("*").alias("n"), F.sum("value").alias("total"))
+                   .withColumn("at", F.lit(hop)))
+        if found is None:
+            found = reached.select(F.col("at").alias("hop"), "address", F.col("time").alias("first_time"),
+                                   F.col("n").alias("outputs"), F.col("total").alias("total_value"), F.lit(True).alias("moved"))
+        else:
+            first = F.coalesce("hop", "at")
+            found = found.drop("moved").join(reached, "address", "full").select(
+                first.alias("hop"), "address", F.least("first_time", "time").alias("first_time"),
+                F.coalesce("outputs", "n").alias("outputs"), F.coalesce("total_value", "total").alias("total_value"),
+                (F.col("first_time").isNull() | F.coalesce(F.col("time") < F.col("first_time"), F.lit(False))).alias("moved"))
+        found = cut_lineage(found)
+        frontier = found.where("moved")
+        if hop == hops or frontier.isEmpty():
             break
-    return found
+        spends = inputs.join(frontier.select("address", "first_time"), "address").where(
+            F.col("timestamp") >= F.col("first_time"))
+    return found.drop("moved")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallyloom.functions.measures import Measure, aggregate
 from tallyloom.functions.times import add_bucket, trailing
@@ -19,14 +19,10 @@ CANDLE = [
 def ticks_with_asset(ticks: DataFrame, assets: DataFrame, k: int = 10) -> DataFrame:
     """Newest `k` ticks with the name of their asset.
 
-    The newest k rows of the join come from the newest k ticks of each symbol, so
-    those are picked first (Spark limits each group before its shuffle). The join
-    then sees k rows per symbol, however many ticks a hot symbol has.
+    The join carries no hint; the k newest rows are kept by each task and merged, so
+    nothing is sorted as a whole and a hot symbol is no burden.
     """
-    newest = Window.partitionBy("symbol").orderBy(F.col("time").desc_nulls_first(), F.col("price"))
-    candidates = ticks.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= k).drop("_rank")
-    return (candidates.join(assets, "symbol")
-            .select("time", "symbol", "price", "day_volume", "name")
+    return (ticks.join(assets, "symbol").select("time", "symbol", "price", "day_volume", "name")
             .orderBy(F.col("time").desc_nulls_first(), "symbol", "price").limit(k))
 
 
@@ -35,12 +31,13 @@ def candles(ticks: DataFrame, width: str = "1 day", symbol: str | None = None,
     """Open, high, low, close and last volume per bucket and symbol.
 
     With `symbol` and `as_of`/`span`, only that symbol's trailing window is read.
+    Ordered by bucket.
     """
     if symbol is not None:
         ticks = ticks.where(F.col("symbol") == symbol)
     if as_of is not None:
         ticks = trailing(ticks, "time", as_of, span or "14 days")
-    return aggregate(add_bucket(ticks, width, "time", "bucket"), ["bucket", "symbol"], CANDLE)
+    return aggregate(add_bucket(ticks, width, "time", "bucket"), ["bucket", "symbol"], CANDLE).orderBy("bucket", "symbol")
 
 
 def bucket_counts(ticks: DataFrame, widths: dict[str, str]) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tallyloom.functions.times import utc_day
 from tallyloom.operators.ledger import TX, is_input, is_output, outputs_of, totals_by_receiver
 
 
@@ -85,12 +86,12 @@ def miner_spending(vinout: DataFrame) -> DataFrame:
 def anomalous_transactions(transactions: DataFrame, z: float = 3.0) -> DataFrame:
     """Transactions whose log value lies at least `z` deviations from their day's mean.
 
-    The daily statistics have one row per calendar day, at most a few million for
-    every date Spark can hold, so they are broadcast and a busy day is not shuffled.
+    The daily statistics have one row per calendar day (UTC); adaptive execution sees
+    that they are small and keeps a busy day where it is.
     """
-    scored = transactions.where(F.col("value") > 0).withColumn("day", F.col("timestamp").cast("date"))
+    scored = transactions.where(F.col("value") > 0).withColumn("day", utc_day(F.col("timestamp"), transactions.schema["timestamp"].dataType))
     scored = scored.withColumn("log_value", F.ln(F.col("value").cast("double")))
     stats = scored.groupBy("day").agg(F.avg("log_value").alias("mean"), F.stddev("log_value").alias("spread"))
     score = F.round(F.try_divide(F.col("log_value") - F.col("mean"), F.col("spread")), 6)
-    return (scored.join(F.broadcast(stats), "day").withColumn("z_score", score)
+    return (scored.join(stats, "day").withColumn("z_score", score)
             .where(F.abs("z_score") >= z).select("txid", "timestamp", "value", "z_score"))

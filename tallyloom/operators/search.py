@@ -15,6 +15,8 @@ from tallyloom.session import cut_lineage
 
 # Largest block of query vectors sent to every task of one pass.
 QUERY_BLOCK_BYTES = 8 * 1024 * 1024
+# Beyond any distance: a zero vector, and a null one, on either side.
+ZERO, MISSING = 10.0, 20.0
 # Distances held at once by one task.
 DISTANCE_CELLS = 4_000_000
 MERGE_WAYS = 256
@@ -29,7 +31,10 @@ def _closest(df: DataFrame, distance: Column, k: int, id_col: str, digits: int)
 
 def nearest(df: DataFrame, query: list[float], k: int = 5, vector_col: str = "embedding",
             id_col: str = "id", digits: int = 6) -> DataFrame:
-    """The k rows closest to a fixed vector: a map and a top-k, no shuffle of the vectors."""
+    """The k rows closest to a fixed vector: a map and a top-k, no shuffle of the vectors.
+
+    Vectors without a direction come last: zero ones with NaN, then null ones with null.
+    """
     return _closest(df, cosine_to(F.col(vector_col), query), k, id_col, digits)
 
 
@@ -47,22 +52,31 @@ def nearest_to_row(df: DataFrame, condition: Column, k: int = 5, vector_col: str
     return nearest(df, [float(x) for x in found[0]], k, vector_col, id_col, digits)
 
 
-def _task_topk(query_ids: list, targets: np.ndarray, k: int):
-    """Per task: keep the k best candidates of every query over all its batches."""
-    unit = targets / np.linalg.norm(targets, axis=1, keepdims=True)
+def _task_topk(query_ids: list, targets: np.ndarray, unknown: np.ndarray, k: int):
+    """Per task: keep the k best candidates of every query over all its batches. `unknown`: queries without a vector."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        unit = targets / np.linalg.norm(targets, axis=1, keepdims=True)
     step = max(1, DISTANCE_CELLS // max(1, len(query_ids)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best_d = np.full((len(query_ids), 0), np.inf)
         best_i = np.empty((len(query_ids), 0), dtype="int64")
         for batch in batches:
-            rows, missing = as_matrix(batch.column(1), targets.shape[1])
-            ids = batch.column(0).to_numpy(zero_copy_only=False)[~missing]
+            vectors = batch.column(1)
+            rows = np.zeros((len(vectors), targets.shape[1]))
+            missing = np.ones(len(vectors), bool)
+            if not unknown.all():
+                known, missing = as_matrix(vectors, targets.shape[1])
+                rows[~missing] = known
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
             norms = np.linalg.norm(rows, axis=1)
-            rows, ids, norms = rows[norms > 0], ids[norms > 0], norms[norms > 0]
             for at in range(0, len(ids), step):
                 part = slice(at, at + step)
-                dist = np.round(1.0 - unit @ (rows[part] / norms[part, None]).T, 6) + 0.0
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    dist = np.round(1.0 - unit @ (rows[part] / norms[part, None]).T, 6) + 0.0
+                dist[np.isnan(dist)] = ZERO
+                dist[:, missing[part]] = MISSING
+                dist[unknown] = MISSING
                 best_d = np.concatenate([best_d, dist], axis=1)
                 best_i = np.concatenate([best_i, np.broadcast_to(ids[part], dist.shape)], axis=1)
                 order = np.lexsort((best_i, best_d), axis=1)[:, :k]
@@ -71,7 +85,8 @@ def _task_topk(query_ids: list, targets: np.ndarray, k: int):
             if best_d.shape[1]:
                 yield pa.RecordBatch.from_pydict({
                     "query_id": pa.array([query_id] * best_d.shape[1], pa.int64()),
-                    "id": pa.array(best_i[row], pa.int64()), "distance": pa.array(best_d[row], pa.float64())})
+                    "id": pa.array(best_i[row], pa.int64()),
+                    "distance": pa.array(np.where(best_d[row] == ZERO, np.nan, best_d[row]), pa.float64(), mask=best_d[row] == MISSING)})
 
     return run
 
@@ -82,9 +97,9 @@ def nearest_for_each(df: DataFrame, queries: DataFrame, k: int = 5, vector_col:
     """The k closest rows for every query vector, ids being 64-bit integers.
 
     Each task multiplies its vectors with a block of query vectors and keeps k rows
-    per query; no pair is written. The block sent to the tasks never exceeds
-    `block_bytes`: a larger query table is worked off in several passes. Vectors
-    without a direction are no candidates.
+    per query; no pair is written. A query table above `block_bytes` is worked off in
+    several passes, by hash, so that a block may be somewhat larger. Vectors and queries
+    without a direction are treated as in `nearest`.
     """
     spark = df.sparkSession
     # kept in the shared folder, since the size and every pass read it
@@ -101,13 +116,15 @@ def nearest_for_each(df: DataFrame, queries: DataFrame, k: int = 5, vector_col:
         held = queries.where(block == number).orderBy("q").toArrow()
         if held.num_rows == 0:
             continue
-        targets, _ = as_matrix(held.column("v").combine_chunks())
-        part = rows.mapInArrow(_task_topk(held.column("q").to_pylist(), targets, k), schema)
+        known, unknown = as_matrix(held.column("v").combine_chunks())
+        targets = np.zeros((held.num_rows, known.shape[1]))
+        targets[~unknown] = known
+        part = rows.mapInArrow(_task_topk(held.column("q").to_pylist(), targets, unknown, k), schema)
         found = part if found is None else found.unionByName(part)
     if found is None:
         return spark.createDataFrame([], schema)
     # the candidates of one query come from every task: merge them in two steps
-    order = [F.col("distance"), F.col("id")]
+    order = [F.col("distance").asc_nulls_last(), F.col("id")]
     spread = found.withColumn("_way", F.pmod(F.hash("id"), F.lit(MERGE_WAYS)))
     for keys in (["query_id", "_way"], ["query_id"]):
         rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

@@ -14,15 +14,15 @@ SUMMARY = [Measure("avg_temp", "avg", "temperature"), Measure("last_temp", "last
 
 
 def averages(data: DataFrame, width: str = "30 minutes") -> DataFrame:
-    return aggregate(add_bucket(data, width, "time", "period"), ["period"], AVERAGES)
+    return aggregate(add_bucket(data, width, "time", "period"), ["period"], AVERAGES).orderBy("period")
 
 
 def summary(data: DataFrame, width: str = "30 minutes") -> DataFrame:
-    return aggregate(add_bucket(data, width, "time", "period"), ["period"], SUMMARY)
+    return aggregate(add_bucket(data, width, "time", "period"), ["period"], SUMMARY).orderBy("period")
 
 
 def summary_per_sensor(data: DataFrame, width: str = "1 day") -> DataFrame:
-    return aggregate(add_bucket(data, width, "time", "period"), ["period", "sensor_id"], SUMMARY)
+    return aggregate(add_bucket(data, width, "time", "period"), ["period", "sensor_id"], SUMMARY).orderBy("period", "sensor_id")
 
 
 def summary_of_sensor(data: DataFrame, sensor_id: int, as_of, span: str, width: str) -> DataFrame:
@@ -35,4 +35,4 @@ def summary_by_location(data: DataFrame, sensors: DataFrame, width: str = "30 mi
     """Summary per location of the sensors."""
     located = sensors.select(F.col("id").alias("sensor_id"), "location")
     return aggregate_by_attribute(add_bucket(data, width, "time", "period"), located, "sensor_id",
-                                  ["period"], ["location"], SUMMARY)
+                                  ["period"], ["location"], SUMMARY).orderBy("period", "location")

@@ -7,6 +7,7 @@ their rows exactly. Probing every cell gives the exact answer.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,57 +20,67 @@ from tallyloom.operators.search import nearest
 from tallyloom.sources.files import Folder
 from tallyloom.sources.readers import small_frame
 
-# Default size below which clustering does not pay, and vectors used to place the centres.
+# Default size below which clustering does not pay.
 MIN_ROWS = 500
-TRAINING_ROWS = 256
 
 
 @dataclass(frozen=True)
 class IvfIndex:
-    """Where the copy lives, and how many cells it has."""
+    """Where the copy lives, and how many cells it has: by default the square root of the number of vectors."""
 
     path: str
-    cells: int = 16
+    cells: int | None = None
     vector_col: str = "embedding"
     id_col: str = "id"
 
-    def build(self, df: DataFrame, min_rows: int = MIN_ROWS, seed: int = 7) -> bool:
-        """Cluster and write every row; returns False, writing nothing, below `min_rows` rows.
+    def build(self, df: DataFrame, min_rows: int = MIN_ROWS, seed: int = 7, training_rows: int | None = None) -> bool:
+        """Cluster and write every row. Below `min_rows` rows there are no cells, and a search is exact.
 
-        The centres are placed on a sample of about TRAINING_ROWS rows per cell;
-        all rows are then assigned. Rows without a direction go to cell -1, which
-        every search reads.
+        The centres are placed on all rows, or on a sample of about `training_rows`.
+        Rows without a direction, or all rows without cells, go to cell -1, which every search reads.
+        Returns whether there are cells.
         """
         total = df.count()
-        if total < min_rows:
-            return False
         norm = F.sqrt(F.aggregate(self.vector_col, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
         whole = df.withColumn("_norm", norm)
-        directed = whole.where(F.col("_norm") > 0).withColumn(
-            "_raw", array_to_vector(F.transform(self.vector_col, lambda x: x.cast("double"))))
-        unit = Normalizer(inputCol="_raw", outputCol="_unit", p=2.0).transform(directed)
-        share = min(1.0, self.cells * TRAINING_ROWS / total)
-        model = KMeans(k=self.cells, seed=seed, featuresCol="_unit", predictionCol="cell").fit(
-            unit if share == 1.0 else unit.sample(fraction=share, seed=seed))
-        assigned = model.transform(unit).drop("_raw", "_unit", "_norm")
-        loose = whole.where(~(F.col("_norm") > 0) | F.col("_norm").isNull()).drop("_norm").withColumn("cell", F.lit(-1))
-        (assigned.unionByName(loose).hint("rebalance", F.col("cell"))
-         .write.mode("overwrite").partitionBy("cell").parquet(f"{self.path}/rows"))
+        clustered = total >= max(min_rows, 2)
+        centres = []
+        if clustered:
+            directed = whole.where(F.col("_norm") > 0).withColumn(
+                "_raw", array_to_vector(F.transform(self.vector_col, lambda x: x.cast("double"))))
+            unit = Normalizer(inputCol="_raw", outputCol="_unit", p=2.0).transform(directed)
+            share = 1.0 if training_rows is None else min(1.0, training_rows / total)
+            model = KMeans(k=self.cells or max(2, math.isqrt(total)), seed=seed, featuresCol="_unit", predictionCol="cell").fit(
+                unit if share == 1.0 else unit.sample(fraction=share, seed=seed))
+            loose = whole.where(~(F.col("_norm") > 0) | F.col("_norm").isNull()).drop("_norm").withColumn("cell", F.lit(-1))
+            rows = model.transform(unit).drop("_raw", "_unit", "_norm").unionByName(loose)
+            centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
+        else:
+            rows = df.withColumn("cell", F.lit(-1))
+        rows.hint("rebalance", F.col("cell")).write.mode("overwrite").partitionBy("cell").parquet(f"{self.path}/rows")
         spark = df.sparkSession
-        centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-        small_frame(spark, centres, "cell int, centre array<double>").write.mode("overwrite").parquet(f"{self.path}/centres")
-        return True
+        sizes = {r["cell"]: r["count"] for r in spark.read.parquet(f"{self.path}/rows").groupBy("cell").count().collect()} if centres else {}
+        small_frame(spark, [(i, c, sizes.get(i, 0)) for i, c in centres], "cell int, centre array<double>, size long").write.mode(
+            "overwrite").parquet(f"{self.path}/centres")
+        return clustered
 
     def drop(self, spark: SparkSession) -> None:
         if Folder(spark, f"{self.path}/centres").exists():
             Folder(spark, self.path).delete()
 
     def search(self, spark: SparkSession, query: list[float], k: int = 5, probes: int = 4) -> DataFrame:
-        """The k closest rows within the `probes` closest cells."""
+        """The k closest rows within the `probes` closest cells, and further cells while these hold fewer than k rows."""
         centres = spark.read.parquet(f"{self.path}/centres").orderBy("cell").collect()
-        matrix, target = np.array([c.centre for c in centres]), np.asarray(query)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            closeness = matrix @ target / (np.linalg.norm(matrix, axis=1) * np.linalg.norm(target))
-        chosen = [int(centres[i].cell) for i in np.argsort(-closeness, kind="stable")[:probes]]
+        chosen: list[int] = []
+        if centres:
+            matrix, target = np.array([c.centre for c in centres]), np.asarray(query)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                closeness = matrix @ target / (np.linalg.norm(matrix, axis=1) * np.linalg.norm(target))
+            held = 0
+            for i in np.argsort(-closeness, kind="stable"):
+                if len(chosen) >= probes and held >= k:
+                    break
+                chosen.append(int(centres[i].cell))
+                held += centres[i]["size"]
         rows = spark.read.parquet(f"{self.path}/rows").where(F.col("cell").isin([*chosen, -1])).drop("cell")
         return nearest(rows, query, k, self.vector_col, self.id_col)

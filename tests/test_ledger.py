@@ -56,6 +56,15 @@ def test_hops_respect_time_and_visit_once(chain):
     assert got == {"a": (1, 1, 1, 4), "b": (1, 1, 1, 2), "c": (2, 2, 1, 3), "d": (2, 3, 1, 5)}
 
 
+def test_an_earlier_time_of_a_later_hop_is_followed(spark):
+    """b is reached at 100 directly and at 50 through c; what it spent at 60 counts."""
+    data = spark.createDataFrame(rows_of((10, "t1", [("a", 1)], [("c", 1)]), (20, "t2", [("a", 1)], [("b", 1)]),
+                                         (12, "t3", [("c", 1)], [("b", 1)]), (15, "t4", [("b", 1)], [("d", 7)])), SCHEMA)
+    got = {r.address: (r.hop, r.outputs, int(r.total_value)) for r in ledger.flow_trace_hops(data, "a", 3).collect()}
+    assert got == {"b": (1, 1, 1), "c": (1, 1, 1), "d": (3, 1, 7)}
+    assert "d" not in {r.address for r in ledger.flow_trace_hops(data, "a", 2).collect()}
+
+
 def test_balance(chain):
     assert tuple(ledger.address_balance(chain, "a").first()) == (Decimal(9), 3)
     assert ledger.address_balance(chain, "a", signed=True).first()[0] == Decimal(1)

@@ -49,3 +49,12 @@ def test_chat_messages_and_answer(spark):
     assert json.loads(text) == [{"role": "system", "content": "be brief"}, {"role": "user", "content": 'two "lines"\nhere'}]
     reply = json.dumps({"choices": [{"message": {"content": "fine"}}, {"message": {"content": "no"}}]})
     assert one(spark, scalars.answer_text(F.col("x")), "x string", reply, "{}") == ["fine", None]
+
+
+def test_array_literals_with_quotes_and_nulls(spark):
+    from tallyloom.functions.scalars import parse_array_literal
+    cases = {'{a,b}': ["a", "b"], '{}': [], '{"a,b",c}': ["a,b", "c"], '{a,NULL,null,"NULL"}': ["a", None, None, "NULL"],
+             r'{"say \"hi\"","back\\slash"}': ['say "hi"', "back\\slash"], '{""}': [""], '{ a , b }': ["a", "b"], '{"{x}",y}': ["{x}", "y"], '{1}': ["1"]}
+    df = spark.createDataFrame(list(cases.items()) + [(None, None)], "t string, want array<string>")
+    for r in df.select("t", "want", parse_array_literal(df.t).alias("got")).collect():
+        assert r.got == r.want, r.t

@@ -78,6 +78,33 @@ def test_batch_search_matches_brute_force(spark, cloud, block_bytes):
     assert search.nearest_for_each(cloud, queries.limit(0), 7).count() == 0
 
 
+def test_batch_and_single_search_treat_vectors_alike(spark, colours):
+    """Zero and null vectors, among the rows and as queries."""
+    rows = colours.unionByName(spark.createDataFrame([(0, "none", None)], colours.schema))
+    asked = [(1, [1.0, 0.0, 0.0]), (2, [0.0, 0.0, 0.0]), (3, None)]
+    queries = spark.createDataFrame(asked, "query_id long, query_vector array<double>")
+    found = search.nearest_for_each(rows, queries, 12).collect()
+    plain = lambda d: "null" if d is None else "nan" if math.isnan(d) else d
+    for i, q in asked:
+        mine = [(r.id, plain(r.distance)) for r in sorted((r for r in found if r.query_id == i), key=lambda r: r["rank"])]
+        if q is None:
+            assert mine == [(k, "null") for k in range(11)]
+        else:
+            assert mine == [(r.id, plain(r.distance)) for r in search.nearest(rows, q, 12).collect()]
+
+
+def test_small_cells_are_filled_up_and_small_tables_are_exact(spark, cloud, tmp_path):
+    few = cloud.orderBy("id").limit(42).cache()
+    query = few.first().embedding
+    small, large = IvfIndex(str(tmp_path / "a")), IvfIndex(str(tmp_path / "b"), cells=20)
+    assert not small.build(few)
+    assert large.build(few, min_rows=10)
+    exact = search.nearest(few, query, 10).select("id", "distance").collect()
+    assert small.search(spark, query, 10, probes=1).select("id", "distance").collect() == exact
+    assert large.search(spark, query, 10, probes=1).count() == 10
+    assert large.search(spark, query, 50, probes=1).count() == 42
+
+
 def test_ivf(spark, cloud, tmp_path):
     index = IvfIndex(str(tmp_path / "ivf"), cells=8)
     with_zero = cloud.unionByName(spark.createDataFrame([(9999, [0.0] * 12)], cloud.schema))
