@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tallyloom.catalog.registry import CENTRE, RADIUS_MILES, query, rounded
 from tallyloom.functions.chunks import split_column
-from tallyloom.functions.embeddings import embed_column, hashing_provider
+from tallyloom.functions.embeddings import embed_column, embed_query, hashing_provider
 from tallyloom.functions.geo import METRES_PER_MILE, VINCENTY_STEPS, haversine_m
 from tallyloom.functions.scalars import rounded_int, size_pretty
 from tallyloom.functions.times import shifted
@@ -91,7 +91,7 @@ def vector_knn_batch(spark: SparkSession, root: str) -> DataFrame:
 
 @query("ann_topk")
 def ann_topk(spark: SparkSession, root: str) -> DataFrame:
-    """Approximate search over 4 of 16 cells; its recall is tested."""
+    """Approximate search over the 4 closest cells; its recall is tested."""
     index = IvfIndex(scratch_path(spark, "cells"), id_col="vec_id")
     index.build(views.table(spark, root, "embeddings"), min_rows=1)
     return index.search(spark, QUERY, 5, probes=4).drop("embedding")
@@ -103,7 +103,7 @@ def ann_topk_all_cells(spark: SparkSession, root: str) -> DataFrame:
     """The same index with every cell probed: the exact answer."""
     index = IvfIndex(scratch_path(spark, "cells"), id_col="vec_id")
     index.build(views.table(spark, root, "embeddings"), min_rows=1)
-    return index.search(spark, QUERY, 5, probes=index.cells).drop("embedding")
+    return index.search(spark, QUERY, 5, probes=10**9).drop("embedding")
 
 
 @query("semantic_search", f"""SELECT id, station_code, date, description, {_distance('embedding')} AS vector_distance
@@ -143,10 +143,14 @@ def rag_context_filtered(spark: SparkSession, root: str) -> DataFrame:
     return search.joined_reports(_filtered(spark, root), INSTRUCTION)
 
 
-@query("rag_messages")
+@query("rag_messages", f"""WITH hits AS ({FILTERED_SQL})
+SELECT 'system' AS first_role, '{search.SYSTEM_MESSAGE}' AS system, 'user' AS second_role,
+    concat('{INSTRUCTION}', string_agg(report, chr(10) ORDER BY distance, id)) AS content FROM hits""", ("reports", "stations"))
 def rag_messages(spark: SparkSession, root: str) -> DataFrame:
-    """The message document; the spacing of JSON differs between engines, so it has no SQL."""
-    return search.rag_messages(_filtered(spark, root), INSTRUCTION).select("messages")
+    """The message document, read back by path, as the spacing of JSON differs between engines."""
+    got = search.rag_messages(_filtered(spark, root), INSTRUCTION).select("messages")
+    paths = {"first_role": "$[0].role", "system": "$[0].content", "second_role": "$[1].role", "content": "$[1].content"}
+    return got.select([F.get_json_object("messages", path).alias(name) for name, path in paths.items()])
 
 
 @query("geo_distance", f"SELECT id, ROUND({ARC_SQL} / {METRES_PER_MILE}, 6) AS distance_miles FROM stations",
@@ -220,10 +224,14 @@ def text_chunks_rebuilt(spark: SparkSession, root: str) -> DataFrame:
         F.md5(F.array_join(F.transform(ordered, lambda c: c["chunk"]), "")).alias("text_md5"))
 
 
-@query("embedded_documents")
+@query("embedded_documents", """SELECT doc_id, 256 AS dimensions, CASE WHEN text = '' THEN 0.0 ELSE 1.0 END::DOUBLE AS length
+FROM documents""")
 def embedded_documents(spark: SparkSession, root: str) -> DataFrame:
+    """Size and length of the hashed embeddings, whose hash has no SQL."""
     documents = views.table(spark, root, "documents").select("doc_id", "text")
-    return embed_column(documents, "text", provider=hashing_provider(256)).select("doc_id", "embedding")
+    square = F.aggregate("embedding", F.lit(0.0).cast("double"), lambda a, x: a + x.cast("double") * x.cast("double"))
+    return rounded(embed_column(documents, "text", provider=hashing_provider(256)).select(
+        "doc_id", F.size("embedding").alias("dimensions"), F.sqrt(square).alias("length")), 4)
 
 
 @query("vectorizer_status", """SELECT COUNT(*) AS stored_items, CAST(0 AS BIGINT) AS pending_items FROM documents""")
@@ -235,6 +243,47 @@ def vectorizer_status(spark: SparkSession, root: str) -> DataFrame:
     return job.status(documents)
 
 
+CHUNK_QUESTION = "the that with and"
+
+
+def _vectorized(spark: SparkSession, root: str) -> tuple[Vectorizer, DataFrame]:
+    documents = views.table(spark, root, "documents")
+    job = Vectorizer(scratch_path(spark, "vectorizer"), "doc_id", "text", provider=hashing_provider(64))
+    job.run(documents)
+    return job, documents
+
+
+@query("chunk_search", """SELECT CAST(range AS INTEGER) AS rank, true AS in_text, true AS nearest,
+    CAST(0 AS BIGINT) AS pending_items FROM range(1, 11)""")
+def chunk_search(spark: SparkSession, root: str) -> DataFrame:
+    """The ten chunks closest to a question: vectoriser, its view, top-k, and only then the texts.
+
+    The embedding has no SQL, so each answer is checked: its chunk stands in its document,
+    and no chunk outside the answer is closer.
+    """
+    job, documents = _vectorized(spark, root)
+    chunks = job.view(documents.select("doc_id"))
+    question = embed_query(spark, CHUNK_QUESTION, hashing_provider(64))
+    scored = chunks.select("doc_id", "chunk_seq", "embedding", (F.col("doc_id") * 1_000_000 + F.col("chunk_seq")).alias("id"))
+    hits = search.nearest(scored, question, 10).select("doc_id", "chunk_seq", "id", "distance")
+    hits = hits.withColumn("rank", F.row_number().over(Window.orderBy("distance", "id")))
+    texts = job.view(documents.select("doc_id", "text")).select("doc_id", "chunk_seq", "chunk", "text")
+    worst = search.nearest(scored, question, 10).agg(F.max("distance")).scalar()
+    closer = search.nearest(scored, question, 11).where(F.col("distance") < worst).agg(F.count("*")).scalar()
+    return hits.join(texts, ["doc_id", "chunk_seq"]).select(
+        "rank", F.col("text").contains(F.col("chunk")).alias("in_text"), ((F.col("distance") <= worst) & (closer <= 10)).alias("nearest"),
+        job.pending(documents).agg(F.count("*")).scalar().alias("pending_items"))
+
+
+@query("chunk_view_documents", """SELECT doc_id, true AS starts, true AS ends FROM documents WHERE trim(text) <> ''""")
+def chunk_view_documents(spark: SparkSession, root: str) -> DataFrame:
+    """The destination view by document: its first chunk starts the text, its last one ends it."""
+    job, documents = _vectorized(spark, root)
+    view = job.view(documents.select("doc_id", "text"))
+    edges = view.groupBy("doc_id", "text").agg(F.min_by("chunk", "chunk_seq").alias("first"), F.max_by("chunk", "chunk_seq").alias("last"))
+    return edges.select("doc_id", F.col("text").startswith(F.col("first")).alias("starts"), F.col("text").endswith(F.col("last")).alias("ends"))
+
+
 @query("rounded_ints", "SELECT event_id, CAST(round_even(value, 0) AS INTEGER) AS rounded FROM events")
 def rounded_ints(spark: SparkSession, root: str) -> DataFrame:
     return views.table(spark, root, "events").select("event_id", rounded_int(F.col("value")).alias("rounded"))

@@ -7,8 +7,10 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.catalog.registry import AS_OF, SENSOR, query, rounded
-from tallyloom.functions.times import time_range
+from tallyloom.functions.measures import Measure
+from tallyloom.functions.times import add_bucket, time_range
 from tallyloom.operators import checks, sensors
+from tallyloom.operators.dimensions import aggregate_by_attribute
 from tallyloom.plans.rollup import Rollup
 from tallyloom.plans.timetable import TimeTable
 from tallyloom.session import scratch_path
@@ -47,6 +49,18 @@ def sensor_by_location(spark: SparkSession, root: str) -> DataFrame:
     return rounded(sensors.summary_by_location(views.sensor_data(spark, root), views.sensors(spark, root)))
 
 
+@query("stddev_by_location", """SELECT location, time_bucket(INTERVAL '1 day', time) AS period,
+    ROUND(STDDEV(temperature + 1000000), 6) AS spread, ROUND(AVG(cpu), 6) AS avg_cpu, COUNT(*) AS row_count
+FROM sensor_data JOIN sensors ON sensor_id = id GROUP BY 1, 2""", ("sensor_data", "sensors"))
+def stddev_by_location(spark: SparkSession, root: str) -> DataFrame:
+    """Spread of values far from zero, merged from one partial row per sensor and day."""
+    data = views.sensor_data(spark, root).withColumn("shifted", F.col("temperature") + 1000000)
+    located = views.sensors(spark, root).select(F.col("id").alias("sensor_id"), "location")
+    measures = [Measure("spread", "stddev", "shifted"), Measure("avg_cpu", "avg", "cpu"), Measure("row_count", "count")]
+    return rounded(aggregate_by_attribute(add_bucket(data, "1 day", "time", "period"), located, "sensor_id",
+                                          ["period"], ["location"], measures))
+
+
 @query("sensor_30m_one", summary_sql("30 minutes", one_sensor("14 days")), ("sensor_data",))
 def sensor_30m_one(spark: SparkSession, root: str) -> DataFrame:
     return rounded(sensors.summary_of_sensor(views.sensor_data(spark, root), SENSOR, AS_OF, "14 days", "30 minutes"))

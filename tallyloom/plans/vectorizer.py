@@ -44,8 +44,10 @@ class Vectorizer:
         return newest.select("id", "item.content_hash", "item.run")
 
     def _keyed(self, source: DataFrame) -> DataFrame:
-        text = F.coalesce(self.text_col, F.lit(""))
-        return source.select(F.col(self.id_col).alias("id"), F.sha2(text, 256).alias("content_hash"))
+        """One hash per id; rows that share an id are one item with all their texts."""
+        text = F.sha2(F.coalesce(self.text_col, F.lit("")), 256)
+        folded = source.groupBy(F.col(self.id_col).alias("id")).agg(F.array_join(F.sort_array(F.collect_set(text)), "").alias("t"))
+        return folded.select("id", F.when(F.length("t") > 64, F.sha2("t", 256)).otherwise(F.col("t")).alias("content_hash"))
 
     def _id_type(self, source: DataFrame) -> T.DataType:
         return source.schema[self.id_col].dataType
@@ -86,6 +88,14 @@ class Vectorizer:
         Folder(spark, listed).delete()
         return number
 
+    def vacuum(self, spark: SparkSession, id_type: T.DataType) -> int:
+        """Delete the chunks of runs of which no item is current. Returns how many runs went."""
+        current = {r.run for r in self._items(spark, id_type).where("content_hash IS NOT NULL").select("run").distinct().collect()}
+        dead = [n for n in Folder(spark, f"{self.path}/chunks").names("run=") if int(n[len("run="):]) not in current]
+        for name in dead:
+            Folder(spark, f"{self.path}/chunks/{name}").delete()
+        return len(dead)
+
     def view(self, source: DataFrame) -> DataFrame:
         """The source's rows with `chunk_seq`, `chunk` and `embedding`, one row per chunk."""
         spark, id_type = source.sparkSession, self._id_type(source)
