@@ -1,13 +1,14 @@
 """Near-duplicate documents: b-bit MinHash signatures, a multi-index Hamming join, exact confirmation.
 
 A document's set is its distinct shingles of five words (all its words, if fewer).
-Equal sets are one class from the start. A class has a signature of 126 slots of
-8 bits, laid out as 18 chunks of 7 slots. Two signatures that differ in at most
-35 slots have, by the pigeonhole principle, a chunk with at most one differing
+Equal sets are one class from the start. A class has a signature of 252 slots of
+8 bits, laid out as 36 chunks of 7 slots; the first 18 chunks are the index. Two signatures that differ in at most
+35 slots of these have, by the pigeonhole principle, a chunk with at most one differing
 slot. Every chunk is therefore listed 7 times, each time with one slot left out:
 chunks with at most one error meet under such a key, so the join misses no pair
 within the distance. At a similarity of 0.85 the distance has mean 19 and
-standard deviation 4, so that 35 is four deviations away.
+standard deviation 4, so that 35 is four deviations away. Over all 252 slots the limit is 60, four
+deviations above the mean of 38; it spares most comparisons of less similar texts.
 
 Pairs of one group are not all made. Classes that share a key are first compared
 with one member of it, its hub; what is linked gets one label. Then only pairs
@@ -32,18 +33,21 @@ from tallyloom.llm.frames import byte_blocks, small, written
 from tallyloom.llm.shingles import BLOCK_BYTES, mixed, shingles_of
 
 SIMILAR_PERCENT = 85
-CHUNKS = 18
+CHUNKS = 18  # that are listed
+ALL_CHUNKS = 36
 CHUNK_SLOTS = 7
 SLOTS = CHUNKS * CHUNK_SLOTS
-MAX_DISTANCE = 35  # 2 * CHUNKS - 1: some chunk then has at most one error
+ALL_SLOTS = ALL_CHUNKS * CHUNK_SLOTS
+MAX_DISTANCE = 35  # 2 * CHUNKS - 1: some listed chunk then has at most one error
+ALL_DISTANCE = 60
 HUB_ROUNDS = 2
 BLOCK = 4_000  # members of a key that meet in one task: two blocks
 BROADCAST_IDS = 2_000_000  # 16 MB of ids; more are joined by a shuffle
 
 _U = np.uint64
-_SEED = mixed(np.arange(1000, 1000 + 2 * SLOTS, dtype=np.uint64))
-_TIMES = (_SEED[:SLOTS] >> _U(32)).astype(np.uint32) | np.uint32(1)
-_PLUS = (_SEED[SLOTS:] >> _U(32)).astype(np.uint32)
+_SEED = mixed(np.arange(1000, 1000 + 2 * ALL_SLOTS, dtype=np.uint64))
+_TIMES = (_SEED[:ALL_SLOTS] >> _U(32)).astype(np.uint32) | np.uint32(1)
+_PLUS = (_SEED[ALL_SLOTS:] >> _U(32)).astype(np.uint32)
 # The bits of seven bytes, for counting bytes that are not zero.
 _LOW7 = _U(0x007F7F7F7F7F7F7F)
 _HIGH7 = _U(0x0080808080808080)
@@ -55,13 +59,13 @@ def _signatures(rows: np.ndarray, shingles: np.ndarray, n: int) -> tuple[np.ndar
     """Per row: size, two 64-bit sums that name the set, and the chunks as integers of 56 bits."""
     sizes = np.bincount(rows, minlength=n)
     some = np.flatnonzero(sizes)
-    hi, lo, chunks = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros((n, CHUNKS), np.uint64)
+    hi, lo, chunks = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros((n, ALL_CHUNKS), np.uint64)
     if len(some):
         firsts = (np.cumsum(sizes) - sizes)[some]
         hi[some] = np.add.reduceat(shingles, firsts)
         lo[some] = np.add.reduceat(mixed(shingles ^ _U(0xA5A5A5A5A5A5A5A5)), firsts)
         half = (shingles >> _U(32)).astype(np.uint32)
-        for k in range(SLOTS):
+        for k in range(ALL_SLOTS):
             low = np.minimum.reduceat(half * _TIMES[k] + _PLUS[k], firsts)
             byte = (low * np.uint32(0x9E3779B1)) >> np.uint32(24)
             chunks[some, k // CHUNK_SLOTS] |= byte.astype(np.uint64) << _U(8 * (k % CHUNK_SLOTS))
@@ -74,7 +78,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, raw, bounds in byte_blocks(batch.column(1), BLOCK_BYTES):
             n = len(bounds) - 1
             sizes, hi, lo, chunks = _signatures(*shingles_of(raw, bounds), n)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * CHUNKS),
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * ALL_CHUNKS),
                                              pa.array(chunks.reshape(-1).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(first, n), pa.array(sizes), pa.array(hi.view(np.int64)), pa.array(lo.view(np.int64)), lists],
@@ -102,7 +106,7 @@ def _deletion_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """Each chunk with each slot left out: 7 bits of place above 48 bits of slots."""
     for batch in batches:
         reps = batch.column(0).to_numpy()
-        chunks = batch.column(1).flatten().to_numpy().reshape(-1, CHUNKS).astype(np.uint64)
+        chunks = batch.column(1).flatten().to_numpy().view(np.uint64).reshape(-1, ALL_CHUNKS)[:, :CHUNKS]
         for start in range(0, len(reps), 2048):
             part = chunks[start:start + 2048]
             keys = np.empty((len(part), CHUNKS, CHUNK_SLOTS), np.uint64)
@@ -139,8 +143,8 @@ def _cross_pairs(group: dict[str, np.ndarray]) -> list[np.ndarray]:
         if not len(others):
             continue
         errors = _errors(sig[others], sig[k])
-        total = errors.sum(axis=1)
-        near = total <= MAX_DISTANCE
+        total = errors.sum(axis=1, dtype=np.int64)
+        near = (errors[:, :CHUNKS].sum(axis=1) <= MAX_DISTANCE) & (total <= ALL_DISTANCE)
         errors, total, others = errors[near], total[near], others[near]
         # of the keys that the two share, this one counts: the first fitting chunk, its first slot left out
         first = (errors <= 1).argmax(axis=1) == chunk
@@ -162,7 +166,7 @@ def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rest: dict[str, np.ndarray] | None = None
     for batch in batches:
         rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names if c != "signature"}
-        rows["signature"] = batch.column("signature").flatten().to_numpy().view(np.uint64).reshape(-1, CHUNKS)
+        rows["signature"] = batch.column("signature").flatten().to_numpy().view(np.uint64).reshape(-1, ALL_CHUNKS)
         if rest is not None:
             rows = {c: np.concatenate([rest[c], v]) for c, v in rows.items()}
         same = (rows["key"] == rows["key"][-1]) & (rows["i"] == rows["i"][-1]) & (rows["j"] == rows["j"][-1])

@@ -85,7 +85,7 @@ def test_no_pair_within_the_distance_is_missed():
     rng = np.random.default_rng(4)
     for errors in (0, 1, 17, 18, 30, 35):
         for _ in range(20):
-            a = rng.integers(0, 256, (neardup.CHUNKS, neardup.CHUNK_SLOTS), dtype=np.uint64)
+            a = rng.integers(0, 256, (neardup.ALL_CHUNKS, neardup.CHUNK_SLOTS), dtype=np.uint64)
             b = a.copy()
             for k in rng.choice(neardup.SLOTS, errors, replace=False):
                 b[k // 7, k % 7] ^= np.uint64(rng.integers(1, 256))
