@@ -3,16 +3,15 @@
 A table is a folder of Parquet day partitions ("chunks") plus a small log of what
 was done to them::
 
-    <path>/hot/<time>_day=2024-01-31/   current data
-    <path>/log/                         one row per action, appended
-    <path>/swap/<id>/                   chunks being replaced
-    <cold>/run=<id>/<time>_day=.../     chunks moved to the cold tier
-
-The jobs rewrite whole chunks with Spark, check the row counts, and only then put
-the new folder in place of the old one. `recover` finishes or undoes a swap that
-was cut short. Jobs on one table must not run at the same time as each other or as
-an append to the same chunk; a chunk that changed while it was rewritten is left
-as it was.
+    <path>/hot/run=<id>/<time>_day=2024-01-31/    rows of one append or one rewrite
+    <path>/log/                                   one row per action and day, appended
+    <cold>/run=<id>/<time>_day=.../               chunks moved to the cold tier
+
+The log alone says which runs of a day count: a rewrite of a day takes the place of all
+its earlier runs by the row that names the new one. No folder is moved or renamed, so a job that is
+cut short at any point leaves either the old rows or the new ones, also on an object store. What is no
+longer named is deleted afterwards (`sweep` finishes that). Rewrites of one table must not run at the same time as each other; a
+day to which rows were appended meanwhile is left as it was.
 """
 
 from __future__ import annotations
@@ -65,6 +64,10 @@ class TimeTable:
     def _stored(self) -> T.StructType:
         return self.struct.add(self.day_col, T.DateType())
 
+    @property
+    def hot(self) -> str:
+        return f"{self.path}/hot"
+
     @property
     def cold(self) -> str:
         return self.cold_path or f"{self.path}/cold"
@@ -73,7 +76,7 @@ class TimeTable:
         """Make the empty table; an existing one is not touched."""
         if Folder(spark, self.path).names() or Folder(spark, self.path).files():
             raise FileExistsError(self.path)
-        Folder(spark, f"{self.path}/hot").make()
+        Folder(spark, self.hot).make()
         self._record(spark, [("create", None, self.name, None, None)])
         return self
 
@@ -91,8 +94,8 @@ class TimeTable:
         for row in self.log(spark).where("action = 'dependant'").select("detail").distinct().collect():
             if Folder(spark, f"{row.detail}/log").exists():
                 Folder(spark, row.detail).delete()
-        for run in self._cold_runs(spark):
-            Folder(spark, f"{self.cold}/run={run}").delete()
+        for row in self.log(spark).where("action = 'tier'").select("detail").distinct().collect():
+            Folder(spark, f"{self.cold}/run={row.detail}").delete()
         Folder(spark, self.path).delete()
 
     # -- log ----------------------------------------------------------------
@@ -121,7 +124,10 @@ class TimeTable:
         missing = F.raise_error(F.lit(f"{self.time_col} must not be null"))
         typed = typed.withColumn(self.time_col, F.coalesce(
             F.col(self.time_col), missing.cast(self.struct[self.time_col].dataType)))
-        self._write(self._with_day(typed).hint("rebalance", F.col(self.day_col)), f"{self.path}/hot", "append")
+        spark, run = df.sparkSession, uuid.uuid4().hex
+        self._write(self._with_day(typed).hint("rebalance", F.col(self.day_col)), self._run(self.hot, run))
+        self._record(spark, [("append", day, run, None, self._size(spark, self.hot, run, day))
+                             for day in self._days(spark, self._run(self.hot, run))])
 
     def load(self, df: DataFrame) -> "TimeTable":
         """Turn an existing plain table into this one."""
@@ -131,8 +137,12 @@ class TimeTable:
     def _with_day(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.day_col, utc_day(F.col(self.time_col), self.struct[self.time_col].dataType))
 
-    def _write(self, df: DataFrame, path: str, mode: str, packed: bool = False) -> None:
-        writer = df.write.mode(mode).partitionBy(self.day_col).option("compression", "zstd" if packed else "snappy")
+    @staticmethod
+    def _run(root: str, run: str) -> str:
+        return f"{root}/run={run}"
+
+    def _write(self, df: DataFrame, path: str, packed: bool = False) -> None:
+        writer = df.write.mode("errorifexists").partitionBy(self.day_col).option("compression", "zstd" if packed else "snappy")
         if packed:
             # version 2 pages store sorted times as differences
             writer = writer.option("parquet.writer.version", "v2")
@@ -140,22 +150,42 @@ class TimeTable:
                 writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
         writer.parquet(path)
 
-    def _hot(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(self._stored).parquet(f"{self.path}/hot")
-
-    def _cold_frame(self, spark: SparkSession) -> DataFrame | None:
-        runs = self._cold_runs(spark)
-        if not runs or not Folder(spark, self.cold).exists():
+    def _live(self, spark: SparkSession) -> DataFrame:
+        """(tier, chunk, run, action, bytes_before, bytes_after) of the runs that count."""
+        log = self.log(spark).where("chunk IS NOT NULL")
+        replaced = F.col("action").isin("compact", "expand", "tier", "retain")
+        marks = log.groupBy("chunk").agg(F.max(F.when(replaced, F.col("at"))).alias("hot_from"),
+                                         F.max(F.when(F.col("action") == "retain", F.col("at"))).alias("gone"))
+        live = log.join(marks, "chunk").where(
+            "(action = 'append' AND (hot_from IS NULL OR at > hot_from)) OR (action IN ('compact', 'expand') AND at = hot_from)"
+            " OR (action = 'tier' AND (gone IS NULL OR at > gone))")
+        tier = F.when(F.col("action") == "tier", "cold").otherwise("hot").alias("tier")
+        return live.select(tier, "chunk", F.col("detail").alias("run"), "action", "bytes_before", "bytes_after")
+
+    def _live_runs(self, spark: SparkSession, tier: str) -> dict[date, list[tuple[str, str]]]:
+        """(run, action) by day: one entry for each append or rewrite that still counts."""
+        found: dict[date, list[tuple[str, str]]] = {}
+        for r in self._live(spark).where(F.col("tier") == tier).orderBy("chunk", "run").collect():
+            found.setdefault(r.chunk, []).append((r.run, r.action))
+        return found
+
+    def _rows(self, spark: SparkSession, tier: str) -> DataFrame | None:
+        """Rows of the runs that count; both filters are on partition columns."""
+        root, live = (self.hot if tier == "hot" else self.cold), self._live_runs(spark, tier)
+        if not live:
             return None
-        stored = self._stored.add("run", T.StringType())
-        return (spark.read.schema(stored).parquet(self.cold).where(F.col("run").isin(runs)).drop("run"))
+        runs = sorted({run for pairs in live.values() for run, _ in pairs})
+        named = sorted(f"{run}/{day}" for day, pairs in live.items() for run, _ in pairs)
+        rows = spark.read.schema(self._stored.add("run", T.StringType())).parquet(root).where(F.col("run").isin(runs))
+        return rows.where(F.concat_ws("/", "run", F.col(self.day_col).cast("string")).isin(named)).drop("run")
 
-    def _cold_runs(self, spark: SparkSession) -> list[str]:
-        return sorted(r.detail for r in self.log(spark).where("action = 'tier'").select("detail").distinct().collect())
+    def _hot(self, spark: SparkSession) -> DataFrame:
+        rows = self._rows(spark, "hot")
+        return spark.createDataFrame([], self._stored) if rows is None else rows
 
     def read(self, spark: SparkSession, include_tiered: bool = True) -> DataFrame:
         """All rows with their day column; `times.time_range` and `times.trailing` prune by it."""
-        cold = self._cold_frame(spark) if include_tiered else None
+        cold = self._rows(spark, "cold") if include_tiered else None
         return self._hot(spark) if cold is None else self._hot(spark).unionByName(cold)
 
     # -- chunks -------------------------------------------------------------
@@ -164,33 +194,21 @@ class TimeTable:
         prefix = f"{self.day_col}="
         return [date.fromisoformat(n[len(prefix):]) for n in Folder(spark, path).names(prefix)]
 
-    def _chunk(self, spark: SparkSession, root: str, day: date) -> Folder:
-        return Folder(spark, f"{root}/{self.day_col}={day.isoformat()}")
-
-    def _hot_chunk(self, spark: SparkSession, day: date) -> Folder:
-        return self._chunk(spark, f"{self.path}/hot", day)
+    def _size(self, spark: SparkSession, root: str, run: str, day: date) -> int:
+        return sum(self._chunk(spark, root, run, day).files().values())
 
-    def _compacted(self, spark: SparkSession) -> dict[date, tuple[int, int]]:
-        """Bytes before and after of the chunks whose last rewrite was a compaction."""
-        rows = self.log(spark).where("action IN ('compact', 'expand')").groupBy("chunk").agg(
-            F.max_by(F.struct("action", "bytes_before", "bytes_after"), "at").alias("last")).select("chunk", "last.*")
-        return {r.chunk: (r.bytes_before, r.bytes_after) for r in rows.collect() if r.action == "compact"}
-
-    def _is_compacted(self, spark: SparkSession, day: date, done: dict[date, tuple[int, int]]) -> bool:
-        return day in done and sum(self._hot_chunk(spark, day).files().values()) == done[day][1]
+    def _chunk(self, spark: SparkSession, root: str, run: str, day: date) -> Folder:
+        return Folder(spark, f"{self._run(root, run)}/{self.day_col}={day.isoformat()}")
 
     def chunks(self, spark: SparkSession) -> DataFrame:
-        """One row per chunk: name, time range, whether it is compacted, and its tier."""
-        done = self._compacted(spark)
-        hot = [(d, self._is_compacted(spark, d, done), "hot") for d in self._days(spark, f"{self.path}/hot")]
-        cold = {(d, True, "cold") for run in self._cold_runs(spark) for d in self._days(spark, f"{self.cold}/run={run}")}
-        rows = [(f"{self.name}_{d:%Y%m%d}", d.isoformat(), (d + timedelta(days=1)).isoformat(), packed, tier)
-                for d, packed, tier in sorted([*hot, *cold])]
-        frame = small_frame(spark, rows, "chunk_name string, lo string, hi string, is_compressed boolean, tier string")
+        """One row per chunk: name, time range, whether it is compacted, and its tier; read from the log."""
+        packed = F.max(F.col("action").isin("compact", "tier")) & (F.count(F.lit(1)) == F.count_if(F.col("action").isin("compact", "tier")))
+        found = self._live(spark).groupBy("chunk", "tier").agg(packed.alias("is_compressed"))
         time = self.struct[self.time_col].dataType
         zone = F.lit(" 00:00:00" if isinstance(time, T.TimestampNTZType) else " 00:00:00Z")
-        return frame.select("chunk_name", F.concat("lo", zone).cast(time).alias("range_start"),
-                            F.concat("hi", zone).cast(time).alias("range_end"), "is_compressed", "tier")
+        return found.select(F.concat(F.lit(f"{self.name}_"), F.date_format("chunk", "yyyyMMdd")).alias("chunk_name"),
+                            F.concat(F.col("chunk").cast("string"), zone).cast(time).alias("range_start"),
+                            F.concat(F.date_add("chunk", 1).cast("string"), zone).cast(time).alias("range_end"), "is_compressed", "tier")
 
     def tiered_chunks(self, spark: SparkSession) -> DataFrame:
         return self.chunks(spark).where("tier = 'cold'").drop("tier")
@@ -202,7 +220,7 @@ class TimeTable:
     def _hot_before(self, spark: SparkSession, older_than: timedelta, as_of: datetime) -> list[date]:
         """Chunks that end at or before ``as_of - older_than``."""
         edge = as_of - older_than
-        return [d for d in self._days(spark, f"{self.path}/hot")
+        return [d for d in self._live_runs(spark, "hot")
                 if datetime.combine(d, datetime.min.time()) + timedelta(days=1) <= edge]
 
     # -- rewriting ----------------------------------------------------------
@@ -213,105 +231,92 @@ class TimeTable:
 
     def compact(self, spark: SparkSession, days: list[date] | None = None) -> list[date]:
         """Rewrite chunks sorted by segment and order, zstd, few files. Returns the chunks done."""
-        self.recover(spark)
-        done = self._compacted(spark)
-        every = self._days(spark, f"{self.path}/hot")
-        todo = [d for d in (every if days is None else days) if not self._is_compacted(spark, d, done)]
-        return self._rewrite(spark, todo, "compact", self._arranged, True)
+        live = self._live_runs(spark, "hot")
+        todo = [d for d in live if (days is None or d in days) and [a for _, a in live[d]] != ["compact"]]
+        return self._rewrite(spark, todo, live, "compact", self._arranged, True)
 
     def compact_older_than(self, spark: SparkSession, older_than: timedelta, as_of: datetime) -> list[date]:
         return self.compact(spark, self._hot_before(spark, older_than, as_of))
 
     def expand(self, spark: SparkSession, days: list[date] | None = None) -> list[date]:
         """Undo compaction: the same rows as plain files."""
-        self.recover(spark)
-        done = self._compacted(spark)
-        every = self._days(spark, f"{self.path}/hot")
-        todo = [d for d in (every if days is None else days) if d in done]
-        return self._rewrite(spark, todo, "expand", lambda df: df, False)
+        live = self._live_runs(spark, "hot")
+        todo = [d for d in live if (days is None or d in days) and "compact" in [a for _, a in live[d]]]
+        return self._rewrite(spark, todo, live, "expand", lambda df: df, False)
 
-    def _rewrite(self, spark: SparkSession, days: list[date], action: str, arrange, packed: bool) -> list[date]:
+    def _rewrite(self, spark: SparkSession, days: list[date], live: dict[date, list[tuple[str, str]]], action: str,
+                 arrange, packed: bool) -> list[date]:
         if not days:
             return []
-        swap = f"{self.path}/swap/{uuid.uuid4().hex}"
-        before = {d: self._hot_chunk(spark, d).files() for d in days}
+        run = self._copied(spark, days, self.hot, arrange, packed)
+        now = self._live_runs(spark, "hot")
+        done = [d for d in days if now.get(d) == live[d]]
+        for day in set(days) - set(done):
+            self._chunk(spark, self.hot, run, day).delete()
+        self._record(spark, [(action, d, run, sum(self._size(spark, self.hot, r, d) for r, _ in live[d]),
+                              self._size(spark, self.hot, run, d)) for d in done])
+        self.sweep(spark)
+        return done
+
+    def _copied(self, spark: SparkSession, days: list[date], root: str, arrange, packed: bool) -> str:
+        """The hot rows of some days, written as a new run that no log row names yet; their counts are checked."""
+        run = uuid.uuid4().hex
         rows = self._hot(spark).where(F.col(self.day_col).isin(days))
-        self._write(arrange(rows.hint("rebalance", F.col(self.day_col))), f"{swap}/new", "errorifexists", packed)
-        self._check_counts(spark, rows, f"{swap}/new")
-        entries = []
-        for day in days:
-            current, new = self._hot_chunk(spark, day), self._chunk(spark, f"{swap}/new", day)
-            if current.files() != before[day]:
-                continue
-            current.move_to(self._chunk(spark, f"{swap}/old", day))
-            new.move_to(current)
-            entries.append((action, day, None, sum(before[day].values()), sum(current.files().values())))
-        self._record(spark, entries)
-        Folder(spark, swap).delete()
-        return [entry[1] for entry in entries]
-
-    def _check_counts(self, spark: SparkSession, rows: DataFrame, written: str) -> None:
+        self._write(arrange(rows.hint("rebalance", F.col(self.day_col))), self._run(root, run), packed)
+
         def counts(df: DataFrame, name: str) -> DataFrame:
             return df.groupBy(self.day_col).agg(F.count("*").alias(name))
 
-        copy = spark.read.schema(self._stored).parquet(written)
+        copy = spark.read.schema(self._stored).parquet(self._run(root, run))
         wrong = counts(rows, "a").join(counts(copy, "b"), self.day_col, "full").where("NOT (a <=> b)")
         if not wrong.isEmpty():
             raise RuntimeError(f"row counts changed while rewriting {self.name}; nothing was replaced")
-
-    def recover(self, spark: SparkSession) -> None:
-        """Put back every chunk whose replacement was cut short."""
-        tiered = set(self._cold_runs(spark))
-        for name in Folder(spark, f"{self.path}/swap").names():
-            swap = f"{self.path}/swap/{name}"
-            for day in self._days(spark, f"{swap}/old"):
-                if name not in tiered and not self._hot_chunk(spark, day).exists():
-                    self._chunk(spark, f"{swap}/old", day).move_to(self._hot_chunk(spark, day))
-            Folder(spark, swap).delete()
+        return run
+
+    def sweep(self, spark: SparkSession) -> None:
+        """Delete chunks that the log has named and no longer counts. Unnamed runs may still be being written and stay."""
+        logged = {(r.detail, r.chunk) for r in self.log(spark).where("chunk IS NOT NULL").select("detail", "chunk").distinct().collect()}
+        for root, tier in ((self.hot, "hot"), (self.cold, "cold")):
+            live = {(run, day) for day, pairs in self._live_runs(spark, tier).items() for run, _ in pairs}
+            for name in Folder(spark, root).names("run="):
+                run = name[len("run="):]
+                days = self._days(spark, f"{root}/{name}")
+                dead = [d for d in days if (run, d) in logged and (run, d) not in live]
+                for day in dead:
+                    self._chunk(spark, root, run, day).delete()
+                if dead and len(dead) == len(days):
+                    Folder(spark, f"{root}/{name}").delete()
 
     # -- tiering and retention ----------------------------------------------
 
     def tier(self, spark: SparkSession, older_than: timedelta, as_of: datetime) -> list[date]:
         """Move old chunks to the cold tier, which may be on another file system.
 
-        The copy only counts once the log names its run, so a job cut short
-        leaves neither a gap nor a double.
+        The copy counts, and the hot rows no longer do, once the log names its run; a
+        job cut short leaves neither a gap nor a double.
         """
-        self.recover(spark)
+        live = self._live_runs(spark, "hot")
         days = self._hot_before(spark, older_than, as_of)
         if not days:
             return []
-        run = uuid.uuid4().hex
-        rows = self._hot(spark).where(F.col(self.day_col).isin(days))
-        before = {d: self._hot_chunk(spark, d).files() for d in days}
-        target = f"{self.cold}/run={run}"
-        self._write(self._arranged(rows.hint("rebalance", F.col(self.day_col))), target, "errorifexists", True)
-        self._check_counts(spark, rows, target)
-        if any(self._hot_chunk(spark, d).files() != before[d] for d in days):
-            Folder(spark, target).delete()
+        run = self._copied(spark, days, self.cold, self._arranged, True)
+        now = self._live_runs(spark, "hot")
+        if any(now.get(d) != live[d] for d in days):
+            Folder(spark, self._run(self.cold, run)).delete()
             raise RuntimeError("a chunk changed while it was tiered; nothing was moved")
-        swap = f"{self.path}/swap/{run}"
-        for day in days:
-            self._hot_chunk(spark, day).move_to(self._chunk(spark, f"{swap}/old", day))
-        self._record(spark, [("tier", day, run, sum(before[day].values()),
-                              sum(self._chunk(spark, target, day).files().values())) for day in days])
-        Folder(spark, swap).delete()
+        self._record(spark, [("tier", d, run, sum(self._size(spark, self.hot, r, d) for r, _ in live[d]),
+                              self._size(spark, self.cold, run, d)) for d in days])
+        self.sweep(spark)
         return days
 
     def drop_older_than(self, spark: SparkSession, older_than: timedelta, as_of: datetime) -> list[date]:
-        """Delete whole chunks, hot and cold, that end at or before ``as_of - older_than``."""
-        self.recover(spark)
+        """Drop whole chunks, hot and cold, that end at or before ``as_of - older_than``."""
         edge = as_of - older_than
-        gone = set(self._hot_before(spark, older_than, as_of))
-        for day in gone:
-            self._hot_chunk(spark, day).delete()
-        for run in self._cold_runs(spark):
-            for day in self._days(spark, f"{self.cold}/run={run}"):
-                if datetime.combine(day, datetime.min.time()) + timedelta(days=1) <= edge:
-                    self._chunk(spark, f"{self.cold}/run={run}", day).delete()
-                    gone.add(day)
-        self._record(spark, [("retain", day, None, None, None) for day in sorted(gone)])
-        return sorted(gone)
+        every = {*self._live_runs(spark, "hot"), *self._live_runs(spark, "cold")}
+        gone = sorted(d for d in every if datetime.combine(d, datetime.min.time()) + timedelta(days=1) <= edge)
+        self._record(spark, [("retain", day, None, None, None) for day in gone])
+        self.sweep(spark)
+        return gone
 
     # -- policies -----------------------------------------------------------
 
@@ -337,9 +342,8 @@ class TimeTable:
 
     def compaction_stats(self, spark: SparkSession) -> DataFrame:
         """Bytes before and after compaction over the compacted chunks, and the share saved."""
-        done = self._compacted(spark)
-        sizes = small_frame(spark, [(sum(b for b, _ in done.values()), sum(a for _, a in done.values()))],
-                            "before_bytes long, after_bytes long")
+        sizes = self._live(spark).where("action = 'compact'").agg(
+            F.coalesce(F.sum("bytes_before"), F.lit(0)).alias("before_bytes"), F.coalesce(F.sum("bytes_after"), F.lit(0)).alias("after_bytes"))
         before, after = F.col("before_bytes"), F.col("after_bytes")
         return sizes.select(before, after, size_pretty(before).alias("before"), size_pretty(after).alias("after"),
                             percent_saved(before, after).alias("compression_ratio_percent"))

@@ -27,15 +27,23 @@ def no_broadcast(spark):
 def test_filters_reach_the_scan_and_columns_are_pruned(spark):
     text = plan(market.candles_1d(spark, DATA))
     assert "EqualTo(event_type,purchase)" in text and "GreaterThanOrEqual(ts,2024-0" in text
-    assert "event_id" not in text and text.count("Exchange") == 1
+    # one shuffle for the buckets, one to put them in order
+    assert "event_id" not in text and text.count("Exchange hashpartitioning") == 1 and text.count("Exchange") == 2
 
 
 def test_one_shuffle_for_a_summary(spark):
-    for query in (health.daily_health_summary, sensors.sensor_30m_last, sensors.sensor_by_location, health.daily_activity):
+    for query in (health.daily_health_summary, sensors.sensor_30m_last):
         text = plan(query(spark, DATA))
         assert text.count("Exchange hashpartitioning") == 1, text
 
 
+def test_facts_are_reduced_before_the_dimension(spark):
+    """One shuffle of partial rows by bucket and key, and one of joined partials by bucket and attribute."""
+    for query in (sensors.sensor_by_location, health.daily_activity):
+        text = plan(query(spark, DATA))
+        assert text.count("Exchange hashpartitioning") == 2, text
+
+
 def test_top_k_needs_no_sort(spark):
     for query in (health.latest_readings, ledger.recent_for_address, search.vector_topk):
         text = plan(query(spark, DATA))
@@ -43,9 +51,9 @@ def test_top_k_needs_no_sort(spark):
     assert "Exchange" not in plan(search.vector_topk(spark, DATA))
 
 
-def test_newest_ticks_are_limited_before_the_shuffle(spark):
+def test_newest_ticks_are_a_partial_top_k(spark):
     text = plan(market.ticks_with_asset(spark, DATA))
-    assert "WindowGroupLimit" in text and "Partial" in text
+    assert "TakeOrderedAndProject" in text and "Window" not in text and "Sort" not in text
 
 
 def test_no_query_pairs_everything(spark, no_broadcast):
