@@ -13,6 +13,7 @@ from tallyloom.plans.rollup import Rollup
 from tallyloom.plans.timetable import TimeTable
 from tallyloom.session import scratch_path
 from tallyloom.sources import views
+from tallyloom.sources.readers import read_csv
 from tallyloom.streaming.rollup import StreamRollup
 
 TICK_SCHEMA = "time timestamp_ntz, symbol string, price double, day_volume decimal(18,2)"
@@ -111,6 +112,50 @@ def candles_from_stream(spark: SparkSession, root: str) -> DataFrame:
     return rollup.read(spark).withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
 
 
+@query("candles_from_csv", CANDLES_SQL.format(where=""), ("ticks",))
+def candles_from_csv(spark: SparkSession, root: str) -> DataFrame:
+    """The ticks written as gzip CSV with a header, loaded into the declared schema."""
+    path = scratch_path(spark, "csv")
+    text = views.ticks(spark, root).withColumn("time", F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    text.write.option("header", True).option("compression", "gzip").csv(path)
+    return market.candles(read_csv(spark, path, TICK_SCHEMA, partitions=8))
+
+
+@query("order_tags", """SELECT o_orderkey, 3 AS n_tags, o_orderstatus AS first_tag, o_orderpriority || ', or so' AS second_tag,
+    CAST(NULL AS VARCHAR) AS third_tag FROM orders""")
+def order_tags(spark: SparkSession, root: str) -> DataFrame:
+    """An array column loaded from CSV literals with quoted items and nulls."""
+    path = scratch_path(spark, "csv")
+    tags = F.concat(F.lit("{"), "o_orderstatus", F.lit(',"'), "o_orderpriority", F.lit(', or so",NULL}'))
+    views.table(spark, root, "orders").select("o_orderkey", tags.alias("tags")).write.option("header", True).option("escape", '"').csv(path)
+    got = read_csv(spark, path, "o_orderkey long, tags array<string>")
+    return got.select("o_orderkey", F.size("tags").alias("n_tags"), *[F.get("tags", F.lit(i)).alias(f"{name}_tag")
+                                                                        for i, name in enumerate(("first", "second", "third"))])
+
+
+@query("candles_live_after_insert", CANDLES_SQL.format(where=""), ("ticks",))
+def candles_live_after_insert(spark: SparkSession, root: str) -> DataFrame:
+    """A roll-up over a table, rows inserted afterwards, and a read that shows them at once."""
+    ticks = views.ticks(spark, root)
+    edge = datetime.fromisoformat(AS_OF) - timedelta(days=5)
+    table = TimeTable("ticks", scratch_path(spark, "ticks"), TICK_SCHEMA, "time", ("symbol",), ("time DESC",)).load(
+        time_range(ticks, "time", hi=edge))
+    rollup = candle_rollup(spark).create(table.read(spark))
+    table.append(time_range(ticks, "time", lo=edge))
+    return rollup.read(table.read(spark))
+
+
+@query("candles_other_layout", CANDLES_SQL.format(where=""), ("ticks",))
+def candles_other_layout(spark: SparkSession, root: str) -> DataFrame:
+    """A compacted table whose layout is changed, expanded and compacted anew."""
+    table = tick_table(spark, root)
+    table.compact(spark)
+    table.expand(spark)
+    other = table.with_layout(("day_volume",), ("price ASC",))
+    other.compact(spark)
+    return market.candles(other.read(spark))
+
+
 @query("bucket_counts", """SELECT time_bucket(INTERVAL '30 minutes', time) AS half_hour,
     time_bucket(INTERVAL '1 hour', time) AS hour, time_bucket(INTERVAL '1 day', time) AS day, COUNT(*) AS row_count
 FROM ticks GROUP BY 1, 2, 3""", ("ticks",))

@@ -17,7 +17,7 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
 
     `columns` names the file's columns in file order when only some of the table's
     columns are present; the others come back null. Array columns hold ``{a,b}``
-    literals. A gzip file cannot be split, so give `partitions` to spread its rows
+    literals, quotes inside a quoted value are doubled. A gzip file cannot be split, so give `partitions` to spread its rows
     after the read; many smaller files need no such shuffle.
     """
     if isinstance(schema, str):
@@ -26,7 +26,7 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     fields = [schema[name] for name in in_file]
     as_text = T.StructType([
         T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.ArrayType) else f.dataType) for f in fields])
-    df = (spark.read.schema(as_text).option("header", header).option("sep", delimiter)
+    df = (spark.read.schema(as_text).option("header", header).option("sep", delimiter).option("escape", '"')
           .option("mode", "FAILFAST").option("enforceSchema", not header).csv(path))
     if partitions is not None:
         df = df.repartition(partitions)
