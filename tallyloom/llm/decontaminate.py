@@ -20,7 +20,7 @@ from tallyloom.llm.frames import ascii_lower, small, written
 
 WINDOW = 13
 PARTS = 20  # contaminated: one word in 20, or more, is hit
-BROADCAST_WINDOWS = 300_000  # about 60 MB of windows
+BROADCAST_WINDOWS = 64_000_000  # bytes of windows with their items, and of anchors
 # Fixed value: characters between words.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -56,8 +56,8 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> D
     Every row of `docs` also gives one row without length and items.
     """
     table = written(windows(benchmark, width), "windows")
-    anchors = small(written(_anchored(table), "anchors"), BROADCAST_WINDOWS)
-    table = small(table, BROADCAST_WINDOWS)
+    anchors = _anchored(table)
+    table = small(table, BROADCAST_WINDOWS, F.octet_length("window") + F.octet_length(F.array_join("items", ",")))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _words(F.col("text")).alias("words"))
     blank = (F.element_at("words", 1) == "").cast("int")
     last_blank = ((F.element_at("words", -1) == "") & (F.size("words") > 1)).cast("int")
@@ -66,7 +66,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> D
     entries = own.select("doc_id", "words", "skip", "n_words", F.posexplode(F.concat(F.array(F.lit(" ")), "words")).alias("pos", "word"))
     anchors = anchors.union(anchors.sparkSession.range(1).select(
         F.lit(" ").alias("anchor"), F.array(F.struct(F.lit(0).alias("length"), F.lit(0).alias("offset"))).alias("places")))
-    anchors = small(written(anchors, "anchors"), BROADCAST_WINDOWS)
+    anchors = small(written(anchors, "anchors"), BROADCAST_WINDOWS, F.octet_length("anchor") + 8 * F.size("places"))
     met = entries.join(anchors, F.lower("word") == F.col("anchor"))
     start = F.col("pos") - F.col("place.offset")  # from 1, as arrays are
     met = (met.select("doc_id", "words", "skip", "n_words", "pos", F.explode("places").alias("place"))

@@ -21,12 +21,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """The frame with a broadcast hint if a count finds at most `rows` rows, else as it is.
+def small(df: DataFrame, limit: int, size: Column) -> DataFrame:
+    """The frame with a broadcast hint if the bytes of its rows (`size` for each) add up to at most `limit`, else as it is.
 
-    `df` should be a written table, so that counting it reads no data.
+    `df` should be a written table, as it is read once for the sum.
     """
-    return F.broadcast(df) if df.count() <= rows else df
+    return F.broadcast(df) if (df.agg(F.sum(size.cast("long"))).first()[0] or 0) <= limit else df
 
 
 def ascii_lower(col: Column) -> Column:

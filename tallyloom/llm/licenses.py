@@ -32,7 +32,7 @@ GAP = 3  # lines without a cue that may stand inside a block
 MIN_SAVED = 0.3
 ALIGNED = 8  # best templates that are aligned
 MISSING = 0.1  # share of the template's words that may differ
-BROADCAST_BLOCKS = 200_000
+BROADCAST_BLOCKS = 64_000_000  # bytes of judged blocks; more are joined by a shuffle
 
 # Notices and license texts with their SPDX names.
 TEMPLATES = {
@@ -205,7 +205,7 @@ def license_blocks(docs: DataFrame) -> DataFrame:
     blocks = written(texts.mapInArrow(_blocks, "text_key binary, block string").distinct(), "license-blocks")
     judged = blocks.select("block").distinct().mapInArrow(
         _judge, "block string, matches array<struct<name: string, saved: double, differences: array<string>>>")
-    return blocks.join(small(written(judged, "judged"), BROADCAST_BLOCKS), "block")
+    return blocks.join(small(written(judged, "judged"), BROADCAST_BLOCKS, F.octet_length("block") + 100 * F.size("matches")), "block")
 
 
 def licenses(docs: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ MIN_SITES = 10
 LOG_REGISTERS = 12
 # Fixed value: relative standard error of a sketch with 2^12 registers, three times over.
 BAND = 3 * 1.04 / 2 ** (LOG_REGISTERS / 2)
-BROADCAST_CUTS = 500_000  # texts with cut lines, 30 to 100 bytes each; more are joined by a shuffle
+BROADCAST_CUTS = 64_000_000  # bytes of text and line hashes; more are joined by a shuffle
 
 
 def _key(line: Column) -> Column:
@@ -61,7 +61,7 @@ def line_dedup(docs: DataFrame, min_sites: int = MIN_SITES, counts: bool = False
     found = written(boilerplate(texts, min_sites), "boilerplate")
     cuts = (texts.select("text_key", F.explode("keys").alias("line")).join(found, "line")
             .groupBy("text_key").agg(F.collect_set("line").alias("cut")))
-    cuts = small(written(cuts, "cuts"), BROADCAST_CUTS)
+    cuts = small(written(cuts, "cuts"), BROADCAST_CUTS, 32 + 24 * F.size("cut"))
 
     names = docs.columns
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("text").cast("string").alias("text"))

@@ -42,7 +42,7 @@ MAX_DISTANCE = 35  # 2 * CHUNKS - 1: some listed chunk then has at most one erro
 ALL_DISTANCE = 60
 HUB_ROUNDS = 2
 BLOCK = 4_000  # members of a key that meet in one task: two blocks
-BROADCAST_IDS = 2_000_000  # 16 MB of ids; more are joined by a shuffle
+BROADCAST_IDS = 16_000_000  # bytes of ids; more are joined by a shuffle
 
 _U = np.uint64
 _SEED = mixed(np.arange(1000, 1000 + 2 * ALL_SLOTS, dtype=np.uint64))
@@ -187,12 +187,12 @@ class _Exact:
     def similar(self, pairs: DataFrame) -> DataFrame:
         """Those pairs (a, b) of doc_ids whose full sets reach the similarity."""
         ids = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id")
-        ids = small(written(ids, "wanted"), BROADCAST_IDS)
+        ids = small(written(ids, "wanted"), BROADCAST_IDS, F.lit(8))
         sets = written(self.texts.join(ids, "doc_id", "left_semi")
                        .mapInArrow(_sets, "doc_id long, shingles array<long>"), "sets")
         both = (pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-                .select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("common"),
-                        (F.size("sa") + F.size("sb")).alias("total")))
+                .select("a", "b", F.size(F.array_intersect("sa", "sb")).cast("long").alias("common"),
+                        (F.size("sa").cast("long") + F.size("sb")).alias("total")))
         return both.where(100 * F.col("common") >= SIMILAR_PERCENT * (F.col("total") - F.col("common"))).select("a", "b").distinct()
 
 

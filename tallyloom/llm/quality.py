@@ -35,7 +35,7 @@ BLOCK_BYTES = 1 << 17
 BLOCK_ROWS = 32
 SMOOTHING = 1.0
 THRESHOLD = 0.3
-BROADCAST_LABELS = 4_000_000  # 48 MB of ids and labels; more are joined by a shuffle
+BROADCAST_LABELS = 48_000_000  # bytes of ids and labels; more are joined by a shuffle
 
 _U = np.uint64
 _ALPHA, _UPPER, _DIGIT, _PUNCT = (np.zeros(256, bool) for _ in range(4))
@@ -258,7 +258,7 @@ def learn(docs: DataFrame, labels: DataFrame, held_out_fifth: int = 0) -> Model:
     """Model for `labels.quality`, from the labelled rows outside the held-out fifth."""
     known = labels.where("quality in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("y"))
     known = known.where(~held_out(F.col("doc_id"), held_out_fifth))
-    return fit(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(small(known, BROADCAST_LABELS), "doc_id"))
+    return fit(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(small(known, BROADCAST_LABELS, F.lit(12)), "doc_id"))
 
 
 def held_out(doc_id: Column, fifth: int = 0) -> Column:
