@@ -99,6 +99,15 @@ def sensor_rows_sorted(spark: SparkSession, root: str) -> DataFrame:
     return views.sensor_data(spark, root).orderBy(F.col("time").asc_nulls_last())
 
 
+@query("sensor_gaps", """WITH slots AS (SELECT DISTINCT sensor_id, time_bucket(INTERVAL '1 hour', time) AS slot FROM sensor_data),
+paired AS (SELECT *, lead(slot) OVER (PARTITION BY sensor_id ORDER BY slot) AS next FROM slots)
+SELECT sensor_id, slot + INTERVAL '1 hour' AS gap_start, next - INTERVAL '1 hour' AS gap_end, date_diff('hour', slot, next) - 1 AS slots
+FROM paired WHERE next > slot + INTERVAL '1 hour'""", ("sensor_data",))
+def sensor_gaps(spark: SparkSession, root: str) -> DataFrame:
+    """Hours without a reading, as one row per run of them."""
+    return grid.gaps(views.sensor_data(spark, root), "time", "sensor_id", timedelta(hours=1))
+
+
 @query("time_grid", """WITH slots AS (SELECT DISTINCT time_bucket(INTERVAL '1 hour', time) AS time,
         CAST(sensor_id AS BIGINT) AS sensor_id FROM sensor_data),
     edges AS (SELECT MIN(time) AS lo, MAX(time) AS hi, MAX(sensor_id) AS keys FROM slots),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tallyloom.functions.times import add_bucket, fetch_instant, instant, time_type
 
@@ -47,3 +47,18 @@ def empty_slots(df: DataFrame, time_col: str, key_col: str, step: timedelta) ->
     grid = time_grid(df.sparkSession, lo, hi, step, keys, time_col, key_col, dtype)
     taken = slots.select(F.col("slot").alias(time_col), F.col(key_col).cast("long").alias(key_col)).distinct()
     return grid.join(taken, [time_col, key_col], "left_anti")
+
+
+def gaps(df: DataFrame, time_col: str, key_col: str, step: timedelta) -> DataFrame:
+    """Runs of empty slots of each key that has rows: key, gap_start, gap_end (its last empty slot) and slots.
+
+    Between the first and the last row of the key; the work grows with the occupied
+    slots, however sparse the keys are.
+    """
+    width = f"{int(step.total_seconds())} seconds"
+    taken = add_bucket(df, width, time_col, "slot").where(F.col("slot").isNotNull() & F.col(key_col).isNotNull()).select(key_col, "slot").distinct()
+    following = F.lead("slot").over(Window.partitionBy(key_col).orderBy("slot"))
+    seconds = F.unix_micros(F.col("next").cast("timestamp")) - F.unix_micros(F.col("slot").cast("timestamp"))
+    one = F.make_dt_interval(secs=F.lit(int(step.total_seconds())))
+    found = taken.withColumn("next", following).withColumn("slots", F.floor(seconds / (int(step.total_seconds()) * 1_000_000)).cast("long") - 1)
+    return found.where("slots > 0").select(key_col, (F.col("slot") + one).alias("gap_start"), (F.col("next") - one).alias("gap_end"), "slots")
