@@ -85,3 +85,43 @@ def test_whole_table(spark):
         body = re.search(r"<article>(.*)</article>", r.html, re.S)[1]
         blocks = [" ".join(html.unescape(re.sub(r"</?(?:b|p)>", "", x)).split()) for x in re.split(r"</?h1>|</?p>|<br>", body)]
         assert r.text == " ".join(b for b in blocks if b)
+
+
+PARAGRAPHS = [f"{k}. {LONG} {LONG} {LONG}" for k in "abc"]
+INNER = "".join(f"<p>{x}</p>" for x in PARAGRAPHS)
+
+
+@pytest.mark.parametrize("block", ["<blockquote>{}</blockquote>", "<pre>{}</pre>", "<ul><li>{}</ul>", "<table><tr><td>{}</table>", "<section id='s1'>{}</section>"])
+@pytest.mark.parametrize("place", range(4))
+def test_one_long_block_takes_nothing_from_the_others(block, place):
+    long = " ".join([LONG] * 30)
+    blocks = [f"<p>{x}</p>" for x in PARAGRAPHS]
+    blocks.insert(place, block.format(long))
+    want = list(PARAGRAPHS)
+    want.insert(place, long)
+    for page in ("<body><nav>menu</nav><div class=content>{}</div></body>", "<body><div><a href=/>Home</a> <a href=/b>Blog</a></div>{}</body>"):
+        assert extract.main_text(page.format("".join(blocks))) == " ".join(want)
+
+
+@pytest.mark.parametrize("wrap", [
+    "<div class='page has-sidebar'>{}</div>", "<div id='layout-with-menu'><div class=content>{}</div><div class=sidebar>Other, things.</div></div>",
+    "<div class='no-comments widget-area'><article>{}</article></div>", "<main class='sticky-header'>{}</main>", "<article class='post sharing-on'>{}</article>",
+    "<article><div class='share-wide'>{}</div></article>", "<div class='search-page'><div class='post-with-related'>{}</div></div>"])
+def test_words_about_the_layout_empty_no_page(wrap):
+    for around in ("", f"<div class='comments'><div class='comment'>{LONG}</div></div>"):
+        assert extract.main_text(f"<body>{wrap.format(INNER)}{around}</body>") == " ".join(PARAGRAPHS)
+
+
+def test_comments_marked_up_as_articles_go():
+    comments = "".join(f"<article class='comment'><p>{LONG}</p></article>" for _ in range(9))
+    for wrap in ("<article>{}</article>", "<div class='content'>{}</div>"):
+        assert extract.main_text(f"<body>{wrap.format(INNER)}<section id='comments'>{comments}</section></body>") == " ".join(PARAGRAPHS)
+
+
+def test_short_blocks_between_stay():
+    page = f"<body><div class=content><p>{LONG}</p><pre>x = 1</pre><p>{LONG}</p><p><b>Bold</b> start. {LONG}</p></div></body>"
+    assert extract.main_text(page) == f"{LONG} x = 1 {LONG} Bold start. {LONG}"
+
+
+def test_deep_pages():
+    assert extract.main_text("<div>" * 5000 + LONG) == LONG
