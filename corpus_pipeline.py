@@ -15,8 +15,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def cut_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that stand on many sites."""
-    return lines.line_dedup(docs)
+    """Texts without the lines that stand on many sites, those of all copies counted."""
+    return lines.line_dedup(docs, every_site=True)
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 The spread of a line is the number of distinct sites (column `source`) of the
 different texts it stands in; exact copies of a text count once, with their
-smallest site. HyperLogLog sketches of the sites are built per line by partial
+smallest site. With `every_site` the sites of all rows count, and a line must also stand in `min_sites` different
+texts, so that a page mirrored on many sites makes no boilerplate of its lines. HyperLogLog sketches of the sites are built per line by partial
 aggregation. Lines whose estimate is clearly above `min_sites` are boilerplate; lines
 near it are counted exactly. Lines in fewer than `min_sites` texts need no sketch.
 
@@ -37,10 +38,12 @@ def _keyed(docs: DataFrame) -> DataFrame:
         F.array_distinct(F.transform(lines, _key)).alias("keys"))
 
 
-def boilerplate(texts: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """Line hashes with at least `min_sites` sites; `texts` has one row (text_key, site, keys) per text."""
+def boilerplate(texts: DataFrame, min_sites: int = MIN_SITES, sites: DataFrame | None = None) -> DataFrame:
+    """Line hashes with at least `min_sites` sites; `texts` has one row (text_key, site, keys) per text, `sites` one per text and site."""
     lines = texts.select("site", F.explode("keys").alias("line"))
     frequent = lines.groupBy("line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_sites).select("line")
+    if sites is not None:
+        lines = sites.select("site", F.explode("keys").alias("line")).distinct()
     lines = written(lines.where("site is not null").join(frequent, "line"), "lines")
     spread = written(lines.groupBy("line").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LOG_REGISTERS))).alias("sites")), "spread")
@@ -51,14 +54,15 @@ def boilerplate(texts: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     return spread.where(F.col("sites") > min_sites + margin).select("line").union(exact.select("line"))
 
 
-def line_dedup(docs: DataFrame, min_sites: int = MIN_SITES, counts: bool = False) -> DataFrame:
+def line_dedup(docs: DataFrame, min_sites: int = MIN_SITES, counts: bool = False, every_site: bool = False) -> DataFrame:
     """`docs` with boilerplate lines cut from `text`, and `n_chars` set anew where it exists.
 
-    `counts` adds n_lines and n_removed.
+    `counts` adds n_lines and n_removed; `every_site` counts the sites of all copies of a text.
     """
     keyed = written(_keyed(docs), "keyed")
     texts = keyed.groupBy("text_key", "keys").agg(F.min("site").alias("site"))
-    found = written(boilerplate(texts, min_sites), "boilerplate")
+    sites = keyed.groupBy("text_key", "keys", "site").agg(F.count(F.lit(1)).alias("n")) if every_site else None
+    found = written(boilerplate(texts, min_sites, sites), "boilerplate")
     cuts = (texts.select("text_key", F.explode("keys").alias("line")).join(found, "line")
             .groupBy("text_key").agg(F.collect_set("line").alias("cut")))
     cuts = small(written(cuts, "cuts"), BROADCAST_CUTS, 32 + 24 * F.size("cut"))

@@ -69,3 +69,35 @@ def test_empty_table_and_shuffled_beyond_the_limit(spark, monkeypatch):
     texts = _texts()
     got = sorted(((r.doc_id, r.source, r.text, r.n_lines, r.n_removed) for r in lines.line_dedup(documents(spark, texts), 10, True).collect()), key=repr)
     assert got == _brute(texts, 10)
+
+
+def _brute_every_site(texts, min_sites):
+    sites, different = defaultdict(set), defaultdict(set)
+    for _, t, s in texts:
+        for line in (t or "").split("\n"):
+            different[line.strip(" ")].add(t)
+            sites[line.strip(" ")] |= {s} - {None}
+    cut = {x for x in sites if x and len(sites[x]) >= min_sites and len(different[x]) >= min_sites}
+    out = []
+    for i, t, s in texts:
+        rest = None if t is None else [x for x in t.split("\n") if x.strip(" ") not in cut]
+        out.append((i, s, "\n".join(rest) if rest and any(x.strip(" ") for x in rest) else t))
+    return sorted(out, key=repr)
+
+
+def test_every_site_of_a_copied_text_counts(spark):
+    mirrored = [(k, f"text {k // 2}\nmirrored line", "src0" if k % 2 else f"site{k}") for k in range(22)]
+    page = [(100 + k, "a copied page\nwith two lines", f"site{k}") for k in range(40)] + [(140, "a copied page\nand a comment", "site1")]
+    texts = mirrored + page + _texts()
+    for limit in (2, 7, 10, 12):
+        out = lines.line_dedup(documents(spark, texts, extra=True), min_sites=limit, every_site=True)
+        got = sorted(((r.doc_id, r.source, r.text) for r in out.collect()), key=repr)
+        assert got == _brute_every_site(texts, limit)
+        if limit == 10:
+            assert not any("mirrored line" in (t or "") for _, _, t in got) and (140, "site1", "a copied page\nand a comment") in got
+
+
+def test_the_stage_counts_every_site(spark):
+    import corpus_pipeline
+    texts = [(k, f"text {k // 2}\nmirrored line", "src0" if k % 2 else f"site{k}") for k in range(22)]
+    assert not any("mirrored line" in r.text for r in corpus_pipeline.cut_boilerplate(spark, documents(spark, texts), "").collect())
