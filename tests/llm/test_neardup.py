@@ -149,3 +149,12 @@ def test_components(spark, seed):
             root[y] = x
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: find(x) for x in root}
+
+
+def test_the_cost_filter_misses_far_less_than_the_index():
+    from math import comb
+    differs = (1 - neardup.SIMILAR_PERCENT / 100) * 255 / 256
+
+    def tail(slots, limit):
+        return sum(comb(slots, k) * differs ** k * (1 - differs) ** (slots - k) for k in range(limit + 1, slots + 1))
+    assert tail(neardup.ALL_SLOTS, neardup.ALL_DISTANCE) < 0.1 * tail(neardup.SLOTS, neardup.MAX_DISTANCE) < 1e-5
