@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import bpe, decontaminate, extract, licenses, lines, neardup, pivots, quality, urls, warc
+from tallyloom.llm import bpe, decontaminate, extract, licenses, lines, neardup, personal, pivots, quality, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -156,3 +156,8 @@ FROM worth
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_dedup(table(spark, sf_dir, "documents"), counts=True).selectExpr(
         "doc_id", "n_lines", "n_removed", "sha2(cast(text as binary), 256) as text_sha256")
+
+
+@query("op11_personal_data")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.digest(personal.personal_data(table(spark, sf_dir, "documents")))
