@@ -246,8 +246,11 @@ def digest(found: DataFrame) -> DataFrame:
     def listed(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter("spans", lambda s, kind=kind: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}") for kind in BASE]
+    counts = [number(kind) for kind in BASE]
     return found.select("doc_id", *counts, F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
