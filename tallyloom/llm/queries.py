@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import bpe, decontaminate, extract, licenses, lines, neardup, personal, pivots, quality, urls, warc
+from tallyloom.llm import bpe, decontaminate, extract, licenses, lines, neardup, personal, pivots, quality, resample, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -161,3 +161,44 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_personal_data")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.digest(personal.personal_data(table(spark, sf_dir, "documents")))
+
+
+def _words_sql(text: str) -> str:
+    return f"""list_filter(regexp_split_to_array(translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"""
+
+
+def _runs_sql(words: str) -> str:
+    """All runs of one to three words."""
+    return f"""list_concat({words}, list_transform(generate_series(1, len({words}) - 1), lambda i: {words}[i] || ' ' || {words}[i + 1]),
+    list_transform(generate_series(1, len({words}) - 2), lambda i: {words}[i] || ' ' || {words}[i + 1] || ' ' || {words}[i + 2]))"""
+
+
+def _crc32_sql(text: str) -> str:
+    """The checksum bit by bit, from the polynomial."""
+    return f"""xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(generate_series(0, 8 * strlen({text}) - 1),
+    lambda i: (CAST(('0x' || substr(hex({text}), CAST(2 * (i // 8) + 1 AS BIGINT), 2)) AS BIGINT) >> CAST(i % 8 AS BIGINT)) & 1)),
+    lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))))"""
+
+
+RESAMPLE_SQL = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, {_words_sql('text')} AS w FROM documents),
+doc_run AS (SELECT r, f, count(*) AS n FROM (SELECT r, unnest({_runs_sql('w')}) AS f FROM doc) GROUP BY ALL),
+item_run AS (SELECT f, count(*) AS n FROM (SELECT unnest({_runs_sql('w')}) AS f FROM (SELECT {_words_sql('text')} AS w FROM benchmark)) GROUP BY ALL),
+named AS (SELECT f, {_crc32_sql('f')} % 10000 AS b FROM (SELECT f FROM doc_run UNION SELECT f FROM item_run)),
+s AS (SELECT b, sum(n) AS s FROM doc_run JOIN named USING (f) GROUP BY b),
+t AS (SELECT b, sum(n) AS t FROM item_run JOIN named USING (f) GROUP BY b),
+gain AS (SELECT b, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)::DOUBLE
+    / ((s + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE))) AS BIGINT) AS g FROM s LEFT JOIN t USING (b)),
+weighed AS (SELECT r, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * g) AS BIGINT) AS weight FROM doc_run JOIN named USING (f) JOIN gain USING (b) GROUP BY r),
+scored AS (SELECT r, doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+    / 4294967296::DOUBLE))) AS BIGINT) AS score FROM doc LEFT JOIN weighed USING (r)),
+placed AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 5 * n // 100 THEN place END AS rank FROM scored LEFT JOIN placed USING (r)
+"""
+
+
+@query("op12_importance_resampling", RESAMPLE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
