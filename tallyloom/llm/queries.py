@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import bpe, decontaminate, extract, licenses, lines, neardup, personal, pivots, quality, resample, urls, warc
+from tallyloom.llm import bpe, decontaminate, extract, licenses, lines, neardup, personal, pivots, quality, resample, trie, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -202,3 +202,30 @@ SELECT doc_id, n_features, weight, score, CASE WHEN place <= 5 * n // 100 THEN p
 @query("op12_importance_resampling", RESAMPLE_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+TRIE_SQL = f"""
+WITH turns AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(e)) - 1 AS i
+    FROM (SELECT conv_id, turn, coalesce(text, '') AS text, strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS e
+          FROM conversations WHERE conv_id IS NOT NULL)),
+conv AS (SELECT conv_id AS c, {_crc32_sql('CAST(conv_id AS VARCHAR)')} % 4 AS h, conv_id - conv_id % 20 AS base FROM (SELECT DISTINCT conv_id FROM turns)),
+built AS (SELECT c, i, e, text FROM turns JOIN conv ON conv_id = c WHERE i >= h UNION ALL
+    SELECT c, i, e, text FROM conv JOIN turns ON conv_id = base WHERE i < h),
+seq AS (SELECT c, coalesce(list(e ORDER BY i) FILTER (e IS NOT NULL), []) AS s, coalesce(list(text ORDER BY i) FILTER (e IS NOT NULL), []) AS texts
+    FROM conv LEFT JOIN built USING (c) GROUP BY c),
+path AS (SELECT c, d, s[1:d] AS p, len(s) = d AS ends, CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(texts[d], '[^\\x20\\x09-\\x0D]+')) END AS words
+    FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM seq)),
+node AS (SELECT d, p, min(c) AS c, count(*) AS n, any_value(words) AS words,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends FROM path GROUP BY d, p),
+child AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1),
+own AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN child USING (p)),
+below AS (SELECT p[1:a] AS p, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum((n - 1) * words) AS BIGINT) AS saved
+    FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM own) GROUP BY 1)
+SELECT own.c AS conv_id, own.d AS depth, up.c AS parent_conv_id, own.n AS n_convs, own.n_children AS n_children, n_leaves, saved AS saved_tokens, own.ends AS ends_sha256
+FROM own JOIN below USING (p) LEFT JOIN node up ON own.d > 0 AND up.p = own.p[1:own.d - 1]
+"""
+
+
+@query("op13_conversation_trie", TRIE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
