@@ -1,19 +1,20 @@
 """Near-duplicate documents: b-bit MinHash signatures, a multi-index Hamming join, exact confirmation.
 
 A document's set is its distinct shingles of five words (all its words, if fewer).
-Equal sets are one class from the start. A class has a signature of 252 slots of
-8 bits, laid out as 36 chunks of 7 slots; the first 18 chunks are the index. Two signatures that differ in at most
-35 slots of these have, by the pigeonhole principle, a chunk with at most one differing
+Equal sets are one class from the start. A class has a signature of 126 slots of
+8 bits, laid out as 18 chunks of 7 slots. Two signatures that differ in at most
+35 slots have, by the pigeonhole principle, a chunk with at most one differing
 slot. Every chunk is therefore listed 7 times, each time with one slot left out:
 chunks with at most one error meet under such a key, so the join misses no pair
 within the distance. At a similarity of 0.85 the distance has mean 19 and
-standard deviation 4, so that 35 is four deviations away. Over all 252 slots the limit is 66, five
-deviations above the mean of 38; it spares most comparisons of less similar texts and misses far less than the index.
+standard deviation 4, so that 35 is four deviations away.
 
-Pairs of one group are not all made. Classes that share a key are first compared
-with one member of it, its hub; what is linked gets one label. Then only pairs
-with different labels are made, each once, and compared on the full sets until no
-unexamined pair has two labels. So every link between two components is examined.
+No table of pairs is written. Classes that share a key are first compared with one
+member of it, its hub; what is linked gets one label. Then the members of a key that have different labels are
+compared by signature inside a task, which only writes a spanning forest of the pairs within the distance. The components of these
+forests hold all candidate pairs; each component meets once more, with the full sets, in a task or in pairs of blocks,
+where every candidate pair with different labels is confirmed exactly, and again only a forest of the links is
+written. So every link between two components is found, and what is written grows with the members.
 
 Defined cases: a null or wordless text has the empty set and is linked with
 nothing; a row without doc_id is linked with nothing, is kept and has no
@@ -22,7 +23,7 @@ component; rows that repeat a doc_id each get a row; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,21 +34,18 @@ from tallyloom.llm.frames import byte_blocks, small, written
 from tallyloom.llm.shingles import BLOCK_BYTES, mixed, shingles_of
 
 SIMILAR_PERCENT = 85
-CHUNKS = 18  # that are listed
-ALL_CHUNKS = 36
+CHUNKS = 18
 CHUNK_SLOTS = 7
 SLOTS = CHUNKS * CHUNK_SLOTS
-ALL_SLOTS = ALL_CHUNKS * CHUNK_SLOTS
-MAX_DISTANCE = 35  # 2 * CHUNKS - 1: some listed chunk then has at most one error
-ALL_DISTANCE = 66
-HUB_ROUNDS = 2
-BLOCK = 4_000  # members of a key that meet in one task: two blocks
+MAX_DISTANCE = 35  # 2 * CHUNKS - 1: some chunk then has at most one error
+BLOCK = 4_000  # members of a key or component that meet in one task: two blocks
+BLOCK_SHINGLES = 4_000_000  # of a component's sets in one block
 BROADCAST_IDS = 16_000_000  # bytes of ids; more are joined by a shuffle
 
 _U = np.uint64
-_SEED = mixed(np.arange(1000, 1000 + 2 * ALL_SLOTS, dtype=np.uint64))
-_TIMES = (_SEED[:ALL_SLOTS] >> _U(32)).astype(np.uint32) | np.uint32(1)
-_PLUS = (_SEED[ALL_SLOTS:] >> _U(32)).astype(np.uint32)
+_SEED = mixed(np.arange(1000, 1000 + 2 * SLOTS, dtype=np.uint64))
+_TIMES = (_SEED[:SLOTS] >> _U(32)).astype(np.uint32) | np.uint32(1)
+_PLUS = (_SEED[SLOTS:] >> _U(32)).astype(np.uint32)
 # The bits of seven bytes, for counting bytes that are not zero.
 _LOW7 = _U(0x007F7F7F7F7F7F7F)
 _HIGH7 = _U(0x0080808080808080)
@@ -59,13 +57,13 @@ def _signatures(rows: np.ndarray, shingles: np.ndarray, n: int) -> tuple[np.ndar
     """Per row: size, two 64-bit sums that name the set, and the chunks as integers of 56 bits."""
     sizes = np.bincount(rows, minlength=n)
     some = np.flatnonzero(sizes)
-    hi, lo, chunks = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros((n, ALL_CHUNKS), np.uint64)
+    hi, lo, chunks = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros((n, CHUNKS), np.uint64)
     if len(some):
         firsts = (np.cumsum(sizes) - sizes)[some]
         hi[some] = np.add.reduceat(shingles, firsts)
         lo[some] = np.add.reduceat(mixed(shingles ^ _U(0xA5A5A5A5A5A5A5A5)), firsts)
         half = (shingles >> _U(32)).astype(np.uint32)
-        for k in range(ALL_SLOTS):
+        for k in range(SLOTS):
             low = np.minimum.reduceat(half * _TIMES[k] + _PLUS[k], firsts)
             byte = (low * np.uint32(0x9E3779B1)) >> np.uint32(24)
             chunks[some, k // CHUNK_SLOTS] |= byte.astype(np.uint64) << _U(8 * (k % CHUNK_SLOTS))
@@ -78,7 +76,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, raw, bounds in byte_blocks(batch.column(1), BLOCK_BYTES):
             n = len(bounds) - 1
             sizes, hi, lo, chunks = _signatures(*shingles_of(raw, bounds), n)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * ALL_CHUNKS),
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * CHUNKS),
                                              pa.array(chunks.reshape(-1).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(first, n), pa.array(sizes), pa.array(hi.view(np.int64)), pa.array(lo.view(np.int64)), lists],
@@ -106,7 +104,7 @@ def _deletion_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """Each chunk with each slot left out: 7 bits of place above 48 bits of slots."""
     for batch in batches:
         reps = batch.column(0).to_numpy()
-        chunks = batch.column(1).flatten().to_numpy().view(np.uint64).reshape(-1, ALL_CHUNKS)[:, :CHUNKS]
+        chunks = batch.column(1).flatten().to_numpy().view(np.uint64).reshape(-1, CHUNKS)
         for start in range(0, len(reps), 2048):
             part = chunks[start:start + 2048]
             keys = np.empty((len(part), CHUNKS, CHUNK_SLOTS), np.uint64)
@@ -126,56 +124,110 @@ def _errors(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count((((d & _LOW7) + _LOW7) | d) & _HIGH7)
 
 
-def _cross_pairs(group: dict[str, np.ndarray]) -> list[np.ndarray]:
-    """(a, b, distance) columns of one group: rows of one key, or of two blocks of it."""
-    key, rep, label, n, sig = (group[c] for c in ("key", "rep", "label", "n", "signature"))
-    minor, block, two = group["minor"], group["block"], group["i"][0] != group["j"][0]
-    place = (int(key[0]) >> 48) & 0x7F
+def _merged(comp: np.ndarray, rep: np.ndarray, k: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Joins the parts of `others` with that of k; one edge for each part that is new to k's."""
+    parts, first = np.unique(comp[others], return_index=True)
+    first = others[first[parts != comp[k]]]
+    comp[np.isin(comp, parts)] = comp[k]
+    return np.minimum(rep[first], rep[k]), np.maximum(rep[first], rep[k])
+
+
+def _fits(group: dict[str, np.ndarray], comp: np.ndarray, k: int) -> np.ndarray:
+    """Rows that k is to be compared with: of another label and part, of fitting size, each pair from one side only."""
+    minor, label, n = group["minor"], group["label"], group["n"]
+    ok = (comp != comp[k]) & (label != label[k])
+    ok &= ~minor | (np.arange(len(n)) > k)
+    ok &= 100 * np.minimum(n, n[k]) >= SIMILAR_PERCENT * np.maximum(n, n[k])
+    if group["i"][0] != group["j"][0]:
+        ok &= group["block"] != group["block"][k]
+    return np.flatnonzero(ok)
+
+
+def _candidate_forest(group: dict[str, np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(a, b) edges that connect the pairs within the distance among the rows of one key, or of two blocks of it."""
+    rep, sig, comp = group["rep"], group["signature"], np.arange(len(group["rep"]))
+    place = (int(group["key"][0]) >> 48) & 0x7F
     chunk, slot = place // CHUNK_SLOTS, place % CHUNK_SLOTS
-    found: list[tuple[np.ndarray, ...]] = []
-    for k in np.flatnonzero(minor):
-        # both ways if both are minor: then from the smaller id; each pair in one group of blocks
-        ok = (label != label[k]) & (~minor | (rep > rep[k]))
-        ok &= 100 * np.minimum(n, n[k]) >= SIMILAR_PERCENT * np.maximum(n, n[k])
-        if two:
-            ok &= block != block[k]
-        others = np.flatnonzero(ok)
+    found = []
+    for k in np.flatnonzero(group["minor"]):
+        others = _fits(group, comp, k)
         if not len(others):
             continue
         errors = _errors(sig[others], sig[k])
-        total = errors.sum(axis=1, dtype=np.int64)
-        near = (errors[:, :CHUNKS].sum(axis=1) <= MAX_DISTANCE) & (total <= ALL_DISTANCE)
-        errors, total, others = errors[near], total[near], others[near]
+        near = errors.sum(axis=1) <= MAX_DISTANCE
+        errors, others = errors[near], others[near]
         # of the keys that the two share, this one counts: the first fitting chunk, its first slot left out
         first = (errors <= 1).argmax(axis=1) == chunk
         first &= (errors[:, chunk] == 1) | (slot == 0)
-        others = others[first]
-        found.append((np.minimum(rep[others], rep[k]), np.maximum(rep[others], rep[k]), total[first]))
-    return [np.concatenate(c) for c in zip(*found)] if found else []
-
-
-def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Groups stand together; each fits in memory, as large keys come in blocks."""
-    def out(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        new = np.flatnonzero((np.diff(rows["key"]) != 0) | (np.diff(rows["i"]) != 0) | (np.diff(rows["j"]) != 0)) + 1
-        for start, end in zip(np.r_[0, new], np.r_[new, len(rows["key"])]):
-            pairs = _cross_pairs({c: v[start:end] for c, v in rows.items()})
-            if pairs:
-                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in pairs], ["a", "b", "distance"])
-
-    rest: dict[str, np.ndarray] | None = None
-    for batch in batches:
-        rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names if c != "signature"}
-        rows["signature"] = batch.column("signature").flatten().to_numpy().view(np.uint64).reshape(-1, ALL_CHUNKS)
-        if rest is not None:
-            rows = {c: np.concatenate([rest[c], v]) for c, v in rows.items()}
-        same = (rows["key"] == rows["key"][-1]) & (rows["i"] == rows["i"][-1]) & (rows["j"] == rows["j"][-1])
-        cut = int(np.argmax(same)) if len(same) else 0
-        rest = {c: v[cut:] for c, v in rows.items()}
-        if cut:
-            yield from out({c: v[:cut] for c, v in rows.items()})
-    if rest is not None and len(rest["key"]):
-        yield from out(rest)
+        found.append(_merged(comp, rep, k, others[first]))
+    return found
+
+
+def _link_forest(group: dict[str, np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(a, b) edges that connect the linked rows of one component, or of two blocks of it: full sets decide."""
+    rep, n, sig = group["rep"], group["n"], group["signature"]
+    comp = np.unique(group["label"], return_inverse=True)[1]
+    sizes = np.array([len(x) for x in group["shingles"]])
+    starts = np.cumsum(sizes) - sizes
+    codes = np.unique(np.concatenate(list(group["shingles"])), return_inverse=True)[1]
+    mark = np.zeros(len(codes), bool)
+    found = []
+    for k in np.flatnonzero(group["minor"]):
+        others = _fits(group, comp, k)
+        if len(others):
+            others = others[_errors(sig[others], sig[k]).sum(axis=1) <= MAX_DISTANCE]
+        if not len(others):
+            continue
+        own = codes[starts[k]:starts[k] + sizes[k]]
+        mark[own] = True
+        if 2 * sizes[others].sum() > len(codes):
+            common = np.add.reduceat(mark[codes], starts, dtype=np.int64)[others]
+        else:
+            common = np.array([np.count_nonzero(mark[codes[starts[o]:starts[o] + sizes[o]]]) for o in others])
+        mark[own] = False
+        linked = others[100 * common >= SIMILAR_PERCENT * (n[k] + n[others] - common)]
+        if len(linked):
+            found.append(_merged(comp, rep, k, linked))
+    return found
+
+
+def _columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+    rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names if c not in ("signature", "shingles")}
+    rows["signature"] = batch.column("signature").flatten().to_numpy().view(np.uint64).reshape(-1, CHUNKS)
+    if "shingles" in batch.schema.names:
+        lists = batch.column("shingles")
+        flat, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+        rows["shingles"] = np.empty(len(lists), object)
+        for row, (start, end) in enumerate(zip(ends[:-1] - ends[0], ends[1:] - ends[0])):
+            rows["shingles"][row] = flat[start:end]
+    return rows
+
+
+def _forests(forest: Callable[[dict[str, np.ndarray]], list], by: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The forest of each group; groups (`by`, i, j) stand together and fit in memory, as large ones come in blocks."""
+    def edges(parts: list[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        found = forest({c: np.concatenate([p[c] for p in parts]) for c in parts[0]})
+        if found:
+            a, b = (np.concatenate(side).astype(np.int64) for side in zip(*found))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict[str, np.ndarray]] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            rows = _columns(batch)
+            name = [rows[c] for c in (by, "i", "j")]
+            new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in name], axis=0)) + 1
+            for start, end in zip(np.r_[0, new], np.r_[new, len(batch)]):
+                if held and any(held[0][c][0] != rows[c][start] for c in (by, "i", "j")):
+                    yield from edges(held)
+                    held = []
+                held.append({c: v[start:end] for c, v in rows.items()})
+        if held:
+            yield from edges(held)
+
+    return run
 
 
 class _Exact:
@@ -184,12 +236,15 @@ class _Exact:
     def __init__(self, docs: DataFrame):
         self.texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """(doc_id, shingles) of the documents named by the distinct ids of a written table."""
+        ids = small(ids.select("doc_id"), BROADCAST_IDS, F.lit(8))
+        return written(self.texts.join(ids, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, shingles array<long>"), "sets")
+
     def similar(self, pairs: DataFrame) -> DataFrame:
         """Those pairs (a, b) of doc_ids whose full sets reach the similarity."""
         ids = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id")
-        ids = small(written(ids, "wanted"), BROADCAST_IDS, F.lit(8))
-        sets = written(self.texts.join(ids, "doc_id", "left_semi")
-                       .mapInArrow(_sets, "doc_id long, shingles array<long>"), "sets")
+        sets = self.sets(written(ids, "wanted"))
         both = (pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
                 .select("a", "b", F.size(F.array_intersect("sa", "sb")).cast("long").alias("common"),
                         (F.size("sa").cast("long") + F.size("sb")).alias("total")))
@@ -216,34 +271,24 @@ def _nearest_hubs(members: DataFrame) -> DataFrame:
     return best.select(F.col("hub").alias("a"), F.col("rep").alias("b"))
 
 
-def _pairs_across(members: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b, distance), each pair once: within the distance, under one key, and with different labels.
+def _dealt(rows: DataFrame, by: str) -> DataFrame:
+    """Rows as pairs of blocks (i, j) of their group, those outside its most frequent label marked as minor.
 
-    Under a key, only members outside its most frequent label are compared with the
-    others. A key with more than BLOCK members is dealt out as pairs of blocks.
+    `rows` has columns `by`, rep, label, n, signature. Groups with one label are left out.
     """
-    named = written(_labelled(members.select("key", "rep"), labels, "rep", "label"), "labelled")
-    counts = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    mixed_keys = (counts.groupBy("key").agg(
-        F.max_by("label", F.struct("n", "label")).alias("major"), F.count(F.lit(1)).alias("labels"),
-        F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks")).where("labels > 1"))
-    rows = (named.join(mixed_keys.select("key", "major", "blocks"), "key")
-            .withColumn("block", F.expr("int(pmod(xxhash64(rep), blocks))"))
-            .join(classes.select("rep", "n", "signature"), "rep"))
-    partner = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("partner")
-    rows = (rows.select("*", partner).select(
-        "key", F.least("block", "partner").alias("i"), F.greatest("block", "partner").alias("j"), "block",
-        "rep", "label", "n", (F.col("label") != F.col("major")).alias("minor"), "signature"))
-    return (rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-            .mapInArrow(_cross, "a long, b long, distance long"))
-
-
-def _nearest(pairs: DataFrame) -> DataFrame:
-    """For each class the nearest of its pairs."""
-    ends = pairs.select(F.col("a").alias("rep"), "a", "b", "distance").union(
-        pairs.select(F.col("b").alias("rep"), "a", "b", "distance"))
-    best = ends.groupBy("rep").agg(F.min(F.struct("distance", "a", "b")).alias("pair"))
-    return best.select("pair.a", "pair.b").distinct()
+    counts = rows.groupBy(by, "label").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"))
+    mixed_groups = (counts.groupBy(by).agg(
+        F.max_by("label", F.struct("rows", "label")).alias("major"), F.count(F.lit(1)).alias("labels"),
+        F.greatest(F.ceil(F.sum("rows") / BLOCK), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")).where("labels > 1"))
+    rows = rows.join(mixed_groups.select(by, "major", "blocks"), by).withColumn("block", F.expr("int(pmod(xxhash64(rep), blocks))"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("partner"))
+    rest = [c for c in rows.columns if c not in (by, "label", "major", "blocks", "partner")]
+    return rows.select(by, F.least("block", "partner").alias("i"), F.greatest("block", "partner").alias("j"), "label",
+                       (F.col("label") != F.col("major")).alias("minor"), *rest)
+
+
+def _forest_of(dealt: DataFrame, by: str, forest: Callable[[dict[str, np.ndarray]], list]) -> DataFrame:
+    return dealt.repartition(by, "i", "j").sortWithinPartitions(by, "i", "j").mapInArrow(_forests(forest, by), "a long, b long")
 
 
 def _labels_of_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -252,19 +297,17 @@ def _labels_of_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     members = _members(classes)
     links = written(exact.similar(_nearest_hubs(members)), "links")
     labels = written(components(links), "labels")
-    pairs = written(_pairs_across(members, classes, labels), "pairs")
-    for round_ in range(HUB_ROUNDS + 1):
-        if round_:
-            pairs = _labelled(_labelled(pairs, labels, "a", "la"), labels, "b", "lb")
-            pairs = written(pairs.where("la <> lb").select("a", "b", "distance"), "pairs")
-        if pairs.isEmpty():
-            break
-        tried = pairs.select("a", "b") if round_ == HUB_ROUNDS else written(_nearest(pairs), "tried")
-        links = written(links.union(exact.similar(tried)), "links")
-        labels = written(components(links), "labels")
-        if round_ < HUB_ROUNDS:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-    return labels
+    described = classes.select("rep", "n", "signature")
+    named = written(_labelled(members.select("key", "rep"), labels, "rep", "label"), "labelled")
+    mixed_keys = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
+    candidates = written(_forest_of(_dealt(named.join(mixed_keys, "key").join(described, "rep"), "key"), "key", _candidate_forest), "candidates")
+    if candidates.isEmpty():
+        return labels
+    blobs = written(components(candidates).select(F.col("node").alias("rep"), F.col("root").alias("blob")), "blobs")
+    sets = exact.sets(blobs.select(F.col("rep").alias("doc_id"))).withColumnRenamed("doc_id", "rep")
+    rows = _dealt(_labelled(blobs, labels, "rep", "label").join(described, "rep"), "blob").join(sets, "rep")
+    found = written(links.union(_forest_of(rows, "blob", _link_forest)), "links")
+    return written(components(found), "labels")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -85,7 +85,7 @@ def test_no_pair_within_the_distance_is_missed():
     rng = np.random.default_rng(4)
     for errors in (0, 1, 17, 18, 30, 35):
         for _ in range(20):
-            a = rng.integers(0, 256, (neardup.ALL_CHUNKS, neardup.CHUNK_SLOTS), dtype=np.uint64)
+            a = rng.integers(0, 256, (neardup.CHUNKS, neardup.CHUNK_SLOTS), dtype=np.uint64)
             b = a.copy()
             for k in rng.choice(neardup.SLOTS, errors, replace=False):
                 b[k // 7, k % 7] ^= np.uint64(rng.integers(1, 256))
@@ -101,7 +101,7 @@ def test_no_pair_within_the_distance_is_missed():
                 n = np.array([10, 10])
                 group = {"key": np.array([key, key]), "rep": np.array([1, 2]), "label": np.array([1, 2]), "n": n, "signature": sigs,
                          "minor": np.array([False, True]), "block": np.array([0, 0]), "i": np.array([0, 0]), "j": np.array([0, 0])}
-                counted += sum(len(c) for c in neardup._cross_pairs(group)[:1])
+                counted += sum(len(a) for a, _ in neardup._candidate_forest(group))
             assert counted == 1
 
 
@@ -151,10 +151,37 @@ def test_components(spark, seed):
     assert got == {x: find(x) for x in root}
 
 
-def test_the_cost_filter_misses_far_less_than_the_index():
-    from math import comb
-    differs = (1 - neardup.SIMILAR_PERCENT / 100) * 255 / 256
-
-    def tail(slots, limit):
-        return sum(comb(slots, k) * differs ** k * (1 - differs) ** (slots - k) for k in range(limit + 1, slots + 1))
-    assert tail(neardup.ALL_SLOTS, neardup.ALL_DISTANCE) < 0.1 * tail(neardup.SLOTS, neardup.MAX_DISTANCE) < 1e-5
+def _written_rows(spark, texts, monkeypatch):
+    """Rows of every table written on the way."""
+    from tallyloom.llm import components as rounds
+    sizes = []
+
+    def counted(df, label):
+        out = real(df, label)
+        sizes.append(out.count())
+        return out
+
+    real = neardup.written
+    with monkeypatch.context() as patch:
+        patch.setattr(neardup, "written", counted)
+        patch.setattr(rounds, "written", counted)
+        neardup.near_duplicates(documents(spark, texts)).collect()
+    return sum(sizes)
+
+
+def test_what_is_written_grows_with_the_members_of_a_group(spark, monkeypatch):
+    """Copies of one text that are near each other by signature, but not linked: the worst case for a table of pairs."""
+    rng = random.Random(8)
+    base = prose(8, 400)
+
+    def copies(n):
+        out = []
+        for k in range(n):
+            words = list(base)
+            for place in rng.sample(range(0, 400, 6), 5):
+                words[place] = f"own{k}x{place}"
+            out.append((k, " ".join(words), "s"))
+        return out
+
+    small, large = (_written_rows(spark, copies(n), monkeypatch) for n in (100, 200))
+    assert large <= 2.3 * small
