@@ -136,18 +136,20 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LINES_SQL = f"""
-WITH text_site AS (SELECT text, min(source) AS site FROM documents WHERE text IS NOT NULL GROUP BY text),
-line AS (SELECT DISTINCT text, site, trim(l, ' ') AS l
-         FROM (SELECT text, site, unnest(string_split(text, chr(10))) AS l FROM text_site) WHERE trim(l, ' ') <> ''),
-cut AS (SELECT l FROM line GROUP BY l HAVING count(DISTINCT site) >= {lines.MIN_SITES}),
-cuts AS (SELECT text, list(l) AS cut FROM line JOIN cut USING (l) GROUP BY text),
+WITH row_line AS (SELECT DISTINCT text, source, trim(l, ' ') AS l
+    FROM (SELECT text, source, unnest(string_split(text, chr(10))) AS l FROM documents WHERE text IS NOT NULL) WHERE trim(l, ' ') <> ''),
+wide AS (SELECT l FROM row_line GROUP BY l HAVING count(DISTINCT source) >= {lines.MIN_SITES} AND count(DISTINCT text) >= {lines.MIN_SITES}),
+text_line AS (SELECT DISTINCT text, l, l IN (SELECT l FROM wide) AS wide FROM row_line),
+bare AS (SELECT text FROM text_line GROUP BY text HAVING bool_and(wide)),
+keeper AS (SELECT DISTINCT arg_min(text, md5(text)) AS text FROM text_line JOIN bare USING (text) GROUP BY l),
+cuts AS (SELECT text, list(l) AS cut FROM text_line WHERE wide AND text NOT IN (SELECT text FROM keeper) GROUP BY text),
 named AS (SELECT doc_id, documents.text AS text, cut, string_split(documents.text, chr(10)) AS ls
           FROM documents LEFT JOIN cuts ON documents.text = cuts.text),
 left_over AS (SELECT *, CASE WHEN cut IS NULL THEN ls ELSE list_filter(ls, lambda x: NOT list_contains(cut, trim(x, ' '))) END AS rest FROM named),
-worth AS (SELECT *, cut IS NOT NULL AND len(list_filter(rest, lambda x: trim(x, ' ') <> '')) > 0 AS worth FROM left_over)
+worth AS (SELECT *, cut IS NULL OR len(list_filter(rest, lambda x: trim(x, ' ') <> '')) > 0 AS worth FROM left_over)
 SELECT doc_id, CAST(coalesce(len(ls), 0) AS BIGINT) AS n_lines,
-    CAST(CASE WHEN worth THEN len(ls) - len(rest) ELSE 0 END AS BIGINT) AS n_removed,
-    sha256(CASE WHEN worth THEN array_to_string(rest, chr(10)) ELSE text END) AS text_sha256
+    CAST(CASE WHEN ls IS NULL THEN 0 WHEN worth THEN len(ls) - len(rest) ELSE len(ls) END AS BIGINT) AS n_removed,
+    sha256(CASE WHEN worth THEN array_to_string(rest, chr(10)) ELSE '' END) AS text_sha256
 FROM worth
 """
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 from collections import defaultdict
 
 from tallyloom.llm import lines
@@ -7,25 +8,27 @@ from tests.llm.helpers import documents
 
 
 def _brute(texts, min_sites):
-    site_of = {}
+    sites, different = defaultdict(set), defaultdict(set)
     for _, t, s in texts:
-        if t is not None and s is not None:
-            site_of[t] = min(s, site_of.get(t, s))
-    spread = defaultdict(set)
-    for t, s in site_of.items():
-        for line in t.split("\n"):
-            if line.strip(" "):
-                spread[line.strip(" ")].add(s)
-    cut = {line for line, sites in spread.items() if len(sites) >= min_sites}
+        for line in (t or "").split("\n"):
+            different[line.strip(" ")].add(t)
+            sites[line.strip(" ")] |= {s} - {None}
+    cut = {x for x in sites if x and len(sites[x]) >= min_sites and len(different[x]) >= min_sites}
+    own = {t: {x.strip(" ") for x in t.split("\n")} - {""} for _, t, _ in texts if t is not None}
+    bare = sorted((hashlib.md5(t.encode()).digest(), t) for t, lines in own.items() if lines and lines <= cut)
+    kept, seen = set(), set()
+    for _, t in bare:
+        kept |= {t} if own[t] - seen else set()
+        seen |= own[t]
     out = []
     for i, t, s in texts:
         if t is None:
             out.append((i, s, None, 0, 0))
             continue
         all_lines = t.split("\n")
-        rest = [x for x in all_lines if x.strip(" ") not in cut]
-        new = rest if any(x.strip(" ") for x in rest) else all_lines
-        out.append((i, s, "\n".join(new), len(all_lines), len(all_lines) - len(new)))
+        rest = all_lines if t in kept else [x for x in all_lines if x.strip(" ") not in cut]
+        whole = len(rest) == len(all_lines) or any(x.strip(" ") for x in rest)
+        out.append((i, s, "\n".join(rest) if whole else "", len(all_lines), len(all_lines) - len(rest) if whole else len(all_lines)))
     return sorted(out, key=repr)
 
 
@@ -71,30 +74,28 @@ def test_empty_table_and_shuffled_beyond_the_limit(spark, monkeypatch):
     assert got == _brute(texts, 10)
 
 
-def _brute_every_site(texts, min_sites):
-    sites, different = defaultdict(set), defaultdict(set)
-    for _, t, s in texts:
-        for line in (t or "").split("\n"):
-            different[line.strip(" ")].add(t)
-            sites[line.strip(" ")] |= {s} - {None}
-    cut = {x for x in sites if x and len(sites[x]) >= min_sites and len(different[x]) >= min_sites}
-    out = []
-    for i, t, s in texts:
-        rest = None if t is None else [x for x in t.split("\n") if x.strip(" ") not in cut]
-        out.append((i, s, "\n".join(rest) if rest and any(x.strip(" ") for x in rest) else t))
-    return sorted(out, key=repr)
-
-
 def test_every_site_of_a_copied_text_counts(spark):
+    """A line in texts that are all mirrored on the smallest site as well; a page copied whole makes no boilerplate."""
     mirrored = [(k, f"text {k // 2}\nmirrored line", "src0" if k % 2 else f"site{k}") for k in range(22)]
     page = [(100 + k, "a copied page\nwith two lines", f"site{k}") for k in range(40)] + [(140, "a copied page\nand a comment", "site1")]
     texts = mirrored + page + _texts()
     for limit in (2, 7, 10, 12):
-        out = lines.line_dedup(documents(spark, texts, extra=True), min_sites=limit, every_site=True)
-        got = sorted(((r.doc_id, r.source, r.text) for r in out.collect()), key=repr)
-        assert got == _brute_every_site(texts, limit)
+        out = lines.line_dedup(documents(spark, texts, extra=True), min_sites=limit, counts=True)
+        got = sorted(((r.doc_id, r.source, r.text, r.n_lines, r.n_removed) for r in out.collect()), key=repr)
+        assert got == _brute(texts, limit)
         if limit == 10:
-            assert not any("mirrored line" in (t or "") for _, _, t in got) and (140, "site1", "a copied page\nand a comment") in got
+            kept = {(i, t) for i, _, t, _, _ in got}
+            assert not any("mirrored line" in (t or "") for _, t in kept) and (140, "a copied page\nand a comment") in kept
+
+
+def test_texts_of_boilerplate_alone(spark):
+    """Different combinations of wide lines: each line stays in a whole text, the other combinations are emptied."""
+    texts = [(k, f"own {k}\nalpha\nbeta\ngamma", f"site{k}") for k in range(12)]
+    texts += [(100 + k, "\n".join(c), "s") for k, c in enumerate((["alpha", "beta"], ["beta", "gamma"], ["alpha", "gamma"], ["alpha"], ["gamma", "", "alpha", "beta"]))]
+    got = sorted(((r.doc_id, r.source, r.text, r.n_lines, r.n_removed) for r in lines.line_dedup(documents(spark, texts), counts=True).collect()), key=repr)
+    assert got == _brute(texts, 10)
+    bare = [t for i, _, t, _, _ in got if i >= 100]
+    assert "" in bare and {"alpha", "beta", "gamma"} <= {x for t in bare for x in t.split("\n")}
 
 
 def test_the_stage_counts_every_site(spark):
