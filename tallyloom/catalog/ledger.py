@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyloom.catalog.registry import ADDRESS, BLOCK, TXID, query
 from tallyloom.functions.scalars import segment_key
@@ -117,7 +117,27 @@ SELECT address, COUNT(*) FILTER (type = 'vout') AS in_degree, COUNT(*) FILTER (t
 FROM parties JOIN per_tx USING (txid, timestamp) GROUP BY address
 HAVING COUNT(*) FILTER (type = 'vout') >= 100 AND COUNT(*) FILTER (type = 'vin') >= 100""", ROWS)
 def exchange_like(spark: SparkSession, root: str) -> DataFrame:
-    return patterns.exchange_like(views.tx_vinout(spark, root), 100, 100)
+    return patterns.exchange_like(views.tx_vinout(spark, root), 100, 100).drop("senders", "receivers")
+
+
+# the degrees count all addresses here, so that every scale has rows
+@query("exchange_counterparties", """WITH parties AS (SELECT DISTINCT txid, timestamp, type, address FROM tx_vinout),
+degree AS (SELECT address FROM parties GROUP BY address
+    HAVING COUNT(*) FILTER (type = 'vout') >= 1 AND COUNT(*) FILTER (type = 'vin') >= 1),
+found AS (SELECT p.address, o.type AS side, COUNT(DISTINCT o.address) AS n FROM parties p JOIN parties o USING (txid, timestamp)
+    WHERE p.type <> o.type GROUP BY 1, 2)
+SELECT address, COALESCE(MAX(n) FILTER (side = 'vin'), 0) AS senders, COALESCE(MAX(n) FILTER (side = 'vout'), 0) AS receivers,
+    true AS senders_close, true AS receivers_close FROM degree LEFT JOIN found USING (address) GROUP BY address""", ROWS)
+def exchange_counterparties(spark: SparkSession, root: str) -> DataFrame:
+    """Distinct senders and receivers, and whether the sketches of `exchange_like` are within their error of them."""
+    rows = views.tx_vinout(spark, root)
+    like = patterns.exchange_like(rows, 1, 1).select("address", F.col("senders").alias("s"), F.col("receivers").alias("r"))
+    exact = like.join(patterns.counterparties(rows, like), "address", "left").na.fill(0, ["senders", "receivers"])
+
+    def close(estimate: str, count: str) -> Column:
+        return F.abs(F.col(estimate) - F.col(count)) <= F.greatest(F.lit(1.0), patterns.SKETCH_ERROR * F.col(count))
+
+    return exact.select("address", "senders", "receivers", close("s", "senders").alias("senders_close"), close("r", "receivers").alias("receivers_close"))
 
 
 @query("miner_spending", """WITH spends AS (SELECT DISTINCT txid, timestamp FROM tx_vinout WHERE type = 'vin'

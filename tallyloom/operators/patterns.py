@@ -7,7 +7,7 @@ if one transaction holds a large share of all rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.functions.times import utc_day
 from tallyloom.operators.ledger import TX, is_input, is_output, outputs_of, totals_by_receiver
@@ -57,25 +57,54 @@ def consolidations(vinout: DataFrame, min_inputs: int, max_outputs: int, min_val
                & (F.col("value_out") >= min_value)))
 
 
+# Sketches with 2^12 registers; fixed value: their relative standard error, three times over.
+SKETCH_LOG_REGISTERS = 12
+SKETCH_ERROR = 3 * 1.04 / 2 ** (SKETCH_LOG_REGISTERS / 2)
+
+
 def exchange_like(vinout: DataFrame, min_in: int, min_out: int) -> DataFrame:
     """Addresses that both receive from and pay out in many transactions.
 
-    `in_degree` and `out_degree` count transactions; `sender_links` and
-    `receiver_links` add up the distinct counterparties of each of them.
+    `in_degree` and `out_degree` count transactions; `sender_links` and `receiver_links` add up the distinct
+    counterparties of each of them. `senders` and `receivers` are the distinct counterparties over all transactions, estimated
+    within `SKETCH_ERROR`: every transaction gets a sketch of its senders and one of its receivers, and an address unites the
+    sketches of its transactions, on the map side first. No input is paired with an output, and a sketch stays small while it
+    holds few addresses.
     """
     # the same filter on both uses below, so that Spark runs this shuffle once
     known = vinout.where(F.col("txid").isNotNull() & F.col("timestamp").isNotNull())
     parties = known.select(*TX, "type", "address").distinct()
-    per_tx = parties.groupBy(*TX).agg(F.count_if(is_input()).alias("senders"),
-                                      F.count_if(is_output()).alias("receivers"))
+    per_tx = parties.groupBy(*TX).agg(
+        F.count_if(is_input()).alias("senders"), F.count_if(is_output()).alias("receivers"),
+        F.hll_sketch_agg(F.when(is_input(), F.col("address")), F.lit(SKETCH_LOG_REGISTERS)).alias("sender_sketch"),
+        F.hll_sketch_agg(F.when(is_output(), F.col("address")), F.lit(SKETCH_LOG_REGISTERS)).alias("receiver_sketch"))
     received, spent = F.when(is_output(), F.col("senders")), F.when(is_input(), F.col("receivers"))
+
+    def united(sketch: str, kind: Column) -> Column:
+        return F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(F.when(kind, F.col(sketch)))), F.lit(0)).cast("long")
+
     return (parties.join(per_tx, TX).groupBy("address")
             .agg(F.count_if(is_output()).alias("in_degree"), F.count_if(is_input()).alias("out_degree"),
                  F.coalesce(F.sum(received), F.lit(0)).alias("sender_links"),
-                 F.coalesce(F.sum(spent), F.lit(0)).alias("receiver_links"))
+                 F.coalesce(F.sum(spent), F.lit(0)).alias("receiver_links"),
+                 united("sender_sketch", is_output()).alias("senders"), united("receiver_sketch", is_input()).alias("receivers"))
             .where((F.col("in_degree") >= min_in) & (F.col("out_degree") >= min_out)))
 
 
+def counterparties(vinout: DataFrame, addresses: DataFrame) -> DataFrame:
+    """(address, senders, receivers): the exact distinct counterparties of a few addresses.
+
+    The transactions of the addresses are looked up first; what is written are pairs of one of the addresses and a
+    counterparty, never of two other parties.
+    """
+    known = vinout.where(F.col("txid").isNotNull() & F.col("timestamp").isNotNull())
+    parties = known.select(*TX, "type", "address").distinct()
+    asked = parties.join(addresses.select("address").distinct(), "address", "left_semi")
+    others = parties.select(*TX, F.col("type").alias("side"), F.col("address").alias("party"))
+    pairs = asked.join(others.where("party is not null"), TX).where(F.col("type") != F.col("side")).groupBy("address", "side", "party").agg(F.count("*").alias("n"))
+    return pairs.groupBy("address").agg(F.count_if(F.col("side") == "vin").alias("senders"), F.count_if(F.col("side") == "vout").alias("receivers"))
+
+
 def miner_spending(vinout: DataFrame) -> DataFrame:
     """Receivers of what the rewarded addresses spend, for all of them at once."""
     miners = vinout.where(F.col("coinbase")).select("address").distinct()

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from collections import defaultdict
 from datetime import datetime, timedelta
 from decimal import Decimal
@@ -92,7 +93,7 @@ def test_planted_patterns(spark):
     assert [(r.address, r.dust_transactions, r.dust_outputs) for r in spam] == [("spammer", 5, 100)]
     assert [(r.txid, r.inputs, r.outputs) for r in patterns.consolidations(data, 10, 2, 1000).collect()] == [("merge", 30, 1)]
     hub = patterns.exchange_like(data, 10, 10).collect()
-    assert [tuple(r) for r in hub] == [("hub", 12, 12, 12, 12)]
+    assert [tuple(r) for r in hub] == [("hub", 12, 12, 12, 12, 12, 12)]
     assert patterns.most_active_addresses(data, 1).first().address == "hub"
 
 
@@ -141,3 +142,25 @@ def test_checks(spark):
     assert sorted(r.null_column for r in checks.null_violations(child, ["ref", "t"]).collect()) == ["ref", "t"]
     assert checks.length_violations(child, "t", 4).count() == 1
     assert [tuple(r) for r in checks.duplicate_keys(parent, ["id"]).collect()] == [(1, 2)]
+
+
+def test_distinct_counterparties_by_sketch(spark):
+    """A hub with many counterparties, repeated over transactions, and one transaction that holds a third of the rows."""
+    rng = random.Random(2)
+    txs = []
+    for k in range(300):
+        txs.append((f"t{k}", [f"s{rng.randint(0, 4000)}" for _ in range(10)], ["hub"]))
+        txs.append((f"u{k}", ["hub"], [f"r{rng.randint(0, 700)}" for _ in range(10)] + ["hub"]))
+    txs.append(("big", [f"s{k}" for k in range(2500)] + ["hub"], [f"r{k}" for k in range(2500)]))
+    rows = [(tx, "2024-01-01", kind, a) for tx, ins, outs in txs for kind, side in (("vin", ins), ("vout", outs)) for a in side]
+    rows += [(None, "2024-01-01", "vin", "hub"), ("t1", "2024-01-01", "vin", None)]
+    vinout = spark.createDataFrame(rows, "txid string, timestamp string, type string, address string")
+    senders = {a for _, ins, outs in txs if "hub" in outs for a in ins}
+    receivers = {a for _, ins, outs in txs if "hub" in ins for a in outs}
+    exact = patterns.counterparties(vinout, spark.createDataFrame([("hub",)], "address string")).first()
+    # the input without address counts for a transaction, not as a counterparty
+    assert (exact.senders, exact.receivers) == (len(senders), len(receivers))
+    got = patterns.exchange_like(vinout, 100, 100).where("address = 'hub'").first()
+    assert abs(got.senders - len(senders)) <= patterns.SKETCH_ERROR * len(senders)
+    assert abs(got.receivers - len(receivers)) <= patterns.SKETCH_ERROR * len(receivers)
+    assert got.sender_links > 1.1 * len(senders)
