@@ -106,6 +106,23 @@ def ann_topk_all_cells(spark: SparkSession, root: str) -> DataFrame:
     return index.search(spark, QUERY, 5, probes=10**9).drop("embedding")
 
 
+@query("ann_recall", """SELECT COUNT(*) AS queries, true AS recalled FROM embeddings""")
+def ann_recall(spark: SparkSession, root: str) -> DataFrame:
+    """Whether the index finds nine in ten of the true five neighbours, over every vector as a query.
+
+    The given vectors hardly form clusters, so two thirds of the cells are probed.
+    """
+    vectors = views.table(spark, root, "embeddings")
+    index = IvfIndex(scratch_path(spark, "cells"), id_col="vec_id")
+    index.build(vectors, min_rows=1)
+    probes = spark.read.parquet(f"{index.path}/centres").count() * 2 // 3
+    asked = vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    exact = search.nearest_for_each(vectors, asked, 5, id_col="vec_id").select("query_id", "id")
+    found = index.search_each(spark, asked, 5, probes=probes).select("query_id", "id", F.lit(1).alias("hit"))
+    share = exact.join(found, ["query_id", "id"], "left").agg(F.countDistinct("query_id").alias("queries"), F.avg(F.coalesce("hit", F.lit(0))).alias("recall"))
+    return share.select("queries", (F.col("recall") >= 0.9).alias("recalled"))
+
+
 @query("semantic_search", f"""SELECT id, station_code, date, description, {_distance('embedding')} AS vector_distance
 FROM reports ORDER BY vector_distance, id LIMIT 10""", ("reports",))
 def semantic_search(spark: SparkSession, root: str) -> DataFrame:
@@ -132,7 +149,7 @@ def semantic_search_filtered(spark: SparkSession, root: str) -> DataFrame:
 SELECT concat('{INSTRUCTION}', string_agg(report, chr(10) ORDER BY distance, id)) AS content FROM hits""",
        ("reports",))
 def rag_context(spark: SparkSession, root: str) -> DataFrame:
-    hits = search.nearest(views.reports(spark, root), QUERY, 10)
+    hits = search.nearest_with(views.reports(spark, root), QUERY, ["description"], 10)
     return search.joined_reports(hits, INSTRUCTION, "description")
 
 
@@ -182,6 +199,24 @@ def stations_near_airport(spark: SparkSession, root: str) -> DataFrame:
     return rounded(stations.near(views.stations(spark, root), *CENTRE, RADIUS_MILES, method="sphere"))
 
 
+_CENTRES_SQL = """SELECT s_suppkey AS centre_id, CAST(-73.79 AS DOUBLE) + CAST((s_suppkey * 6007) % 2000 - 1000 AS DOUBLE) / 1000 AS lon,
+    CAST(40.641 AS DOUBLE) + CAST((s_suppkey * 9001) % 2000 - 1000 AS DOUBLE) / 1000 AS lat, CAST(1 + s_suppkey % 30 AS DOUBLE) AS miles FROM supplier"""
+_ARC_MANY = """2 * 6371008.7714 * asin(sqrt(least(1.0, pow(sin(radians(latitude - lat) / 2), 2)
+    + cos(radians(latitude)) * cos(radians(lat)) * pow(sin(radians(longitude - lon) / 2), 2))))"""
+
+
+@query("stations_within_many", f"""WITH centres AS ({_CENTRES_SQL}), pairs AS (SELECT centre_id, station_code, miles, {_ARC_MANY} AS metres FROM stations, centres)
+SELECT centre_id, station_code, ROUND(metres / {METRES_PER_MILE}, 6) AS distance_miles FROM pairs WHERE metres <= miles * {METRES_PER_MILE}""", ("stations",))
+def stations_within_many(spark: SparkSession, root: str) -> DataFrame:
+    """Every supplier as the centre of a circle of 1 to 30 miles."""
+    key = F.col("s_suppkey")
+    centres = views.table(spark, root, "supplier").select(
+        key.alias("centre_id"), (F.lit(-73.79) + ((key * 6007) % 2000 - 1000).cast("double") / 1000).alias("lon"),
+        (F.lit(40.641) + ((key * 9001) % 2000 - 1000).cast("double") / 1000).alias("lat"), (key % 30 + 1).cast("double").alias("miles"))
+    found = stations.within_radius_of_each(views.stations(spark, root), centres, method="sphere")
+    return rounded(found.select("centre_id", "station_code", "distance_miles"))
+
+
 @query("row_count", "SELECT COUNT(*) AS row_count FROM embeddings")
 def row_count(spark: SparkSession, root: str) -> DataFrame:
     return checks.count_where(views.table(spark, root, "embeddings"))

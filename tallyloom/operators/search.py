@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,9 +11,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from tallyloom.functions.scalars import chat_messages
 from tallyloom.functions.vectors import as_matrix, cosine_to
 from tallyloom.session import cut_lineage
+from tallyloom.sources.readers import small_frame
 
-# Largest block of query vectors sent to every task of one pass.
+# Query vectors and rows that meet in one task.
 QUERY_BLOCK_BYTES = 8 * 1024 * 1024
+SPLIT_ROWS = 65_536
 # Beyond any distance: a zero vector, and a null one, on either side.
 ZERO, MISSING = 10.0, 20.0
 # Distances held at once by one task.
@@ -52,78 +53,81 @@ def nearest_to_row(df: DataFrame, condition: Column, k: int = 5, vector_col: str
     return nearest(df, [float(x) for x in found[0]], k, vector_col, id_col, digits)
 
 
-def _task_topk(query_ids: list, targets: np.ndarray, unknown: np.ndarray, k: int):
-    """Per task: keep the k best candidates of every query over all its batches. `unknown`: queries without a vector."""
-    with np.errstate(divide="ignore", invalid="ignore"):
-        unit = targets / np.linalg.norm(targets, axis=1, keepdims=True)
-    step = max(1, DISTANCE_CELLS // max(1, len(query_ids)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best_d = np.full((len(query_ids), 0), np.inf)
-        best_i = np.empty((len(query_ids), 0), dtype="int64")
-        for batch in batches:
-            vectors = batch.column(1)
-            rows = np.zeros((len(vectors), targets.shape[1]))
-            missing = np.ones(len(vectors), bool)
-            if not unknown.all():
-                known, missing = as_matrix(vectors, targets.shape[1])
-                rows[~missing] = known
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            norms = np.linalg.norm(rows, axis=1)
-            for at in range(0, len(ids), step):
-                part = slice(at, at + step)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    dist = np.round(1.0 - unit @ (rows[part] / norms[part, None]).T, 6) + 0.0
-                dist[np.isnan(dist)] = ZERO
-                dist[:, missing[part]] = MISSING
-                dist[unknown] = MISSING
-                best_d = np.concatenate([best_d, dist], axis=1)
-                best_i = np.concatenate([best_i, np.broadcast_to(ids[part], dist.shape)], axis=1)
-                order = np.lexsort((best_i, best_d), axis=1)[:, :k]
-                best_d, best_i = np.take_along_axis(best_d, order, 1), np.take_along_axis(best_i, order, 1)
-        for row, query_id in enumerate(query_ids):
-            if best_d.shape[1]:
-                yield pa.RecordBatch.from_pydict({
-                    "query_id": pa.array([query_id] * best_d.shape[1], pa.int64()),
-                    "id": pa.array(best_i[row], pa.int64()),
-                    "distance": pa.array(np.where(best_d[row] == ZERO, np.nan, best_d[row]), pa.float64(), mask=best_d[row] == MISSING)})
+def nearest_with(df: DataFrame, query: list[float], columns: list[str], k: int = 5, vector_col: str = "embedding",
+                 id_col: str = "id", digits: int = 6) -> DataFrame:
+    """The k closest rows with some of their other columns, closest first; `id_col` must name a row.
+
+    Two phases: ids and vectors alone give the k ids and distances, which are fetched; then those k rows are looked
+    up, with a filter on the ids that reaches the scans. So no text is read before or carried through the top-k.
+    """
+    hits = nearest(df.select(id_col, vector_col), query, k, vector_col, id_col, digits).select(id_col, "distance").collect()
+    few = small_frame(df.sparkSession, [tuple(h) for h in hits], f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, distance double")
+    rows = df.select(id_col, *columns).where(F.col(id_col).isin([h[0] for h in hits]))
+    return rows.join(F.broadcast(few), id_col).orderBy(F.col("distance").asc_nulls_last(), id_col)  # k rows
+
+
+def _block_topk(k: int):
+    """The k best rows of one split of the vectors for every query of one block, both whole in memory."""
+    def run(key: tuple, rows: pa.Table, queries: pa.Table) -> pa.Table:
+        if not len(rows) or not len(queries):
+            return _FOUND.empty_table()
+        known, unknown = as_matrix(queries.column("v").combine_chunks())
+        targets = np.zeros((len(queries), known.shape[1]))
+        targets[~unknown] = known
+        vectors = rows.column("vec").combine_chunks()
+        matrix, missing = np.zeros((len(rows), targets.shape[1])), np.ones(len(rows), bool)
+        if not unknown.all():
+            present, missing = as_matrix(vectors, targets.shape[1])
+            matrix[~missing] = present
+        ids = rows.column("id").to_numpy()
+        with np.errstate(divide="ignore", invalid="ignore"):
+            targets = targets / np.linalg.norm(targets, axis=1, keepdims=True)
+            matrix = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+        best_d, best_i = np.full((len(queries), 0), np.inf), np.empty((len(queries), 0), np.int64)
+        step = max(1, DISTANCE_CELLS // len(queries))
+        for at in range(0, len(ids), step):
+            with np.errstate(invalid="ignore"):
+                dist = np.round(1.0 - targets @ matrix[at:at + step].T, 6) + 0.0
+            dist[np.isnan(dist)] = ZERO
+            dist[:, missing[at:at + step]] = MISSING
+            dist[unknown] = MISSING
+            best_d = np.concatenate([best_d, dist], axis=1)
+            best_i = np.concatenate([best_i, np.broadcast_to(ids[at:at + step], dist.shape)], axis=1)
+            order = np.lexsort((best_i, best_d), axis=1)[:, :k]
+            best_d, best_i = np.take_along_axis(best_d, order, 1), np.take_along_axis(best_i, order, 1)
+        distance = best_d.reshape(-1)
+        return pa.table([pa.array(np.repeat(queries.column("q").to_numpy(), best_d.shape[1])), pa.array(best_i.reshape(-1)),
+                         pa.array(np.where(distance == ZERO, np.nan, distance), mask=distance == MISSING)], schema=_FOUND)
 
     return run
 
 
+_FOUND = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("distance", pa.float64())])
+
+
 def nearest_for_each(df: DataFrame, queries: DataFrame, k: int = 5, vector_col: str = "embedding",
                      id_col: str = "id", query_id: str = "query_id", query_vector: str = "query_vector",
-                     block_bytes: int = QUERY_BLOCK_BYTES) -> DataFrame:
+                     block_bytes: int = QUERY_BLOCK_BYTES, split_rows: int = SPLIT_ROWS) -> DataFrame:
     """The k closest rows for every query vector, ids being 64-bit integers.
 
-    Each task multiplies its vectors with a block of query vectors and keeps k rows
-    per query; no pair is written. A query table above `block_bytes` is worked off in
-    several passes, by hash, so that a block may be somewhat larger. Vectors and queries
-    without a direction are treated as in `nearest`.
+    A block join: the queries are dealt into blocks of about `block_bytes`, the vectors into splits of about `split_rows`, and
+    every split meets every block in a task, which multiplies the two and keeps k rows per query; no pair of a row and a query
+    is written, and no query passes the driver. The best rows of all splits are merged. The plan does not depend on the
+    number of queries. Vectors and queries without a direction are treated as in `nearest`; a query without id is ignored.
     """
-    spark = df.sparkSession
-    # kept in the shared folder, since the size and every pass read it
-    queries = cut_lineage(queries.select(F.col(query_id).cast("long").alias("q"), F.col(query_vector).cast("array<double>").alias("v")))
-    size = queries.agg(F.sum(F.size("v") * 8).alias("b")).first()["b"] or 0
-    passes = max(1, math.ceil(size / block_bytes * (1 if size <= block_bytes else 1.5)))
-    # the vector is part of the hash, so repeated ids do not crowd one block
-    block = F.pmod(F.xxhash64("q", "v"), F.lit(passes))
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vec"))
-    schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("id", T.LongType()),
-                           T.StructField("distance", T.DoubleType())])
-    found = None
-    for number in range(passes):
-        held = queries.where(block == number).orderBy("q").toArrow()
-        if held.num_rows == 0:
-            continue
-        known, unknown = as_matrix(held.column("v").combine_chunks())
-        targets = np.zeros((held.num_rows, known.shape[1]))
-        targets[~unknown] = known
-        part = rows.mapInArrow(_task_topk(held.column("q").to_pylist(), targets, unknown, k), schema)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return spark.createDataFrame([], schema)
-    # the candidates of one query come from every task: merge them in two steps
+    # kept in the shared folder, since the size and the join read it
+    queries = cut_lineage(queries.select(F.col(query_id).cast("long").alias("q"), F.col(query_vector).cast("array<double>").alias("v")).where("q is not null"))
+    size = queries.agg(F.sum(F.greatest(F.size("v"), F.lit(1)) * 8).alias("b")).first()["b"] or 0
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vec"))
+    blocks = max(1, math.ceil(size / block_bytes * (1 if size <= block_bytes else 1.5)))
+    splits = max(1, math.ceil(df.count() / split_rows), math.ceil(df.sparkSession.sparkContext.defaultParallelism / blocks))
+    # the vector is part of the hash, so repeated ids do not crowd one block or split
+    split, block = F.pmod(F.xxhash64("id", "vec"), F.lit(splits)), F.pmod(F.xxhash64("q", "v"), F.lit(blocks))
+    dealt_rows = rows.withColumn("split", split).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    dealt_queries = queries.withColumn("block", block).withColumn("split", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(splits - 1).cast("long"))))
+    found = dealt_rows.groupBy("split", "block").cogroup(dealt_queries.groupBy("split", "block")).applyInArrow(
+        _block_topk(k), "query_id long, id long, distance double")
+    # the candidates of one query come from every split: merge them in two steps
     order = [F.col("distance").asc_nulls_last(), F.col("id")]
     spread = found.withColumn("_way", F.pmod(F.hash("id"), F.lit(MERGE_WAYS)))
     for keys in (["query_id", "_way"], ["query_id"]):
@@ -142,7 +146,7 @@ def mean_vectors(df: DataFrame, key: str, vector_col: str = "embedding") -> Data
 
 def semantic_search(reports: DataFrame, query: list[float], k: int = 10) -> DataFrame:
     """Reports closest to the query vector."""
-    return nearest(reports, query, k).select(
+    return nearest_with(reports, query, ["station_code", "date", "description"], k).select(
         "id", "station_code", "date", "description", F.col("distance").alias("vector_distance"))
 
 
@@ -151,7 +155,7 @@ def semantic_search_filtered(reports: DataFrame, stations: DataFrame, query: lis
     """Closest reports between two dates (both included) at the given stations."""
     wanted = reports.where(F.col("date").between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date")))
     wanted = wanted.join(stations.select("station_code"), "station_code", "left_semi")
-    return nearest(wanted, query, k).select("id", F.col("description").alias("report"), "distance")
+    return nearest_with(wanted, query, ["description"], k).select("id", F.col("description").alias("report"), "distance")
 
 
 def joined_reports(hits: DataFrame, instruction: str, text_col: str = "report") -> DataFrame:

@@ -1,8 +1,9 @@
 """Approximate nearest-vector search over a clustered copy of the vectors.
 
-Unit vectors are clustered with k-means; the copy is partitioned by cell, so a
-search reads the few cells whose centres lie closest to the query and re-ranks
-their rows exactly. Probing every cell gives the exact answer.
+Unit vectors are clustered on two levels: coarse cells over all rows, and fine cells inside every coarse one, the fourth
+root of the number of rows each. So a row is compared with two fourth roots of centres and not with a square root of them. The
+copy is partitioned by fine cell. A search looks up the closest coarse centres, then the closest fine centres under these,
+reads the few cells that are left and ranks their rows exactly. Probing every cell gives the exact answer.
 """
 
 from __future__ import annotations
@@ -11,22 +12,63 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from tallyloom.operators.search import nearest
+from tallyloom.functions.vectors import as_matrix, cosine_distance
+from tallyloom.operators.search import nearest, nearest_for_each
+from tallyloom.session import cut_lineage
 from tallyloom.sources.files import Folder
-from tallyloom.sources.readers import small_frame
 
 # Default size below which clustering does not pay.
 MIN_ROWS = 500
+# Rows of a coarse cell that place one of its fine centres, and steps of that placement.
+ROWS_PER_CENTRE = 256
+STEPS = 12
+# Rows that are compared with the fine centres in one task.
+SPLIT_ROWS = 65_536
+
+
+def _unit(column: pa.ChunkedArray) -> np.ndarray:
+    vectors, _ = as_matrix(column.combine_chunks())
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+
+def _fine_centres(count: int, seed: int):
+    """k-means over the sampled rows of one coarse cell; fewer centres if it has fewer different rows."""
+    def run(rows: pa.Table) -> pa.Table:
+        points = np.unique(_unit(rows.column("vec")), axis=0)
+        centres = points[np.random.default_rng(seed).permutation(len(points))[:count]]
+        for _ in range(STEPS):
+            nearest_centre = (points @ centres.T).argmax(axis=1)
+            sums = np.zeros_like(centres)
+            np.add.at(sums, nearest_centre, points)
+            lengths = np.linalg.norm(sums, axis=1, keepdims=True)
+            centres = np.where(lengths > 0, sums / np.where(lengths > 0, lengths, 1.0), centres)
+        return pa.table({"coarse": pa.array([rows.column("coarse")[0].as_py()] * len(centres), pa.int32()),
+                         "fine": pa.array(range(len(centres)), pa.int32()), "centre": pa.array(list(centres), pa.list_(pa.float64()))})
+
+    return run
+
+
+def _assign(vector_col: str, kept: list[str], width: int):
+    def run(key: tuple, rows: pa.Table, centres: pa.Table) -> pa.Table:
+        if not len(rows):
+            return rows.select(kept).append_column("cell", pa.array([], pa.int32()))
+        centre, _ = as_matrix(centres.column("centre").combine_chunks())
+        fine = centres.column("fine").to_numpy()[(_unit(rows.column(vector_col)) @ centre.T).argmax(axis=1)]
+        cell = rows.column("coarse").to_numpy() * width + fine
+        return rows.select(kept).append_column("cell", pa.array(cell.astype(np.int32)))
+
+    return run
 
 
 @dataclass(frozen=True)
 class IvfIndex:
-    """Where the copy lives, and how many cells it has: by default the square root of the number of vectors."""
+    """Where the copy lives, and about how many fine cells it has: by default the square root of the number of vectors."""
 
     path: str
     cells: int | None = None
@@ -36,51 +78,100 @@ class IvfIndex:
     def build(self, df: DataFrame, min_rows: int = MIN_ROWS, seed: int = 7, training_rows: int | None = None) -> bool:
         """Cluster and write every row. Below `min_rows` rows there are no cells, and a search is exact.
 
-        The centres are placed on all rows, or on a sample of about `training_rows`.
-        Rows without a direction, or all rows without cells, go to cell -1, which every search reads.
-        Returns whether there are cells.
+        The coarse centres are placed on all rows, or on a sample of about `training_rows`; the fine ones on a sample of about
+        `ROWS_PER_CENTRE` rows for each, by hash, so that no task holds a whole cell. Rows without a direction, or all rows
+        without cells, go to cell -1, which every search reads. Returns whether there are cells.
         """
-        total = df.count()
+        spark, total = df.sparkSession, df.count()
         norm = F.sqrt(F.aggregate(self.vector_col, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
         whole = df.withColumn("_norm", norm)
-        clustered = total >= max(min_rows, 2)
-        centres = []
-        if clustered:
-            directed = whole.where(F.col("_norm") > 0).withColumn(
-                "_raw", array_to_vector(F.transform(self.vector_col, lambda x: x.cast("double"))))
-            unit = Normalizer(inputCol="_raw", outputCol="_unit", p=2.0).transform(directed)
-            share = 1.0 if training_rows is None else min(1.0, training_rows / total)
-            model = KMeans(k=self.cells or max(2, math.isqrt(total)), seed=seed, featuresCol="_unit", predictionCol="cell").fit(
-                unit if share == 1.0 else unit.sample(fraction=share, seed=seed))
-            loose = whole.where(~(F.col("_norm") > 0) | F.col("_norm").isNull()).drop("_norm").withColumn("cell", F.lit(-1))
-            rows = model.transform(unit).drop("_raw", "_unit", "_norm").unionByName(loose)
-            centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-        else:
-            rows = df.withColumn("cell", F.lit(-1))
+        if total < max(min_rows, 2):
+            self._write(df.withColumn("cell", F.lit(-1)))
+            self._describe(spark.createDataFrame([], "coarse int, centre array<double>, size long"),
+                           spark.createDataFrame([], "coarse int, fine int, centre array<double>, cell int, size long"))
+            return False
+        width = max(2, math.isqrt(self.cells) if self.cells else math.ceil(total ** 0.25))
+        coarse = self._coarse(whole.where(F.col("_norm") > 0), width, total, seed, training_rows)
+        sizes = coarse.groupBy("coarse").agg(F.count("*").alias("n"))
+        hashed = F.pmod(F.xxhash64(self.id_col, self.vector_col), F.greatest(F.floor(F.col("n") / (ROWS_PER_CENTRE * width)), F.lit(1)))
+        sample = coarse.join(F.broadcast(sizes), "coarse").where(hashed == 0).select("coarse", F.col(self.vector_col).cast("array<double>").alias("vec"))  # sizes: `width` rows
+        centres = cut_lineage(sample.groupBy("coarse").applyInArrow(_fine_centres(width, seed), "coarse int, fine int, centre array<double>"))
+        parts = sizes.select("coarse", F.ceil(F.col("n") / SPLIT_ROWS).alias("parts"))
+        rows = coarse.join(F.broadcast(parts), "coarse").withColumn("part", F.pmod(F.xxhash64(self.id_col, self.vector_col), F.col("parts"))).drop("parts")
+        listed = centres.join(F.broadcast(parts.toDF("coarse", "shares")), "coarse").select(
+            "coarse", "fine", "centre", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("part"))
+        schema = T.StructType([*df.schema.fields, T.StructField("cell", T.IntegerType())])
+        named = rows.groupBy("coarse", "part").cogroup(listed.groupBy("coarse", "part")).applyInArrow(_assign(self.vector_col, df.columns, width), schema)
+        loose = whole.where(~(F.col("_norm") > 0) | F.col("_norm").isNull()).drop("_norm").withColumn("cell", F.lit(-1))
+        self._write(named.unionByName(loose))
+        held = spark.read.parquet(f"{self.path}/rows").groupBy("cell").agg(F.count("*").alias("size"))
+        fine = centres.withColumn("cell", F.col("coarse") * width + F.col("fine")).join(held, "cell").select("coarse", "fine", "centre", "cell", "size")
+        # a coarse centre is the mean of its fine ones, weighed by their rows
+        items = fine.select("coarse", "size", F.posexplode("centre").alias("pos", "x")).groupBy("coarse", "pos").agg((F.sum(F.col("x") * F.col("size")) / F.sum("size")).alias("m"))
+        top = items.groupBy("coarse").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "m"))), lambda s: s["m"]).alias("centre"))
+        self._describe(top.join(fine.groupBy("coarse").agg(F.sum("size").alias("size")), "coarse"), fine)
+        return True
+
+    def _coarse(self, directed: DataFrame, width: int, total: int, seed: int, training_rows: int | None) -> DataFrame:
+        """The rows with their coarse cell, kept in the shared folder."""
+        raw = directed.withColumn("_raw", array_to_vector(F.transform(self.vector_col, lambda x: x.cast("double"))))
+        unit = Normalizer(inputCol="_raw", outputCol="_unit", p=2.0).transform(raw)
+        share = 1.0 if training_rows is None else min(1.0, training_rows / total)
+        model = KMeans(k=width, seed=seed, featuresCol="_unit", predictionCol="coarse").fit(unit if share == 1.0 else unit.sample(fraction=share, seed=seed))
+        return cut_lineage(model.transform(unit).drop("_raw", "_unit", "_norm"))
+
+    def _write(self, rows: DataFrame) -> None:
         rows.hint("rebalance", F.col("cell")).write.mode("overwrite").partitionBy("cell").parquet(f"{self.path}/rows")
-        spark = df.sparkSession
-        sizes = {r["cell"]: r["count"] for r in spark.read.parquet(f"{self.path}/rows").groupBy("cell").count().collect()} if centres else {}
-        small_frame(spark, [(i, c, sizes.get(i, 0)) for i, c in centres], "cell int, centre array<double>, size long").write.mode(
-            "overwrite").parquet(f"{self.path}/centres")
-        return clustered
+
+    def _describe(self, coarse: DataFrame, fine: DataFrame) -> None:
+        coarse.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/coarse")
+        fine.write.mode("overwrite").parquet(f"{self.path}/centres")
 
     def drop(self, spark: SparkSession) -> None:
         if Folder(spark, f"{self.path}/centres").exists():
             Folder(spark, self.path).delete()
 
     def search(self, spark: SparkSession, query: list[float], k: int = 5, probes: int = 4) -> DataFrame:
-        """The k closest rows within the `probes` closest cells, and further cells while these hold fewer than k rows."""
-        centres = spark.read.parquet(f"{self.path}/centres").orderBy("cell").collect()
-        chosen: list[int] = []
-        if centres:
-            matrix, target = np.array([c.centre for c in centres]), np.asarray(query)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                closeness = matrix @ target / (np.linalg.norm(matrix, axis=1) * np.linalg.norm(target))
-            held = 0
-            for i in np.argsort(-closeness, kind="stable"):
-                if len(chosen) >= probes and held >= k:
-                    break
-                chosen.append(int(centres[i].cell))
-                held += centres[i]["size"]
-        rows = spark.read.parquet(f"{self.path}/rows").where(F.col("cell").isin([*chosen, -1])).drop("cell")
-        return nearest(rows, query, k, self.vector_col, self.id_col)
+        """The k closest rows within the `probes` closest cells, and further cells while these hold fewer than k rows.
+
+        The cells are those under the `probes` closest coarse centres, or more of them while these hold fewer than k rows.
+        """
+        rows = spark.read.parquet(f"{self.path}/rows")
+        coarse, fine = (spark.read.parquet(f"{self.path}/{name}") for name in ("coarse", "centres"))
+        if probes < fine.count():
+            tops = self._closest(coarse, query, "coarse", k, probes)
+            cells = self._closest(fine.where(F.col("coarse").isin(tops)), query, "cell", k, probes)
+            rows = rows.where(F.col("cell").isin([*cells, -1]))
+        return nearest(rows.drop("cell"), query, k, self.vector_col, self.id_col)
+
+    @staticmethod
+    def _closest(centres: DataFrame, query: list[float], name: str, k: int, probes: int) -> list[int]:
+        """The closest centres that are needed; every one of them holds a row, so k more than `probes` are enough."""
+        chosen, held = [], 0
+        for row in nearest(centres, query, probes + k, "centre", name).select(name, "size").collect():
+            if len(chosen) >= probes and held >= k:
+                break
+            chosen.append(row[0])
+            held += row[1]
+        return chosen
+
+    def search_each(self, spark: SparkSession, queries: DataFrame, k: int = 5, probes: int = 4) -> DataFrame:
+        """(query_id, rank, id, distance) for many queries (query_id long, query_vector), as joins on the cells.
+
+        For every query the closest coarse cells, then the closest fine ones under these, then their rows. A query whose
+        cells hold fewer than k rows gets fewer; ids are 64-bit integers, and vectors and queries have a direction.
+        """
+        queries = cut_lineage(queries.select(F.col("query_id").cast("long").alias("query_id"), F.col("query_vector").cast("array<double>").alias("query_vector")))
+        rows = spark.read.parquet(f"{self.path}/rows").select("cell", F.col(self.id_col).cast("long").alias("id"), F.col(self.vector_col).cast("array<double>").alias("vec"))
+        coarse, fine = (spark.read.parquet(f"{self.path}/{name}") for name in ("coarse", "centres"))
+        tops = nearest_for_each(coarse, queries, probes, "centre", "coarse").select("query_id", F.col("id").cast("int").alias("coarse"))
+        asked = tops.join(queries, "query_id").join(fine.select("coarse", "cell", "centre"), "coarse")
+        cells = _ranked(asked, cosine_distance(F.col("centre"), F.col("query_vector")), "cell", probes).select("query_id", "query_vector", "cell")
+        found = cells.unionByName(queries.withColumn("cell", F.lit(-1))).join(rows, "cell")
+        return _ranked(found, cosine_distance(F.col("vec"), F.col("query_vector")), "id", k).select("query_id", "rank", "id", "distance")
+
+
+def _ranked(df: DataFrame, distance: Column, name: str, k: int) -> DataFrame:
+    """The first k rows of each query by distance, then `name`."""
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("distance").asc_nulls_last(), name))
+    return df.withColumn("distance", F.round(distance, 6)).withColumn("rank", rank).where(F.col("rank") <= k)

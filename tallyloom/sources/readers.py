@@ -39,7 +39,7 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
 
 # Arrow types of the small frames the jobs build themselves.
 _ARROW = {"timestamp": pa.timestamp("us", "UTC"), "string": pa.string(), "date": pa.date32(),
-          "bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "array<double>": pa.list_(pa.float64())}
+          "bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "double": pa.float64(), "array<double>": pa.list_(pa.float64())}
 
 
 def small_frame(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:

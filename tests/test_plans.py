@@ -81,3 +81,12 @@ def test_compacted_files_carry_min_and_max(spark, tmp_path):
     assert file.metadata.row_group(0).column(1).statistics.has_min_max
     text = plan(table.read(spark).where(F.col("temperature") > 100))
     assert "GreaterThan(temperature,100.0)" in text
+
+
+def test_texts_of_a_search_are_looked_up_by_id(spark):
+    from tallyloom.operators.search import nearest, nearest_with
+    reports = views.reports(spark, DATA)
+    first = plan(nearest(reports.select("id", "embedding"), search.QUERY, 10))
+    assert "TakeOrderedAndProject" in first and "text" not in first
+    lookup = plan(nearest_with(reports, search.QUERY, ["description"], 10))
+    assert "In(doc_id" in lookup and "embedding" not in lookup.replace("embeddings.parquet", "")

@@ -76,6 +76,21 @@ def test_batch_search_matches_brute_force(spark, cloud, block_bytes):
         mine = [(r.distance, r.id) for r in sorted((r for r in got if r.query_id == i), key=lambda r: r["rank"])]
         assert mine == brute(rows, np.array(rows[i * 90].embedding), 7)
     assert search.nearest_for_each(cloud, queries.limit(0), 7).count() == 0
+    split = search.nearest_for_each(cloud, queries, 7, block_bytes=block_bytes, split_rows=100)
+    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, got))
+
+
+def test_the_plan_of_a_batch_does_not_grow_with_the_queries(spark, cloud):
+    few, many = (cloud.limit(n).select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vector")) for n in (3, 900))
+    plans = [search.nearest_for_each(cloud, q, 3, block_bytes=1000)._jdf.queryExecution().executedPlan().toString().count("\n") for q in (few, many)]
+    assert plans[0] == plans[1]
+
+
+def test_texts_are_fetched_after_the_top_k(spark, colours):
+    found = search.nearest_with(colours, [1.0, 0.0, 0.0], ["description"], 10).collect()
+    want = search.nearest(colours, [1.0, 0.0, 0.0], 10).collect()
+    assert [(r.id, r.description, str(r.distance)) for r in found] == [(r.id, r.description, str(r.distance)) for r in want]
+    assert search.nearest_with(colours.limit(0), [1.0, 0.0, 0.0], ["description"], 10).collect() == []
 
 
 def test_batch_and_single_search_treat_vectors_alike(spark, colours):
@@ -124,6 +139,34 @@ def test_ivf(spark, cloud, tmp_path):
     assert not (tmp_path / "ivf").exists()
 
 
+def test_many_queries_on_the_index(spark, cloud, tmp_path):
+    """All cells give the exact answer, few cells most of it; a split of ten rows does not change the cells."""
+    index = IvfIndex(str(tmp_path / "many"), cells=36)
+    assert index.build(cloud)
+    queries = cloud.where("id < 60").select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    exact = {(r.query_id, r["rank"], r.id) for r in search.nearest_for_each(cloud, queries, 5).collect()}
+    assert {(r.query_id, r["rank"], r.id) for r in index.search_each(spark, queries, 5, probes=36).collect()} == exact
+    few = {(r.query_id, r["rank"], r.id) for r in index.search_each(spark, queries, 5, probes=6).collect()}
+    assert len(few & exact) >= 0.9 * len(exact)
+    cells = {r.id: r.cell for r in spark.read.parquet(f"{index.path}/rows").collect()}
+    centres = {r.cell: np.array(r.centre) for r in spark.read.parquet(f"{index.path}/centres").collect()}
+    for r in cloud.where("id % 40 = 0").collect():
+        unit = np.array(r.embedding) / np.linalg.norm(r.embedding)
+        width = max(2, math.isqrt(36))
+        mine = {c: unit @ v for c, v in centres.items() if c // width == cells[r.id] // width}
+        assert mine[cells[r.id]] == pytest.approx(max(mine.values()))
+
+
+def test_rows_are_assigned_in_splits(spark, cloud, tmp_path, monkeypatch):
+    from tallyloom.plans import ivf
+    whole, split = IvfIndex(str(tmp_path / "w"), cells=9), IvfIndex(str(tmp_path / "s"), cells=9)
+    whole.build(cloud)
+    monkeypatch.setattr(ivf, "SPLIT_ROWS", 50)
+    split.build(cloud)
+    a, b = (sorted((r.id, r.cell) for r in spark.read.parquet(f"{i.path}/rows").select("id", "cell").collect()) for i in (whole, split))
+    assert a == b
+
+
 # id, longitude, latitude of stations around an airport, and two far away
 PLACES = [(11, -73.79, 40.641), (12, -73.785, 40.65), (13, -73.775, 40.645), (14, -73.95, 40.68), (15, -73.99, 40.73),
           (16, -73.91, 40.85), (19, -74.03, 40.75), (20, -74.07, 40.72), (1, -122.375, 37.621), (79, -80.13, 25.79)]
@@ -160,6 +203,53 @@ def test_box_never_loses_a_point(spark):
         assert {i for i, d in enumerate(far) if d <= metres} <= kept
 
 
+@pytest.fixture(scope="module")
+def globe():
+    """Points all over the globe, dense at the date line, the poles and one city; circles of all sizes, some at their edges."""
+    rng = random.Random(12)
+    points = [(rng.uniform(-180, 180), rng.uniform(-90, 90)) for _ in range(250)]
+    points += [(s * rng.uniform(179.5, 180), rng.uniform(-5, 5)) for s in (-1, 1) for _ in range(40)]
+    points += [(rng.uniform(-180, 180), s * rng.uniform(88, 90)) for s in (-1, 1) for _ in range(40)]
+    points += [(rng.gauss(10, 0.05), rng.gauss(50, 0.05)) for _ in range(150)]
+    points += [(180.0, 0.0), (-180.0, 0.0), (0.0, 90.0), (0.0, -90.0), (10.0, 50.0)]
+    circles = [(lon, lat, rng.choice([0.0, 0.5, 3.0, 20.0, 100.0, 900.0, 5000.0, 13000.0])) for lon, lat in rng.sample(points, 60)]
+    return points, circles + [(179.999, 0.0, 60.0), (-180.0, 1.0, 200.0), (0.0, 90.0, 100.0), (33.0, -89.9, 30.0), (10.0, 50.0, 0.0), (10.0, 50.0, -1.0)]
+
+
+def _frames(spark, points, circles):
+    places = spark.createDataFrame([(i, f"S{i}", x, y) for i, (x, y) in enumerate(points)] + [(-1, "none", None, 1.0)], "id int, station_code string, longitude double, latitude double")
+    centres = spark.createDataFrame([(i, *c) for i, c in enumerate(circles)] + [(-1, None, 1.0, 5.0), (-2, 1.0, 1.0, None)], "centre_id int, lon double, lat double, miles double")
+    return places, centres
+
+
+@pytest.mark.parametrize("method", ["sphere", "ellipsoid"])
+def test_circles_around_many_centres(spark, globe, method):
+    points, circles = globe
+    got = {(r.centre_id, r.id): r.distance_miles for r in stations.within_radius_of_each(*_frames(spark, points, circles), method).collect()}
+    x, y = (np.array(side) for side in zip(*points))
+    want = {}
+    for c, (lon, lat, miles) in enumerate(circles):
+        if method == "sphere":
+            half = np.sin(np.radians(y - lat) / 2) ** 2 + np.cos(np.radians(y)) * math.cos(math.radians(lat)) * np.sin(np.radians(x - lon) / 2) ** 2
+            metres = 2 * 6371008.7714 * np.arcsin(np.sqrt(np.minimum(half, 1.0)))
+        else:
+            metres = vincenty(x, y, lon, lat)
+        want |= {(c, int(i)): metres[i] / 1609.34 for i in np.flatnonzero(metres <= miles * 1609.34)}
+    assert set(got) == set(want) and len(got) > 1500
+    assert all(abs(got[pair] - want[pair]) < 1e-6 for pair in want)
+
+
+def test_the_radius_join_is_an_equi_join(spark, globe):
+    text = stations.within_radius_of_each(*_frames(spark, *globe), "sphere")._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in text and "NestedLoop" not in text and "_cell" in text
+
+
+def test_no_circles_and_no_places(spark, globe):
+    places, centres = _frames(spark, *globe)
+    assert stations.within_radius_of_each(places, centres.limit(0)).collect() == []
+    assert stations.within_radius_of_each(places.limit(0), centres).collect() == []
+
+
 def test_known_geodesics():
     # equator, one degree; meridian quadrant; a point to itself
     got = vincenty(np.array([1.0, 0.0, 5.0]), np.array([0.0, 90.0, 7.0]), 0.0, 0.0)
