@@ -51,8 +51,8 @@ def latest_readings(spark: SparkSession, root: str) -> DataFrame:
     return health.latest_readings(views.health_data(spark, root))
 
 
-@query("device_owners", """SELECT name, age, device_type, device_model
-FROM users u JOIN wearable_devices wd ON u.id = wd.user_id""", ("users", "wearable_devices"))
+@query("device_owners", """WITH owner AS (SELECT id AS user_id, name, age FROM users)
+SELECT name, age, device_type, device_model FROM wearable_devices JOIN owner USING (user_id)""", ("users", "wearable_devices"))
 def device_owners(spark: SparkSession, root: str) -> DataFrame:
     return health.owners(views.users(spark, root), views.wearable_devices(spark, root))
 

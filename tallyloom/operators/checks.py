@@ -37,17 +37,17 @@ def count_where(df: DataFrame, condition: Column | None = None, name: str = "row
 def assign_ids(df: DataFrame, order_by: list[str | Column], name: str = "id", start: int = 1) -> DataFrame:
     """Dense ids in the order of `order_by`, without sorting everything in one task.
 
-    The rows are range-sorted over all tasks and checkpointed, which fixes their
-    place; each partition's first id is then the number of rows before it. Only
-    those counts, one per partition, are gathered in one task and broadcast.
-    `order_by` should be a total order; equal keys get arbitrary places.
+    The rows are range-sorted over all tasks by the order and a hash of the row, so that many rows with one order key are
+    split as well, and checkpointed, which fixes their place; a partition's first id is then the number of rows
+    before it. Only those counts, one per partition, meet in one task. Rows with equal order keys get places by their hash.
     """
-    place = cut_lineage(df.orderBy(*order_by)).select(
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    place = cut_lineage(df.orderBy(*order_by, hashed)).select(
         "*", F.spark_partition_id().alias("_part"),
         (F.monotonically_increasing_id() % F.lit(1 << 33)).alias("_offset"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     ends = place.groupBy("_part").agg(F.count("*").alias("n")).select(
         "_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    return (place.join(F.broadcast(ends), "_part")
+    return (place.join(ends, "_part")
             .withColumn(name, F.col("before") + F.col("_offset") + F.lit(start))
             .drop("_part", "_offset", "before"))

@@ -135,6 +135,17 @@ def test_ids_are_dense_in_order(spark):
     assert checks.assign_ids(data.limit(0), ["k"]).count() == 0
 
 
+def test_one_order_key_for_half_of_the_rows_is_split(spark, monkeypatch):
+    data = spark.range(0, 20_000, 1, 7).select("id", F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("k"))
+    kept = []
+    monkeypatch.setattr(checks, "cut_lineage", lambda df: kept.append(df) or df.cache())
+    got = checks.assign_ids(data, ["k"], name="n")
+    assert sorted(r.n for r in got.collect()) == list(range(1, 20_001))
+    assert got.where("k = 0").agg(F.max("n")).first()[0] == 10_000
+    sizes = sorted(r["count"] for r in kept[0].groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) > 1 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
 def test_checks(spark):
     child = spark.createDataFrame([(1, "x"), (2, None), (None, "long text")], "ref int, t string")
     parent = spark.createDataFrame([(1,), (1,)], "id int")
