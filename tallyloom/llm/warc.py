@@ -30,8 +30,11 @@ from tallyloom.llm.markup import plain_text
 VERSION = "WARC/1.0"
 END = "\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-_TITLE = re.compile(r"<title[^>]*>(.*?)</title", re.S | re.I)
-_LINK = re.compile(r"""<a\s[^>]*?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_TITLE = re.compile(r"<title", re.I)
+_TITLE_END = re.compile(r"</title", re.I)
+_LINK = re.compile(r"<a\s", re.I)
+_HREF = re.compile(r"href\s*=\s*", re.I)
+_TARGET = re.compile(r"""(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 
 
 def digest(block: Column) -> Column:
@@ -62,15 +65,36 @@ def responses(pages: DataFrame, date: str) -> DataFrame:
                         F.col("url").alias("target_uri"), F.lit(date).alias("warc_date"), headers.alias("http_headers"), body.alias("payload"))
 
 
+def title_of(page: str) -> str:
+    """Between the end of the first title tag and the next closing one; where the first has none, no later one has."""
+    found = _TITLE.search(page)
+    start = page.find(">", found.end()) + 1 if found else 0
+    end = _TITLE_END.search(page, start) if start else None
+    return page[start:end.start()] if end else ""
+
+
+def link_targets(page: str) -> set[str]:
+    """The first target of each link, read once from left to right: a tag without one is left as a whole."""
+    out, at = set(), 0
+    while found := _LINK.search(page, at):
+        close = page.find(">", found.end())
+        at = len(page) if close < 0 else close
+        for href in _HREF.finditer(page, found.end(), at):
+            target = _TARGET.match(page, href.end())
+            if target:
+                out.add(target[1] or target[2] or target[3])
+                at = target.end()
+                break
+    return out
+
+
 def _read_pages(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     kind = pa.struct([("text", pa.string()), ("title", pa.string()), ("links", pa.int64())])
     for part in texts:
         out = []
         for x in part:
             page = x.as_py() or ""
-            title = _TITLE.search(page)
-            out.append({"text": plain_text(page), "title": " ".join(html.unescape(title[1]).split()) if title else "",
-                        "links": len({a or b or c for a, b, c in _LINK.findall(page)})})
+            out.append({"text": plain_text(page), "title": " ".join(html.unescape(title_of(page)).split()), "links": len(link_targets(page))})
         yield pa.array(out, kind)
 
 

@@ -65,3 +65,26 @@ def test_pages_as_responses(spark):
     found = warc.derivatives(warc.responses(pages, "2024-01-01T00:00:00Z"), "page_id").collect()
     assert len(found) == 6 and {r.page_id for r in found} == {1, 2, None}
     assert next(r.block for r in found if r.page_id == 1 and r.warc_type == "conversion") == "x"
+
+
+def test_titles_and_links_are_those_of_the_plain_patterns():
+    import random
+    import re
+    title = re.compile(r"<title[^>]*>(.*?)</title", re.S | re.I)
+    link = re.compile(r"""<a\s[^>]*?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+    pieces = ["<title>", "<title", "</title>", "<TITLE a='b'>", "<a ", "<A\n", "href", "href=", "HREF = ", '"', "'", ">", " ", "x", "/y", "<a href='q'>", '<a href="r>s">', "é"]
+    rng = random.Random(5)
+    for _ in range(20_000):
+        page = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 14)))
+        found = title.search(page)
+        assert warc.title_of(page) == (found[1] if found else ""), page
+        assert {x or None for x in warc.link_targets(page)} == {a or b or c or None for a, b, c in link.findall(page)}, page
+
+
+def test_long_pages_are_read_in_linear_time():
+    import time
+    for piece in ("<a ", "<title>", "<title", "<a href", "<a href=", "<a href='", '<a href="', "<a href = >", "href="):
+        start = time.time()
+        page = piece * (1_000_000 // len(piece))
+        warc.title_of(page), warc.link_targets(page)
+        assert time.time() - start < 2, piece
