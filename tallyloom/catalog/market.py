@@ -107,7 +107,7 @@ def candles_from_stream(spark: SparkSession, root: str) -> DataFrame:
     """All candles, kept by a streaming job over the same files."""
     events = views.table(spark, root, "events")
     source = spark.readStream.schema(events.schema).parquet(f"{root.rstrip('/')}/events.parque[t]")
-    rollup = StreamRollup(scratch_path(spark, "stream"), "1 day", ("symbol",), tuple(market.CANDLE), delay="40 days")
+    rollup = StreamRollup(scratch_path(spark, "stream"), "1 day", ("symbol",), tuple(market.CANDLE))
     rollup.start(views.as_ticks(source)).awaitTermination()
     return rollup.read(spark).withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
 

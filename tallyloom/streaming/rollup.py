@@ -7,13 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyloom.functions.measures import Measure
-from tallyloom.functions.times import time_bucket
+from tallyloom.functions.measures import Measure, finalize, merge_partials, partial_aggregate
+from tallyloom.functions.times import add_bucket
 from tallyloom.sources.files import Folder
 
 
 def with_event_time(stream: DataFrame, time_col: str) -> DataFrame:
-    """Watermarks need a zoned timestamp; NTZ values are read as UTC."""
+    """Event time as a zoned timestamp; NTZ values are read as UTC."""
     if not isinstance(stream.schema[time_col].dataType, T.TimestampNTZType):
         return stream
     zone = stream.sparkSession.conf.get("spark.sql.session.timeZone")
@@ -24,13 +24,12 @@ def with_event_time(stream: DataFrame, time_col: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class StreamRollup:
-    """Buckets kept up to date by a stream, stored as the changes of each micro-batch.
+    """Buckets kept up to date by a stream, stored as the partial aggregates of each micro-batch.
 
-    Spark keeps the open buckets in its state store and hands over the rows that
-    changed. Every micro-batch is one partition of the store, overwritten if the
-    batch is replayed, so a restart leaves no doubles. A read takes the newest
-    change of each bucket and key. Rows later than `delay` behind the newest one
-    are left out, which is what bounds the state.
+    A micro-batch combines its rows to one partial aggregate per bucket and key, and is one partition of the store, overwritten if
+    the batch is replayed, so a restart leaves no doubles. A read merges the partials of each bucket and key. So a row counts
+    however late it comes, without a watermark, and the stream holds no state between batches; `consolidate` keeps the
+    store small.
     """
 
     path: str
@@ -39,23 +38,22 @@ class StreamRollup:
     measures: tuple[Measure, ...]
     time_col: str = "time"
     bucket: str = "bucket"
-    delay: str = "1 day"
 
     @property
     def _group(self) -> list[str]:
         return [self.bucket, *self.keys]
 
-    def aggregated(self, stream: DataFrame) -> DataFrame:
-        timed = with_event_time(stream, self.time_col).withWatermark(self.time_col, self.delay)
-        return (timed.groupBy(time_bucket(self.width, self.time_col).alias(self.bucket), *self.keys)
-                .agg(*[m.direct() for m in self.measures]))
+    def partials(self, rows: DataFrame) -> DataFrame:
+        """One row per bucket and key; rows without a time drop out."""
+        timed = add_bucket(rows.where(F.col(self.time_col).isNotNull()), self.width, self.time_col, self.bucket)
+        return partial_aggregate(timed, self._group, list(self.measures))
 
     def start(self, stream: DataFrame, available_now: bool = True, every: str = "1 minute") -> StreamingQuery:
-        def keep(changes: DataFrame, batch: int) -> None:
-            (changes.withColumn("batch", F.lit(batch)).write.mode("overwrite")
+        def keep(rows: DataFrame, batch: int) -> None:
+            (self.partials(rows).withColumn("batch", F.lit(batch)).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{self.path}/changes"))
 
-        writer = (self.aggregated(stream).writeStream.outputMode("update").foreachBatch(keep)
+        writer = (with_event_time(stream, self.time_col).writeStream.foreachBatch(keep)
                   .option("checkpointLocation", f"{self.path}/checkpoint"))
         writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)
         return writer.start()
@@ -70,28 +68,31 @@ class StreamRollup:
         """Fold all changes so far into one base table, while the stream is stopped.
 
         The folded batches are removed once the base is complete; a batch replayed
-        later brings the rows the base already holds and is not read.
+        later brings partials that the base already holds and is not read.
         """
         batches = [int(n.removeprefix("batch=")) for n in Folder(spark, f"{self.path}/changes").names("batch=")]
         base = self._base(spark)
         if not batches or (base is not None and max(batches) <= base):
             return
-        self.read(spark).write.mode("overwrite").parquet(f"{self.path}/base/upto={max(batches)}")
+        self._merged(spark).write.mode("overwrite").parquet(f"{self.path}/base/upto={max(batches)}")
         for batch in batches:
             Folder(spark, f"{self.path}/changes/batch={batch}").delete()
         if base is not None:
             Folder(spark, f"{self.path}/base/upto={base}").delete()
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """Newest state of every bucket and key."""
+    def _merged(self, spark: SparkSession) -> DataFrame:
+        """One row of partials per bucket and key."""
         base = self._base(spark)
         if base is None:
-            changes = spark.read.parquet(f"{self.path}/changes")
+            parts = spark.read.parquet(f"{self.path}/changes").drop("batch")
         else:
-            folded = spark.read.parquet(f"{self.path}/base/upto={base}")
-            changes = folded.withColumn("batch", F.lit(base))
+            parts = spark.read.parquet(f"{self.path}/base/upto={base}")
             if Folder(spark, f"{self.path}/changes").names("batch="):
-                schema = folded.schema.add("batch", T.IntegerType())
-                changes = changes.unionByName(
-                    spark.read.schema(schema).parquet(f"{self.path}/changes").where(F.col("batch") > base))
-        return changes.groupBy(*self._group).agg(*[F.max_by(m.name, "batch").alias(m.name) for m in self.measures])
+                schema = T.StructType([*parts.schema.fields, T.StructField("batch", T.IntegerType())])
+                later = spark.read.schema(schema).parquet(f"{self.path}/changes").where(F.col("batch") > base)
+                parts = parts.unionByName(later.drop("batch"))
+        return merge_partials(parts, self._group, list(self.measures))
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """Newest state of every bucket and key."""
+        return finalize(self._merged(spark), self._group, list(self.measures))
