@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.chunks import split_column, split_text
 from tallyloom.functions.embeddings import batch_provider, embed_column, embed_query, hashing_provider
 from tallyloom.plans.vectorizer import Vectorizer
+from tallyloom.sources.files import Folder
 
 
 @settings(max_examples=300, deadline=None)
@@ -72,7 +75,7 @@ def test_vectorizer_follows_its_source(spark, tmp_path):
     for r in view:
         joined[r.id] = joined.get(r.id, "") + r.chunk
     assert joined == {"a": "one two three four", "b": "a changed text here", "d": "new"}
-    assert spark.read.parquet(f"{job.path}/chunks/run=2").select("id").distinct().count() == 2
+    assert spark.read.parquet(job.store).where("run = 2 AND id IS NOT NULL").select("id").distinct().count() == 2
     assert job.run(source(spark, a="one two three four")) == 3
     back = source(spark, a="one two three four", d="new")
     assert job.run(back) == 4 and job.view(back).select("id").distinct().count() == 2
@@ -86,3 +89,57 @@ def test_vectorizer_run_cut_short_leaves_nothing(spark, tmp_path):
     assert job.view(data).count() == 0
     job.run(data)
     assert job.view(data).count() == 1
+
+
+def stored_ids(spark, job):
+    return sorted((r.id, r.chunk_seq) for r in spark.read.parquet(job.store).where("id IS NOT NULL").collect())
+
+
+def test_vectorizer_keeps_live_chunks_only(spark, tmp_path):
+    """After partial changes nothing stale is stored, an empty text stays an item, and emptied buckets are empty."""
+    job = Vectorizer(str(tmp_path / "v"), "id", "body", chunk_size=10, chunk_overlap=0, provider=hashing_provider(8), buckets=4)
+    texts = {f"k{i}": "one two three four" for i in range(12)} | {"empty": "", "none": None}
+    assert job.run(source(spark, **texts)) == 1 and job.run(source(spark, **texts)) == 0
+    for change in range(4):
+        texts[f"k{change}"] = f"now {change}"
+        del texts[f"k{11 - change}"]
+        texts["none" if change % 2 else "empty"] = "a text" if change < 2 else None
+        data = source(spark, **texts)
+        assert job.run(data) == change + 2
+        live = split_column(data.where("body is not null"), "body", 10, 0).select("id", "chunk_seq").collect()
+        blank = [k for k, v in texts.items() if not v]
+        assert sorted(stored_ids(spark, job), key=str) == sorted([tuple(r) for r in live] + [(k, None) for k in blank], key=str)
+        assert tuple(job.status(data).first()) == (len(texts), 0)
+        assert job.view(data).count() == len(live)
+    nothing = source(spark, **texts).limit(0)
+    assert job.run(nothing) == 6 and stored_ids(spark, job) == [] and job.view(source(spark, **texts)).count() == 0
+
+
+def test_vectorizer_rewrites_touched_buckets_only(spark, tmp_path):
+    job = Vectorizer(str(tmp_path / "v"), "id", "body", provider=hashing_provider(8), buckets=8)
+    texts = {f"k{i}": f"text {i}" for i in range(40)}
+    job.run(source(spark, **texts))
+    before = {str(p.relative_to(job.store)): p.stat().st_mtime_ns for p in Path(job.store).rglob("*.parquet")}
+    job.run(source(spark, **{**texts, "k7": "changed"}))
+    after = {str(p.relative_to(job.store)) for p in Path(job.store).rglob("*.parquet")}
+    gone = {name.split("/")[0] for name in before if name not in after}
+    assert len(gone) == 1 and sum(name in after for name in before) >= 7
+
+
+def test_vectorizer_embeds_a_lost_bucket_again(spark, tmp_path):
+    job = Vectorizer(str(tmp_path / "v"), "id", "body", provider=hashing_provider(8), buckets=4)
+    data = source(spark, **{f"k{i}": f"text {i}" for i in range(20)})
+    job.run(data)
+    whole = stored_ids(spark, job)
+    Folder(spark, f"{job.store}/bucket=1").delete()
+    lost = job.pending(data).count()
+    assert 0 < lost < 20 and job.run(data) == 2
+    assert stored_ids(spark, job) == whole and job.pending(data).count() == 0
+
+
+def test_vectorizer_ids_missing_or_shared(spark, tmp_path):
+    job = Vectorizer(str(tmp_path / "v"), "id", "body", provider=hashing_provider(8), buckets=4)
+    data = spark.createDataFrame([("a", "one"), ("a", "two"), ("a", ""), (None, "lost"), ("b", "")], "id string, body string")
+    assert job.run(data) == 1 and job.run(data) == 0
+    assert sorted(r.chunk for r in spark.read.parquet(job.store).where("chunk is not null").collect()) == ["one", "two"]
+    assert tuple(job.status(data).first()) == (2, 0)
