@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tallyloom.catalog.registry import ADDRESS, BLOCK, TXID, query
 from tallyloom.functions.scalars import segment_key
 from tallyloom.operators import checks, ledger, patterns
+from tallyloom.plans.ledger_store import LedgerStore
 from tallyloom.sources import views
 
 ROWS = ("tx_vinout",)
@@ -145,7 +146,7 @@ def exchange_counterparties(spark: SparkSession, root: str) -> DataFrame:
 SELECT address, COUNT(*) AS transaction_count, SUM(value) AS total_value FROM tx_vinout
 WHERE (txid, timestamp) IN (SELECT txid, timestamp FROM spends) AND type = 'vout' GROUP BY address""", ROWS)
 def miner_spending(spark: SparkSession, root: str) -> DataFrame:
-    return patterns.miner_spending(views.tx_vinout(spark, root))
+    return LedgerStore.build(views.tx_vinout(spark, root)).miner_spending()
 
 
 @query("anomalous_tx", """WITH scored AS (SELECT *, ln(CAST(value AS DOUBLE)) AS lv FROM transactions WHERE value > 0),
@@ -175,7 +176,7 @@ def _hops_sql(hops: int) -> str:
 
 @query("flow_trace_hops", _hops_sql(3), ROWS)
 def flow_trace_hops(spark: SparkSession, root: str) -> DataFrame:
-    return ledger.flow_trace_hops(views.tx_vinout(spark, root), ADDRESS, 3)
+    return LedgerStore.build(views.tx_vinout(spark, root)).flow_trace_hops(ADDRESS, 3)
 
 
 @query("segment_keys", """SELECT right(txid, 2) AS txid_2, right(txid, 3) AS txid_3, COUNT(*) AS row_count

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.session import cut_lineage
@@ -101,25 +103,39 @@ def flow_trace_hops(vinout: DataFrame, address: str, hops: int = 3) -> DataFrame
     per-address result is checkpointed, so the plan does not grow with the hops.
     """
     inputs = vinout.where(is_input()).select("address", *TX)
-    spends, found = inputs.where(F.col("address") == address), None
+
+    def paid(spends: DataFrame) -> DataFrame:
+        return outputs_of(vinout, spends.select(*TX).distinct()).withColumn("parts", F.lit(1))
+
+    def spent(frontier: DataFrame) -> DataFrame:
+        return inputs.join(frontier.select("address", "first_time"), "address").where(F.col("timestamp") >= F.col("first_time"))
+
+    return follow(inputs.where(F.col("address") == address), paid, spent, address, hops)
+
+
+def follow(spends: DataFrame, paid: Callable[[DataFrame], DataFrame], spent: Callable[[DataFrame], DataFrame],
+           address: str, hops: int) -> DataFrame:
+    """The rounds of `flow_trace_hops`: `paid` gives the outputs of transactions, `spent` the transactions in which
+    addresses (address, first_time, parts) were inputs from that time on."""
+    found = None
     for hop in range(1, hops + 1):
-        reached = (outputs_of(vinout, spends.select(*TX).distinct()).where(F.col("address") != address)
+        reached = (paid(spends).where(F.col("address") != address)
                    .groupBy("address")
-                   .agg(F.min("timestamp").alias("time"), F.count("*").alias("n"), F.sum("value").alias("total"))
+                   .agg(F.min("timestamp").alias("time"), F.count("*").alias("n"), F.sum("value").alias("total"), F.max("parts").alias("into"))
                    .withColumn("at", F.lit(hop)))
         if found is None:
-            found = reached.select(F.col("at").alias("hop"), "address", F.col("time").alias("first_time"),
-                                   F.col("n").alias("outputs"), F.col("total").alias("total_value"), F.lit(True).alias("moved"))
+            found = reached.select(F.col("at").alias("hop"), "address", F.col("time").alias("first_time"), F.col("n").alias("outputs"),
+                                   F.col("total").alias("total_value"), F.col("into").alias("parts"), F.lit(True).alias("moved"))
         else:
             first = F.coalesce("hop", "at")
             found = found.drop("moved").join(reached, "address", "full").select(
                 first.alias("hop"), "address", F.least("first_time", "time").alias("first_time"),
                 F.coalesce("outputs", "n").alias("outputs"), F.coalesce("total_value", "total").alias("total_value"),
+                F.coalesce("parts", "into").alias("parts"),
                 (F.col("first_time").isNull() | F.coalesce(F.col("time") < F.col("first_time"), F.lit(False))).alias("moved"))
         found = cut_lineage(found)
         frontier = found.where("moved")
         if hop == hops or frontier.isEmpty():
             break
-        spends = inputs.join(frontier.select("address", "first_time"), "address").where(
-            F.col("timestamp") >= F.col("first_time"))
-    return found.drop("moved")
+        spends = spent(frontier)
+    return found.drop("moved", "parts")
