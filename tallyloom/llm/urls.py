@@ -77,13 +77,17 @@ def judged(pages: DataFrame, listed: DataFrame) -> DataFrame:
     listed = written(listed.where("canonical is not null").select("canonical").distinct(), "listed")
     blocks, n = bloom_blocks(listed)
     names = ["page_id", "host", "path", "canonical", "rule", "ruled"]
+    # a page without canonical URL, or without possible hit, gets a key of its own that nothing can equal, so that neither
+    # join sends all of them to one place
+    alone = F.xxhash64("page_id", "host", "path")
     probe = own.select(*names, *_bits(F.col("canonical"), F.lit(n).cast("long")))
+    probe = probe.withColumn("block", F.when(F.col("canonical").isNull(), -1 - F.pmod(alone, F.lit(1 << 40))).otherwise(F.col("block")))
     probe = probe.join(blocks, "block", "left")
     hit = F.col("ruled").isNull() & F.col("canonical").isNotNull()
     for w in range(WORDS):
         hit &= F.col(f"w{w}").bitwiseAND(F.col(f"f{w}")) == F.col(f"w{w}")
-    # only possible hits have a key, so nothing else can meet the list
-    probe = probe.select(*names, F.when(hit, F.col("canonical")).alias("possible"))
-    exact = probe.join(listed.select(F.col("canonical").alias("possible"), F.lit(True).alias("on_list")), "possible", "left")
+    # only possible hits have their URL as key; no canonical URL has a question mark
+    probe = probe.select(*names, F.when(hit, F.col("canonical")).otherwise(F.concat(F.lit("?"), alone)).alias("possible"))
+    exact = probe.join(listed.where(~F.col("canonical").contains("?")).select(F.col("canonical").alias("possible"), F.lit(True).alias("on_list")), "possible", "left")
     return exact.select("page_id", "host", "path", "canonical", "rule",
                         F.coalesce("ruled", F.when(F.col("on_list"), "block").otherwise("allow")).alias("verdict"))

@@ -67,3 +67,20 @@ def test_the_filter_passes_all_listed_and_few_others(spark):
 
     assert passed(listed) == 5000
     assert passed(others) < 0.02 * 20000
+
+
+def test_pages_without_hit_are_spread(spark):
+    """With shuffled joins, pages without host, or not on the list, do not share a partition."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    for key, value in zip(before, ("-1", "false", "8")):
+        spark.conf.set(key, value)
+    try:
+        from pyspark.sql import functions as F
+        listed = spark.createDataFrame([("h.io/1",), ("?5",)], "canonical string")
+        for url in ("concat('http://h.io/', id)", "'no host'", "cast(null as string)"):
+            pages = spark.range(4000).selectExpr("id AS page_id", f"{url} AS url")
+            counts = [r["count"] for r in urls.judged(pages, listed).groupBy(F.spark_partition_id()).count().collect()]
+            assert len(counts) == 8 and max(counts) < 2 * 4000 / 8, (url, counts)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
