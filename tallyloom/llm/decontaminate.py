@@ -66,13 +66,20 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> D
     entries = own.select("doc_id", "words", "skip", "n_words", F.posexplode(F.concat(F.array(F.lit(" ")), "words")).alias("pos", "word"))
     anchors = anchors.union(anchors.sparkSession.range(1).select(
         F.lit(" ").alias("anchor"), F.array(F.struct(F.lit(0).alias("length"), F.lit(0).alias("offset"))).alias("places")))
-    anchors = small(written(anchors, "anchors"), BROADCAST_WINDOWS, F.octet_length("anchor") + 8 * F.size("places"))
-    met = entries.join(anchors, F.lower("word") == F.col("anchor"))
-    start = F.col("pos") - F.col("place.offset")  # from 1, as arrays are
+    anchors = written(anchors, "anchors")
+    some = small(anchors, BROADCAST_WINDOWS, F.octet_length("anchor") + 8 * F.size("places"))
+    first = F.lit(1)  # place in the text of the first of `words`, from 1 as arrays are
+    if some is anchors:
+        # the rows are shuffled, so each takes the words that a window around it can reach, not the whole text
+        first = F.greatest(F.lit(1), F.col("pos") - width + 1)
+        around = F.when(F.col("pos") == 0, F.slice("words", 1, 0)).otherwise(F.slice("words", first, F.lit(2 * width - 1)))
+        entries = entries.select("doc_id", around.alias("words"), "skip", "n_words", "pos", "word")
+    met = entries.join(some, F.lower("word") == F.col("anchor"))
+    start = F.col("pos") - F.col("place.offset") - first + 1
     met = (met.select("doc_id", "words", "skip", "n_words", "pos", F.explode("places").alias("place"))
            .where((F.col("place.length") == 0) | ((start >= 1) & (start + F.col("place.length") - 1 <= F.size("words")))))
     there = F.when(F.col("place.length") > 0, F.array_join(F.slice("words", start, F.col("place.length")), " "))
-    met = met.select("doc_id", "n_words", F.col("place.length").alias("length"), (start - 1 - F.col("skip")).alias("start"),
+    met = met.select("doc_id", "n_words", F.col("place.length").alias("length"), (start + first - 2 - F.col("skip")).alias("start"),
                      ascii_lower(there).alias("there"))
     hit = met.join(table.withColumnRenamed("length", "l"), (F.col("there") == F.col("window")) & (F.col("length") == F.col("l")), "left")
     return hit.where("length = 0 or window is not null").select("doc_id", "n_words", "start", F.when(F.col("length") > 0, F.col("length")).alias("length"), "items")
@@ -80,7 +87,8 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> D
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, parts: int = PARTS) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items (sorted ids), items_sha256, contaminated."""
-    found = occurrences(docs, benchmark, width)
+    # equal rows once, before all of a document meet: rows that share an id, or have none, may be very many
+    found = occurrences(docs, benchmark, width).distinct()
     hits = F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)
     per = found.groupBy("doc_id").agg(
         F.max("n_words").alias("n_words"), F.array_distinct(F.flatten(F.collect_list(hits))).alias("hit_words"),

@@ -99,3 +99,16 @@ def test_no_python_in_the_plan(spark, capsys):
     texts, items = _case()
     decontaminate.contamination(documents(spark, [(1, "a", "s")]), spark.createDataFrame(items, ITEMS)).explain()
     assert not re.search("Python|Arrow|Pandas", capsys.readouterr().out)
+
+
+def test_shuffled_windows_carry_no_whole_text(spark, monkeypatch):
+    """Beyond the broadcast limit a word takes the words a window can reach; a long text is not written once per word."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    _, items = _case()
+    texts = [(1, " ".join(prose(5, 30_000)) + " " + items[0][1]), (2, " ".join(prose(6, 40)))]
+    bench = spark.createDataFrame(items, ITEMS)
+    docs = documents(spark, [(i, t, "s") for i, t in texts])
+    found = decontaminate.occurrences(docs, bench)
+    exchange = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "AS words" in line and "slice(" in line]
+    assert exchange and f"{2 * decontaminate.WINDOW - 1})" in "".join(exchange)
+    assert _rows(decontaminate.contamination(docs, bench)) == _brute(texts, items)
