@@ -7,7 +7,8 @@ block outweighs the others. Both ratios are smoothed over neighbouring blocks, f
 multiplication, and paths with a fused value above a share of the page's mean are content
 paths. The content element is the lowest common ancestor of all content paths; in it content paths, headings, and
 what stands between content blocks and is no row of links are kept in page order. `article` and `main` elements
-come first; of a marked-up article all blocks are kept.
+come first: the ratios are then taken of their blocks alone, articles without any content path are teasers, and in the others
+content paths, headings and text elements that are no links are kept.
 
 Elements that never hold an article (menus, page headers, footers, sidebars, forms) count nothing. Nor do elements whose class
 or id has a word for such things (adverts, notices, comments), unless it can only be a word about the layout: the element
@@ -46,6 +47,7 @@ WHOLE = frozenset("header site-header page-header top-header global-header side
 MAIN_ROLES = frozenset(("main", "article"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ITEMS = frozenset("p li td th dt dd".split())
+TEXT = ITEMS | frozenset("blockquote pre figcaption caption address summary".split())
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：]")
 _PARTS = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
@@ -212,6 +214,12 @@ def main_text(page: str) -> str:
     if not texts:
         return ""
 
+    if any(know.about(e).mains for e in owners):
+        inside = [k for k, e in enumerate(owners) if know.about(e).mains]
+        texts, owners, links = ([column[k] for k in inside] for column in (texts, owners, links))
+        marked = True
+    else:
+        marked = False
     owners_about = [know.about(e) for e in owners]
     blocks_of = [a.block for a in owners_about]
     number = np.unique([know.about(e).key for e in blocks_of], return_inverse=True)[1]
@@ -223,16 +231,12 @@ def main_text(page: str) -> str:
     mark_ratio = (np.bincount(number, marks) / blocks)[number]
     fused = _smooth(text_ratio) * (1.0 + _smooth(mark_ratio))
 
-    mains: dict[int, float] = {}
-    for a, w in zip(owners_about, fused * length):
-        if a.mains:
-            mains[id(a.mains[0])] = mains.get(id(a.mains[0]), 0.0) + w
-    if mains:  # every marked-up article that is not small beside the largest
-        best = max(mains.values())
-        chosen = {k for k, w in mains.items() if w >= SHARE * best}
-        return " ".join(t for t, a in zip(texts, owners_about) if a.mains and id(a.mains[0]) in chosen)
-
     content = fused >= SHARE * np.average(fused, weights=length)
+    if marked:  # articles with a content path; in them content paths and what a text element says in running words
+        chosen = {id(a.mains[0]) for a, is_content in zip(owners_about, content) if is_content}
+        return " ".join(t for t, a, e, is_content, link in zip(texts, owners_about, blocks_of, content, links) if id(a.mains[0]) in chosen
+                        and (is_content or e.name in HEADINGS or (not link and (e.name in TEXT or e is a.mains[-1]))))
+
     found = np.flatnonzero(content)
     holder: Element | None = blocks_of[found[0]]
     for k in found[1:]:

@@ -125,3 +125,31 @@ def test_short_blocks_between_stay():
 
 def test_deep_pages():
     assert extract.main_text("<div>" * 5000 + LONG) == LONG
+
+
+LIST = "".join(f"<li><a href='/{k}'>Other page {k}</a></li>" for k in range(5))
+TEASER = "<article class=card><h3><a href='/t'>Other story</a></h3><p><a href='/t'>Read on</a></p></article>"
+
+
+@pytest.mark.parametrize("inside", [f"<ul>{LIST}</ul>", f"<div class=x><h4><a href=/>More</a></h4><ul>{LIST}</ul></div>".replace("h4", "div"),
+                                    "<div class=k>" + "".join(f"<div><a href='/{k}'>Topic {k}</a></div>" for k in range(5)) + "</div>",
+                                    "<table>" + "".join(f"<tr><td><a href='/{k}'>Page {k}</a></td></tr>" for k in range(5)) + "</table>"])
+@pytest.mark.parametrize("article", ["<article>{}</article>", "<main>{}</main>"])
+def test_rows_of_links_in_an_article_go_by_the_ratios(inside, article, monkeypatch):
+    page = f"<body>{article.format(f'<h1>Title</h1>{INNER}{inside}')}</body>"
+    assert extract.main_text(page) == " ".join(["Title", *PARAGRAPHS])
+    monkeypatch.setattr(extract, "_smooth", lambda values: values * 0 + 1)
+    assert extract.main_text(page) != " ".join(["Title", *PARAGRAPHS])
+
+
+@pytest.mark.parametrize("inside", ["<ul><li>First point</li><li>Second point</li><li>Third</li></ul>", "<blockquote>Short.</blockquote>", "<pre>x = 1</pre>", "<h2>Part</h2>",
+                                    "<table><tr><td>1</td><td>2</td></tr></table>", "<dl><dt>a</dt><dd>b</dd></dl>", "<figure><figcaption>A tree</figcaption></figure>", "loose words"])
+def test_short_text_in_an_article_stays(inside):
+    want = " ".join([*PARAGRAPHS, plain_text(inside).replace("\n", " "), PARAGRAPHS[0]])
+    assert extract.main_text(f"<article>{INNER}{inside}<p>{PARAGRAPHS[0]}</p></article>") == want
+
+
+def test_short_article_stays_and_teasers_go():
+    short = "<article><p>A short one, but a text of its own.</p></article>"
+    page = f"<body><article>{INNER * 5}</article>{short}<div>{TEASER * 3}</div></body>"
+    assert extract.main_text(page) == " ".join([*PARAGRAPHS * 5, "A short one, but a text of its own."])
