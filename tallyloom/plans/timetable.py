@@ -1,22 +1,20 @@
 """Tables partitioned by the day of a time column, and their life cycle.
 
-A table is a folder of Parquet day partitions ("chunks") plus a small log of what
-was done to them::
-
-    <path>/hot/run=<id>/<time>_day=2024-01-31/    rows of one append or one rewrite
-    <path>/log/                                   one row per action and day, appended
-    <cold>/run=<id>/<time>_day=.../               chunks moved to the cold tier
-
-The log alone says which runs of a day count: a rewrite of a day takes the place of all
-its earlier runs by the row that names the new one. No folder is moved or renamed, so a job that is
-cut short at any point leaves either the old rows or the new ones, also on an object store. What is no
-longer named is deleted afterwards (`sweep` finishes that). Rewrites of one table must not run at the same time as each other; a
-day to which rows were appended meanwhile is left as it was.
+A table is a folder of Parquet day partitions ("chunks")::
+
+    <path>/hot/<time>_day=2024-01-31/     the rows of a day; compacted files end in .zstd.parquet
+    <cold>/<time>_day=.../                days moved to the cold tier
+    <path>/staged/job=<job>/              a copy of the days that a job is replacing
+    <path>/log/                           policies, dependants and sizes; never needed to read rows
+
+A job that rewrites days writes a copy of them first, then puts it in place by Spark's dynamic
+partition overwrite. Once the copy is complete it is marked, and until it is deleted readers take those
+days from it; a job cut short is finished by the next one (`recover`). Jobs and appends on one table must not run
+at the same time. A query that was planned before a rewrite reads files that are gone and has to be repeated.
 """
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass, replace
 from datetime import date, datetime, timedelta, timezone
 
@@ -27,8 +25,9 @@ from tallyloom.functions.times import day_column, instant, utc_day
 from tallyloom.sources.files import Folder
 from tallyloom.sources.readers import small_frame
 
-LOG_SCHEMA = ("at timestamp, action string, chunk date, detail string, "
-              "bytes_before long, bytes_after long")
+LOG_SCHEMA = "at timestamp, action string, chunk date, detail string, bytes long"
+PACKED, PLAIN = "zstd", "snappy"
+READY = "_ready"
 POLICIES = ("compact", "tier", "retain")
 
 
@@ -70,14 +69,19 @@ class TimeTable:
 
     @property
     def cold(self) -> str:
-        return self.cold_path or f"{self.path}/cold"
+        return f"{self.cold_path}/{self.name}" if self.cold_path else f"{self.path}/cold"
+
+    @property
+    def staged(self) -> str:
+        return f"{self.path}/staged"
 
     def create(self, spark: SparkSession) -> "TimeTable":
         """Make the empty table; an existing one is not touched."""
         if Folder(spark, self.path).names() or Folder(spark, self.path).files():
             raise FileExistsError(self.path)
-        Folder(spark, self.hot).make()
-        self._record(spark, [("create", None, self.name, None, None)])
+        for root in (self.hot, self.cold):
+            Folder(spark, root).make()
+        self._record(spark, [("create", None, self.name, None)])
         return self
 
     def with_layout(self, segment_by: tuple[str, ...], order_by: tuple[str, ...]) -> "TimeTable":
@@ -94,8 +98,7 @@ class TimeTable:
         for row in self.log(spark).where("action = 'dependant'").select("detail").distinct().collect():
             if Folder(spark, f"{row.detail}/log").exists():
                 Folder(spark, row.detail).delete()
-        for row in self.log(spark).where("action = 'tier'").select("detail").distinct().collect():
-            Folder(spark, f"{self.cold}/run={row.detail}").delete()
+        Folder(spark, self.cold).delete()
         Folder(spark, self.path).delete()
 
     # -- log ----------------------------------------------------------------
@@ -110,7 +113,7 @@ class TimeTable:
         return spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/log")
 
     def add_dependant(self, spark: SparkSession, path: str) -> None:
-        self._record(spark, [("dependant", None, path, None, None)])
+        self._record(spark, [("dependant", None, path, None)])
 
     # -- data ---------------------------------------------------------------
 
@@ -124,10 +127,8 @@ class TimeTable:
         missing = F.raise_error(F.lit(f"{self.time_col} must not be null"))
         typed = typed.withColumn(self.time_col, F.coalesce(
             F.col(self.time_col), missing.cast(self.struct[self.time_col].dataType)))
-        spark, run = df.sparkSession, uuid.uuid4().hex
-        self._write(self._with_day(typed).hint("rebalance", F.col(self.day_col)), self._run(self.hot, run))
-        self._record(spark, [("append", day, run, None, self._size(spark, self.hot, run, day))
-                             for day in self._days(spark, self._run(self.hot, run))])
+        self.recover(df.sparkSession)
+        self._write(self._with_day(typed).hint("rebalance", F.col(self.day_col)), self.hot, "append")
 
     def load(self, df: DataFrame) -> "TimeTable":
         """Turn an existing plain table into this one."""
@@ -137,12 +138,11 @@ class TimeTable:
     def _with_day(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.day_col, utc_day(F.col(self.time_col), self.struct[self.time_col].dataType))
 
-    @staticmethod
-    def _run(root: str, run: str) -> str:
-        return f"{root}/run={run}"
-
-    def _write(self, df: DataFrame, path: str, packed: bool = False) -> None:
-        writer = df.write.mode("errorifexists").partitionBy(self.day_col).option("compression", "zstd" if packed else "snappy")
+    def _write(self, df: DataFrame, path: str, mode: str, packed: bool = False) -> None:
+        """Write day partitions; `overwrite` replaces the days that `df` holds and no others."""
+        writer = df.write.mode(mode).partitionBy(self.day_col).option("compression", PACKED if packed else PLAIN)
+        if mode == "overwrite":
+            writer = writer.option("partitionOverwriteMode", "dynamic")
         if packed:
             # version 2 pages store sorted times as differences
             writer = writer.option("parquet.writer.version", "v2")
@@ -150,43 +150,28 @@ class TimeTable:
                 writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
         writer.parquet(path)
 
-    def _live(self, spark: SparkSession) -> DataFrame:
-        """(tier, chunk, run, action, bytes_before, bytes_after) of the runs that count."""
-        log = self.log(spark).where("chunk IS NOT NULL")
-        replaced = F.col("action").isin("compact", "expand", "tier", "retain")
-        marks = log.groupBy("chunk").agg(F.max(F.when(replaced, F.col("at"))).alias("hot_from"),
-                                         F.max(F.when(F.col("action") == "retain", F.col("at"))).alias("gone"))
-        live = log.join(marks, "chunk").where(
-            "(action = 'append' AND (hot_from IS NULL OR at > hot_from)) OR (action IN ('compact', 'expand') AND at = hot_from)"
-            " OR (action = 'tier' AND (gone IS NULL OR at > gone))")
-        tier = F.when(F.col("action") == "tier", "cold").otherwise("hot").alias("tier")
-        return live.select(tier, "chunk", F.col("detail").alias("run"), "action", "bytes_before", "bytes_after")
-
-    def _live_runs(self, spark: SparkSession, tier: str) -> dict[date, list[tuple[str, str]]]:
-        """(run, action) by day: one entry for each append or rewrite that still counts."""
-        found: dict[date, list[tuple[str, str]]] = {}
-        for r in self._live(spark).where(F.col("tier") == tier).orderBy("chunk", "run").collect():
-            found.setdefault(r.chunk, []).append((r.run, r.action))
-        return found
-
-    def _rows(self, spark: SparkSession, tier: str) -> DataFrame | None:
-        """Rows of the runs that count; both filters are on partition columns."""
-        root, live = (self.hot if tier == "hot" else self.cold), self._live_runs(spark, tier)
-        if not live:
-            return None
-        runs = sorted({run for pairs in live.values() for run, _ in pairs})
-        named = sorted(f"{run}/{day}" for day, pairs in live.items() for run, _ in pairs)
-        rows = spark.read.schema(self._stored.add("run", T.StringType())).parquet(root).where(F.col("run").isin(runs))
-        return rows.where(F.concat_ws("/", "run", F.col(self.day_col).cast("string")).isin(named)).drop("run")
-
-    def _hot(self, spark: SparkSession) -> DataFrame:
-        rows = self._rows(spark, "hot")
-        return spark.createDataFrame([], self._stored) if rows is None else rows
+    def _stored_rows(self, spark: SparkSession, path: str) -> DataFrame:
+        return spark.read.schema(self._stored).parquet(path)
+
+    def _replacing(self, spark: SparkSession) -> tuple[str, list[date]] | None:
+        """The job that was cut short after its copy was complete, and the days it replaces."""
+        for name in Folder(spark, self.staged).names("job="):
+            if Folder(spark, f"{self.staged}/{name}").has(READY):
+                return name[len("job="):], self._days(spark, f"{self.staged}/{name}")
+        return None
 
     def read(self, spark: SparkSession, include_tiered: bool = True) -> DataFrame:
         """All rows with their day column; `times.time_range` and `times.trailing` prune by it."""
-        cold = self._rows(spark, "cold") if include_tiered else None
-        return self._hot(spark) if cold is None else self._hot(spark).unionByName(cold)
+        hot, cold = self._stored_rows(spark, self.hot), self._stored_rows(spark, self.cold)
+        replacing = self._replacing(spark)
+        if replacing is not None:
+            job, days = replacing
+            others, copy = ~F.col(self.day_col).isin(days), self._stored_rows(spark, f"{self.staged}/job={job}")
+            if job == "tier":
+                hot, cold = hot.where(others), cold.where(others).unionByName(copy)
+            else:
+                hot = hot.where(others).unionByName(copy)
+        return hot.unionByName(cold) if include_tiered and (replacing or Folder(spark, self.cold).names()) else hot
 
     # -- chunks -------------------------------------------------------------
 
@@ -194,21 +179,30 @@ class TimeTable:
         prefix = f"{self.day_col}="
         return [date.fromisoformat(n[len(prefix):]) for n in Folder(spark, path).names(prefix)]
 
-    def _size(self, spark: SparkSession, root: str, run: str, day: date) -> int:
-        return sum(self._chunk(spark, root, run, day).files().values())
+    def _chunk(self, spark: SparkSession, root: str, day: date) -> Folder:
+        return Folder(spark, f"{root}/{self.day_col}={day.isoformat()}")
 
-    def _chunk(self, spark: SparkSession, root: str, run: str, day: date) -> Folder:
-        return Folder(spark, f"{self._run(root, run)}/{self.day_col}={day.isoformat()}")
+    def _files(self, spark: SparkSession, root: str) -> DataFrame:
+        """(chunk, path, length) of every data file; no file is opened."""
+        found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(root)
+        chunk = F.regexp_extract("path", f"{self.day_col}=([0-9-]+)/[^/]*$", 1).cast("date").alias("chunk")
+        return found.select(chunk, "path", "length")
+
+    def _sizes(self, spark: SparkSession, root: str) -> DataFrame:
+        """(chunk, bytes, is_compressed, files) with one row per chunk; `files` tells whether the chunk has changed."""
+        packed = F.bool_and(F.col("path").endswith(f".{PACKED}.parquet")).alias("is_compressed")
+        return self._files(spark, root).groupBy("chunk").agg(F.sum("length").alias("bytes"), packed,
+                                                            F.sum(F.xxhash64("path").cast("decimal(38,0)")).alias("files"))
 
     def chunks(self, spark: SparkSession) -> DataFrame:
-        """One row per chunk: name, time range, whether it is compacted, and its tier; read from the log."""
-        packed = F.max(F.col("action").isin("compact", "tier")) & (F.count(F.lit(1)) == F.count_if(F.col("action").isin("compact", "tier")))
-        found = self._live(spark).groupBy("chunk", "tier").agg(packed.alias("is_compressed"))
+        """One row per chunk and tier: name, time range, whether it is compacted, and its tier; read from the file listing."""
+        hot, cold = (self._sizes(spark, root).withColumn("tier", F.lit(tier)) for root, tier in ((self.hot, "hot"), (self.cold, "cold")))
         time = self.struct[self.time_col].dataType
         zone = F.lit(" 00:00:00" if isinstance(time, T.TimestampNTZType) else " 00:00:00Z")
-        return found.select(F.concat(F.lit(f"{self.name}_"), F.date_format("chunk", "yyyyMMdd")).alias("chunk_name"),
-                            F.concat(F.col("chunk").cast("string"), zone).cast(time).alias("range_start"),
-                            F.concat(F.date_add("chunk", 1).cast("string"), zone).cast(time).alias("range_end"), "is_compressed", "tier")
+        return hot.unionByName(cold).select(
+            F.concat(F.lit(f"{self.name}_"), F.date_format("chunk", "yyyyMMdd")).alias("chunk_name"),
+            F.concat(F.col("chunk").cast("string"), zone).cast(time).alias("range_start"),
+            F.concat(F.date_add("chunk", 1).cast("string"), zone).cast(time).alias("range_end"), "is_compressed", "tier")
 
     def tiered_chunks(self, spark: SparkSession) -> DataFrame:
         return self.chunks(spark).where("tier = 'cold'").drop("tier")
@@ -219,9 +213,11 @@ class TimeTable:
 
     def _hot_before(self, spark: SparkSession, older_than: timedelta, as_of: datetime) -> list[date]:
         """Chunks that end at or before ``as_of - older_than``."""
-        edge = as_of - older_than
-        return [d for d in self._live_runs(spark, "hot")
-                if datetime.combine(d, datetime.min.time()) + timedelta(days=1) <= edge]
+        return self._ended(self._days(spark, self.hot), as_of - older_than)
+
+    @staticmethod
+    def _ended(days: list[date], edge: datetime) -> list[date]:
+        return [d for d in days if datetime.combine(d, datetime.min.time()) + timedelta(days=1) <= edge]
 
     # -- rewriting ----------------------------------------------------------
 
@@ -231,91 +227,75 @@ class TimeTable:
 
     def compact(self, spark: SparkSession, days: list[date] | None = None) -> list[date]:
         """Rewrite chunks sorted by segment and order, zstd, few files. Returns the chunks done."""
-        live = self._live_runs(spark, "hot")
-        todo = [d for d in live if (days is None or d in days) and [a for _, a in live[d]] != ["compact"]]
-        return self._rewrite(spark, todo, live, "compact", self._arranged, True)
+        return self._rewrite(spark, "compact", days, "NOT is_compressed")
 
     def compact_older_than(self, spark: SparkSession, older_than: timedelta, as_of: datetime) -> list[date]:
         return self.compact(spark, self._hot_before(spark, older_than, as_of))
 
     def expand(self, spark: SparkSession, days: list[date] | None = None) -> list[date]:
         """Undo compaction: the same rows as plain files."""
-        live = self._live_runs(spark, "hot")
-        todo = [d for d in live if (days is None or d in days) and "compact" in [a for _, a in live[d]]]
-        return self._rewrite(spark, todo, live, "expand", lambda df: df, False)
-
-    def _rewrite(self, spark: SparkSession, days: list[date], live: dict[date, list[tuple[str, str]]], action: str,
-                 arrange, packed: bool) -> list[date]:
-        if not days:
-            return []
-        run = self._copied(spark, days, self.hot, arrange, packed)
-        now = self._live_runs(spark, "hot")
-        done = [d for d in days if now.get(d) == live[d]]
-        for day in set(days) - set(done):
-            self._chunk(spark, self.hot, run, day).delete()
-        self._record(spark, [(action, d, run, sum(self._size(spark, self.hot, r, d) for r, _ in live[d]),
-                              self._size(spark, self.hot, run, d)) for d in done])
-        self.sweep(spark)
-        return done
-
-    def _copied(self, spark: SparkSession, days: list[date], root: str, arrange, packed: bool) -> str:
-        """The hot rows of some days, written as a new run that no log row names yet; their counts are checked."""
-        run = uuid.uuid4().hex
-        rows = self._hot(spark).where(F.col(self.day_col).isin(days))
-        self._write(arrange(rows.hint("rebalance", F.col(self.day_col))), self._run(root, run), packed)
-
-        def counts(df: DataFrame, name: str) -> DataFrame:
-            return df.groupBy(self.day_col).agg(F.count("*").alias(name))
-
-        copy = spark.read.schema(self._stored).parquet(self._run(root, run))
-        wrong = counts(rows, "a").join(counts(copy, "b"), self.day_col, "full").where("NOT (a <=> b)")
-        if not wrong.isEmpty():
-            raise RuntimeError(f"row counts changed while rewriting {self.name}; nothing was replaced")
-        return run
-
-    def sweep(self, spark: SparkSession) -> None:
-        """Delete chunks that the log has named and no longer counts. Unnamed runs may still be being written and stay."""
-        logged = {(r.detail, r.chunk) for r in self.log(spark).where("chunk IS NOT NULL").select("detail", "chunk").distinct().collect()}
-        for root, tier in ((self.hot, "hot"), (self.cold, "cold")):
-            live = {(run, day) for day, pairs in self._live_runs(spark, tier).items() for run, _ in pairs}
-            for name in Folder(spark, root).names("run="):
-                run = name[len("run="):]
-                days = self._days(spark, f"{root}/{name}")
-                dead = [d for d in days if (run, d) in logged and (run, d) not in live]
-                for day in dead:
-                    self._chunk(spark, root, run, day).delete()
-                if dead and len(dead) == len(days):
-                    Folder(spark, f"{root}/{name}").delete()
-
-    # -- tiering and retention ----------------------------------------------
+        return self._rewrite(spark, "expand", days, "is_compressed")
 
     def tier(self, spark: SparkSession, older_than: timedelta, as_of: datetime) -> list[date]:
         """Move old chunks to the cold tier, which may be on another file system.
 
-        The copy counts, and the hot rows no longer do, once the log names its run; a
-        job cut short leaves neither a gap nor a double.
+        Late rows of a day that is cold already join it there.
         """
-        live = self._live_runs(spark, "hot")
-        days = self._hot_before(spark, older_than, as_of)
-        if not days:
+        return self._rewrite(spark, "tier", self._hot_before(spark, older_than, as_of), "true")
+
+    def _rewrite(self, spark: SparkSession, job: str, days: list[date] | None, which: str) -> list[date]:
+        """Replace hot chunks by way of a marked copy; a chunk that changed while it was copied is left as it is."""
+        self.recover(spark)
+        before = {r.chunk: r for r in self._sizes(spark, self.hot).where(which).collect() if days is None or r.chunk in days}
+        if not before:
             return []
-        run = self._copied(spark, days, self.cold, self._arranged, True)
-        now = self._live_runs(spark, "hot")
-        if any(now.get(d) != live[d] for d in days):
-            Folder(spark, self._run(self.cold, run)).delete()
-            raise RuntimeError("a chunk changed while it was tiered; nothing was moved")
-        self._record(spark, [("tier", d, run, sum(self._size(spark, self.hot, r, d) for r, _ in live[d]),
-                              self._size(spark, self.cold, run, d)) for d in days])
-        self.sweep(spark)
-        return days
+        copy, chosen = f"{self.staged}/job={job}", F.col(self.day_col).isin(sorted(before))
+        rows = self._stored_rows(spark, self.hot).where(chosen)
+        if job == "tier":
+            rows = rows.unionByName(self._stored_rows(spark, self.cold).where(chosen))
+        self._copy(rows, copy)
+        now = {r.chunk: r.files for r in self._sizes(spark, self.hot).collect()}
+        done = sorted(d for d, r in before.items() if now.get(d) == r.files)
+        for day in set(before) - set(done):
+            self._chunk(spark, copy, day).delete()
+        if job == "compact":
+            self._record(spark, [(job, d, None, before[d].bytes) for d in done])
+        if done:
+            Folder(spark, copy).mark(READY)
+        self.recover(spark)
+        return done
+
+    def _copy(self, rows: DataFrame, path: str) -> None:
+        self._write(rows, path, "append")
+
+    def recover(self, spark: SparkSession) -> None:
+        """Put a complete copy in place, and delete copies that are not complete. Repeating it changes nothing."""
+        replacing = self._replacing(spark)
+        if replacing is not None:
+            job, days = replacing
+            rows = self._stored_rows(spark, f"{self.staged}/job={job}")
+            if job == "expand":
+                self._write(rows.hint("rebalance", F.col(self.day_col)), self.hot, "overwrite")
+            else:
+                self._write(self._arranged(rows.hint("rebalance", F.col(self.day_col))),
+                            self.cold if job == "tier" else self.hot, "overwrite", True)
+            if job == "tier":
+                for day in days:
+                    self._chunk(spark, self.hot, day).delete()
+            Folder(spark, f"{self.staged}/job={job}").unmark(READY)
+        if Folder(spark, self.staged).exists():
+            Folder(spark, self.staged).delete()
+
+    # -- retention ----------------------------------------------------------
 
     def drop_older_than(self, spark: SparkSession, older_than: timedelta, as_of: datetime) -> list[date]:
         """Drop whole chunks, hot and cold, that end at or before ``as_of - older_than``."""
-        edge = as_of - older_than
-        every = {*self._live_runs(spark, "hot"), *self._live_runs(spark, "cold")}
-        gone = sorted(d for d in every if datetime.combine(d, datetime.min.time()) + timedelta(days=1) <= edge)
-        self._record(spark, [("retain", day, None, None, None) for day in gone])
-        self.sweep(spark)
+        self.recover(spark)
+        every = {*self._days(spark, self.hot), *self._days(spark, self.cold)}
+        gone = sorted(self._ended(list(every), as_of - older_than))
+        for day in gone:
+            self._chunk(spark, self.hot, day).delete()
+            self._chunk(spark, self.cold, day).delete()
         return gone
 
     # -- policies -----------------------------------------------------------
@@ -330,7 +310,7 @@ class TimeTable:
             raise ValueError(f"unknown policy {kind}")
         if kind in self.policies(spark):
             raise ValueError(f"{self.name} already has a {kind} policy")
-        self._record(spark, [(f"policy:{kind}", None, str(older_than.total_seconds()), None, None)])
+        self._record(spark, [(f"policy:{kind}", None, str(older_than.total_seconds()), None)])
 
     def apply_policies(self, spark: SparkSession, as_of: datetime) -> dict[str, list[date]]:
         """Run every remembered rule once; the schedule is the caller's."""
@@ -342,8 +322,9 @@ class TimeTable:
 
     def compaction_stats(self, spark: SparkSession) -> DataFrame:
         """Bytes before and after compaction over the compacted chunks, and the share saved."""
-        sizes = self._live(spark).where("action = 'compact'").agg(
-            F.coalesce(F.sum("bytes_before"), F.lit(0)).alias("before_bytes"), F.coalesce(F.sum("bytes_after"), F.lit(0)).alias("after_bytes"))
+        measured = self.log(spark).where("action = 'compact'").groupBy("chunk").agg(F.max_by("bytes", "at").alias("before"))
+        sizes = self._sizes(spark, self.hot).where("is_compressed").join(measured, "chunk").agg(
+            F.coalesce(F.sum("before"), F.lit(0)).alias("before_bytes"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("after_bytes"))
         before, after = F.col("before_bytes"), F.col("after_bytes")
         return sizes.select(before, after, size_pretty(before).alias("before"), size_pretty(after).alias("after"),
                             percent_saved(before, after).alias("compression_ratio_percent"))

@@ -43,6 +43,13 @@ class Folder:
     def has(self, name: str) -> bool:
         return self._fs.exists(self._child(name))
 
+    def mark(self, name: str) -> None:
+        """An empty file, made in one step on every store."""
+        self._fs.create(self._child(name), True).close()
+
+    def unmark(self, name: str) -> None:
+        self._fs.delete(self._child(name), False)
+
     def files(self) -> dict[str, int]:
         """Data files right below the folder, with their sizes."""
         if not self.exists():

@@ -102,7 +102,7 @@ class _Cut(Exception):
 
 @pytest.mark.parametrize("job", ["compact", "expand", "tier"])
 def test_a_job_cut_short_anywhere_loses_nothing(spark, table, ticks, rows, monkeypatch, job):
-    """Stops before and after every write, log row and deletion in turn."""
+    """Stops before every write, mark, log row and deletion in turn."""
     from tallyloom.plans import timetable
     want, as_of = rows(ticks), START + timedelta(days=DAYS)
     if job == "expand":
@@ -111,47 +111,42 @@ def test_a_job_cut_short_anywhere_loses_nothing(spark, table, ticks, rows, monke
            "tier": lambda: table.tier(spark, timedelta(days=4), as_of)}[job]
     steps, limit = 0, 0
 
-    def cut(do, after):
+    def cut(do):
         def wrapped(*args, **kwargs):
             nonlocal steps
             steps += 1
-            if steps == limit and not after:
+            if steps == limit:
                 raise _Cut
-            out = do(*args, **kwargs)
-            if steps == limit and after:
-                raise _Cut
-            return out
+            return do(*args, **kwargs)
         return wrapped
 
-    originals = {(timetable.TimeTable, n): getattr(timetable.TimeTable, n) for n in ("_write", "_record")}
-    originals[(timetable.Folder, "delete")] = timetable.Folder.delete
-    for limit in range(1, 6):
-        for after in (False, True):
-            steps = 0
-            for (owner, name), do in originals.items():
-                monkeypatch.setattr(owner, name, cut(do, after))
-            try:
-                run()
-            except _Cut:
-                pass
-            monkeypatch.undo()
-            assert rows(table.read(spark).drop("time_day")) == want
+    originals = {(owner, n): getattr(owner, n) for owner, names in ((timetable.TimeTable, ("_write", "_record")),
+                                                                    (timetable.Folder, ("delete", "mark", "unmark"))) for n in names}
+    for limit in range(1, 9):
+        steps = 0
+        for (owner, name), do in originals.items():
+            monkeypatch.setattr(owner, name, cut(do))
+        try:
+            run()
+        except _Cut:
+            pass
+        monkeypatch.undo()
+        assert rows(table.read(spark).drop("time_day")) == want
     run()
-    table.sweep(spark)
+    assert not Path(table.staged).exists()
     assert rows(table.read(spark).drop("time_day")) == want
 
 
 def test_rows_appended_during_a_rewrite_stay(spark, table, ticks, monkeypatch):
     from tallyloom.plans import timetable
     late = literal_rows(spark, [("2024-01-03 12:00:00", "S9", "1.5", "4")], TICK_SCHEMA)
-    copied = timetable.TimeTable._copied
+    copied = timetable.TimeTable._copy
 
     def slow(self, *args):
-        run = copied(self, *args)
-        self.append(late)
-        return run
+        copied(self, *args)
+        self._write(self._with_day(late), self.hot, "append")
 
-    monkeypatch.setattr(timetable.TimeTable, "_copied", slow)
+    monkeypatch.setattr(timetable.TimeTable, "_copy", slow)
     assert date(2024, 1, 3) not in table.compact(spark)
     assert table.read(spark).count() == ticks.count() + 1
 
@@ -170,9 +165,35 @@ def test_tiering(spark, table, ticks, rows):
     assert table.read(spark).count() == ticks.count() + 1 and table.tiered_chunks(spark).count() == 2
 
 
-def test_an_unlogged_cold_copy_is_not_read(spark, table, ticks):
-    spark.read.parquet(f"{table.path}/hot").drop("run").write.partitionBy("time_day").parquet(f"{table.cold}/run=lost")
+def test_an_unmarked_copy_is_not_read(spark, table, ticks):
+    spark.read.parquet(f"{table.path}/hot").write.partitionBy("time_day").parquet(f"{table.staged}/job=compact")
     assert table.read(spark).count() == ticks.count()
+    table.recover(spark)
+    assert not Path(table.staged).exists() and table.read(spark).count() == ticks.count()
+
+
+def test_a_marked_copy_stands_for_its_days_until_it_is_in_place(spark, table, ticks, rows):
+    """As after a job that was lost while Spark put the files in place."""
+    copy = f"{table.staged}/job=tier"
+    spark.read.parquet(f"{table.path}/hot").where("time_day < '2024-01-03'").write.partitionBy("time_day").parquet(copy)
+    Path(copy, "_ready").touch()
+    for day in ("2024-01-01", "2024-01-02"):
+        for part in Path(table.hot, f"time_day={day}").glob("*"):
+            part.unlink()
+    assert rows(table.read(spark).drop("time_day")) == rows(ticks)
+    assert table.read(spark, include_tiered=False).count() == (DAYS - 2) * 48 * 3
+    table.append(literal_rows(spark, [("2024-01-01 12:00:00", "S9", "1.5", "4")], TICK_SCHEMA))
+    assert table.read(spark).count() == ticks.count() + 1 and table.tiered_chunks(spark).count() == 2
+
+
+def test_a_read_of_an_untiered_table_runs_no_job(spark, table):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("read", "read")
+    try:
+        table.read(spark)
+        assert not tracker.getJobIdsForGroup("read")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_retention_drops_hot_and_cold(spark, table):
@@ -194,7 +215,7 @@ def test_drop_takes_dependants_and_nothing_else(spark, table, tmp_path):
     table.tier(spark, timedelta(days=4), START + timedelta(days=DAYS))
     table.drop(spark)
     assert not Path(table.path).exists() and not Path(rollup.path).exists() and foreign.exists()
-    assert not list(Path(table.cold).glob("run=*"))
+    assert not Path(table.cold).exists()
     table.drop(spark)
 
 
