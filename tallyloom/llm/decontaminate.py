@@ -9,7 +9,7 @@ below a limit; beyond it the same joins are shuffled on the anchor's hash.
 Defined cases: null and wordless texts have no words and no hits; null and wordless
 items have no window; equal items each count; rows that share a doc_id count as one
 document with the hits of all of them and the length of the longest, so repeated rows change
-nothing; rows without doc_id are one such document, and `clean` keeps them; extra columns are ignored.
+nothing; rows without doc_id are one such document; `clean` judges each row by its own text; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -100,6 +100,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, pa
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of documents that are not contaminated; rows without doc_id stay."""
-    bad = written(contamination(docs, benchmark).where("contaminated and doc_id is not null").select("doc_id"), "contaminated")
-    return docs.join(bad, docs["doc_id"].cast("long") == bad["doc_id"], "left_anti")
+    """The rows whose own text is not contaminated, whether their doc_id is missing, repeated or neither.
+
+    Texts are named by a 64-bit hash, so copies are judged once; that a clean text has the hash of a contaminated one has a
+    chance of 1 in 1.8e19 a pair.
+    """
+    named = F.xxhash64(docs["text"].cast("string"))
+    texts = docs.select(named.alias("doc_id"), docs["text"])
+    bad = written(contamination(texts, benchmark).where("contaminated").select(F.col("doc_id").alias("text_hash")), "contaminated")
+    return docs.join(bad, named == bad["text_hash"], "left_anti")

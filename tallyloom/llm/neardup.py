@@ -325,7 +325,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """The rows of the kept documents, one for each doc_id; rows without doc_id stay."""
+    """The rows of the kept documents, one for each doc_id and text; rows without doc_id stay."""
     kept = written(near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct(), "kept")
-    named = docs.join(kept, docs["doc_id"].cast("long") == kept["doc_id"], "left_semi").dropDuplicates(["doc_id"])
+    named = docs.join(kept, docs["doc_id"].cast("long") == kept["doc_id"], "left_semi").dropDuplicates(["doc_id", "text"])
     return named.union(docs.where("doc_id is null"))

@@ -87,12 +87,19 @@ def test_empty_tables(spark):
 
 
 def test_clean_keeps_the_other_rows_whole(spark):
+    """Each row by its own text: with no id, with an id that another text has, and repeated."""
     texts, items = _case()
-    docs = documents(spark, [(i, t, "s") for i, t in texts] + [(None, items[0][1], "s")], extra=True)
+    bad = next(text for i, text in texts if _brute(texts, items)[i][4])
+    more = [(None, bad, "s"), (None, "some other words", "s"), (9001, bad, "s"), (9001, "quite other words", "s"), (9001, "quite other words", "s"), (9002, None, "s")]
+    docs = documents(spark, [(i, t, "s") for i, t in texts] + more, extra=True)
     kept = decontaminate.clean(docs, spark.createDataFrame(items, ITEMS))
     assert kept.columns == docs.columns
-    want = {i for i, w in _brute(texts, items).items() if not w[4]} | {None}
-    assert {r.doc_id for r in kept.collect()} == want
+    single = [(k, t) for k, t in enumerate([t for _, t in texts] + [t for _, t, _ in more])]
+    stays = _brute(single, items)
+    ids = [i for i, _ in texts] + [i for i, _, _ in more]
+    want = sorted(((ids[k], t) for k, t in single if not stays[k][4]), key=repr)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == want
+    assert (9001, bad) not in want and (None, bad) not in want and want.count((9001, "quite other words")) == 2
 
 
 def test_no_python_in_the_plan(spark, capsys):

@@ -115,10 +115,10 @@ def test_empty_table_and_rows_without_id(spark):
 
 def test_one_of_each_group_keeps_whole_rows_once(spark):
     text = " ".join(prose(3, 40))
-    docs = documents(spark, [(None, text, "s"), (5, text, "a"), (4, text, "b"), (4, text, "b"), (7, None, "c"), (8, "", "d")], extra=True)
+    docs = documents(spark, [(None, text, "s"), (5, text, "a"), (4, text, "b"), (4, text, "b"), (7, None, "c"), (8, "", "d"), (9, "one text", "e"), (9, "another text", "f")], extra=True)
     kept = neardup.one_of_each_group(docs)
     assert kept.columns == docs.columns
-    assert sorted((r.doc_id or -1, r.source) for r in kept.collect()) == [(-1, "s"), (4, "b"), (7, "c"), (8, "d")]
+    assert sorted((r.doc_id or -1, r.source) for r in kept.collect()) == [(-1, "s"), (4, "b"), (7, "c"), (8, "d"), (9, "e"), (9, "f")]
 
 
 def test_words_and_shingles_do_not_cross_rows():
