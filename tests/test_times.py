@@ -1,12 +1,13 @@
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.functions.times import add_bucket, latest_instant, shifted, time_range, trailing
-from tallyloom.sources.grid import empty_slots, time_grid
+from tallyloom.sources import grid as grid_module
+from tallyloom.sources.grid import empty_runs, empty_slots, time_grid
 
 
 def frame(spark, *texts, kind="timestamp_ntz"):
@@ -65,3 +66,32 @@ def test_empty_slots(spark):
     got = {(r.time.hour, r.key) for r in empty_slots(df, "time", "key", timedelta(hours=1)).collect()}
     assert got == {(0, 1), (1, 1), (2, 1), (1, 2)}
     assert empty_slots(df.limit(0), "time", "key", timedelta(hours=1)).count() == 0
+
+
+def test_a_key_of_a_billion_costs_one_row(spark):
+    df = frame(spark, "2024-01-01 00:10:00", "2024-01-01 02:50:00").withColumn("key", F.lit(2))
+    df = df.union(frame(spark, "2024-01-01 01:00:00").withColumn("key", F.lit(1_000_000_000)))
+    df = df.union(frame(spark, None).withColumn("key", F.lit(5))).union(frame(spark, "2024-01-01 01:00:00").withColumn("key", F.lit(None).cast("int")))
+    got = sorted((r.key_from, r.key_to, r.gap_start.hour, r.slots) for r in empty_runs(df, "time", "key", timedelta(hours=1)).collect())
+    assert got == [(1, 1, 0, 3), (2, 2, 1, 1), (3, 999_999_999, 0, 3), (1_000_000_000, 1_000_000_000, 0, 1), (1_000_000_000, 1_000_000_000, 2, 1)]
+    assert empty_runs(df.limit(0), "time", "key", timedelta(hours=1)).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+def test_empty_slots_are_the_grid_without_the_taken_ones(spark, monkeypatch, kind):
+    monkeypatch.setattr(grid_module, "PIECE", 7)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # clocks change on 10 March
+        at = F.lit(1_710_028_800) + F.col("id") * 37 % 101 * 3600 + 1200
+        time = F.timestamp_seconds(at) if kind == "timestamp" else F.lit("1970-01-01").cast(kind) + F.make_dt_interval(secs=at)
+        rows = spark.range(60).select(time.alias("time"), (F.col("id") % 5 * 2 + 1).alias("key"))
+        hours = F.unix_seconds("time") if kind == "timestamp" else F.unix_date(F.col("time").cast("date")) * 86400 + F.hour("time") * 3600
+        found = [(r.s // 3600, r.key) for r in empty_slots(rows, "time", "key", timedelta(hours=1)).select(hours.alias("s"), "key").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    first = int(datetime(2024, 3, 10, tzinfo=timezone.utc).timestamp()) // 3600
+    taken = {(first + i * 37 % 101, i % 5 * 2 + 1) for i in range(60)}
+    lo, hi = min(h for h, _ in taken), max(h for h, _ in taken)
+    want = {(h, k) for h in range(lo, hi + 1) for k in range(1, 10)} - taken
+    assert len(found) == len(want) and set(found) == want
