@@ -9,7 +9,17 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+
+def numbers(df: DataFrame, vector_col: str) -> Column:
+    """The vector column as floats if it holds floats, else as doubles."""
+    held = df.schema[vector_col].dataType.elementType
+    return F.col(vector_col).cast("array<float>" if isinstance(held, T.FloatType) else "array<double>")
+
+
+def item_bytes(df: DataFrame, vector_col: str) -> int:
+    return 4 if isinstance(df.schema[vector_col].dataType.elementType, T.FloatType) else 8
 
 
 def as_matrix(column: pa.Array, dim: int | None = None) -> tuple[np.ndarray, np.ndarray]:

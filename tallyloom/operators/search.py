@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tallyloom.functions.scalars import chat_messages
-from tallyloom.functions.vectors import as_matrix, cosine_to
+from tallyloom.functions.vectors import as_matrix, cosine_distances, cosine_to, item_bytes, numbers
 from tallyloom.session import cut_lineage
 from tallyloom.sources.readers import small_frame
 
@@ -20,6 +20,9 @@ SPLIT_ROWS = 65_536
 ZERO, MISSING = 10.0, 20.0
 # Distances held at once by one task.
 DISTANCE_CELLS = 4_000_000
+# Numbers of the pairs whose distances are computed one by one at once, and what rounding may change in a distance.
+PAIR_ITEMS = 2_000_000
+SLACK = 2e-6
 MERGE_WAYS = 256
 SYSTEM_MESSAGE = "you are a helpful assistant"
 
@@ -66,38 +69,97 @@ def nearest_with(df: DataFrame, query: list[float], columns: list[str], k: int =
     return rows.join(F.broadcast(few), id_col).orderBy(F.col("distance").asc_nulls_last(), id_col)  # k rows
 
 
+def directions(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Vectors, the same with unit length, and a code for each: 0, ZERO without a direction, MISSING if null."""
+    present, missing = as_matrix(column, width)
+    plain = np.zeros((len(column), width))
+    plain[~missing] = present
+    with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+        unit = plain / np.linalg.norm(plain, axis=1, keepdims=True)
+    lost = np.isnan(unit).any(axis=1)
+    unit[lost] = 0.0
+    return plain, unit, np.where(missing, MISSING, np.where(lost, ZERO, 0.0))
+
+
+class Closest:
+    """The k closest rows seen so far, for every query of a block: by distance, then id.
+
+    A matrix product says which rows may be among them; the distances of these few alone are computed pair by pair, as
+    `cosine_distances` does, and rounded to `digits` if given.
+    """
+
+    def __init__(self, queries: pa.Array, width: int, k: int, digits: int | None = None):
+        self.k, self.digits = k, digits
+        self.plain, self.unit, self.code = directions(queries, width)
+        self.worst = np.full(len(queries), np.inf)
+        self.held = [(np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))]  # query, distance, id
+        self.most = 4 * max(len(queries) * k, 10_000)
+        self.pairs = max(1, PAIR_ITEMS // max(1, width))
+
+    def add(self, rows: pa.Array, ids: np.ndarray, asked: np.ndarray | None = None) -> None:
+        """More rows, for the queries at the places `asked`, or all."""
+        plain, unit, code = directions(rows, self.unit.shape[1])
+        places = np.arange(len(self.unit)) if asked is None else asked
+        own = self.unit if asked is None else self.unit[asked]
+        step = max(1, DISTANCE_CELLS // max(1, len(places)))
+        for at in range(0, len(ids), step):
+            # codes of the two sides make the distance of a pair without a direction
+            rough = 1.0 - own @ unit[at:at + step].T
+            pair = np.maximum(self.code[places][:, None], code[None, at:at + step]) if code[at:at + step].any() or self.code[places].any() else None
+            if pair is not None:
+                rough = np.where(pair > 0, pair, rough)
+            limit = self.worst[places]
+            if rough.shape[1] > self.k and np.isinf(limit).any():
+                limit = np.minimum(limit, np.partition(rough, self.k - 1, axis=1)[:, self.k - 1])
+            q, r = np.nonzero(rough <= (limit + SLACK)[:, None])
+            distance = np.empty(len(q))
+            for first in range(0, len(q), self.pairs):
+                part = slice(first, first + self.pairs)
+                with np.errstate(over="ignore"):
+                    distance[part] = cosine_distances(plain[at + r[part]], self.plain[places[q[part]]])
+            if self.digits is not None:
+                distance = np.round(distance, self.digits) + 0.0
+            distance[np.isnan(distance)] = ZERO
+            if pair is not None:
+                distance = np.where(pair[q, r] > 0, pair[q, r], distance)
+            self.held.append((places[q], distance, ids[at + r]))
+            if sum(len(x[0]) for x in self.held) > self.most:
+                self._cut()
+
+    def _cut(self) -> None:
+        query, distance, ids = (np.concatenate(x) for x in zip(*self.held))
+        order = np.lexsort((ids, distance, query))
+        query, distance, ids = query[order], distance[order], ids[order]
+        place = np.arange(len(query)) - np.searchsorted(query, query)
+        kept = place < self.k
+        full = place == self.k - 1
+        self.worst[query[full]] = distance[full]
+        self.held = [(query[kept], distance[kept], ids[kept])]
+
+    def table(self, names: pa.Array) -> pa.Table:
+        self._cut()
+        query, distance, ids = self.held[0]
+        return pa.table([names.take(pa.array(query)), pa.array(ids), pa.array(np.where(distance == ZERO, np.nan, distance), mask=distance == MISSING)],
+                        schema=_FOUND)
+
+
+def width_of(*columns: pa.Array) -> int:
+    """Length of the first vector that is not null; 0 if there is none."""
+    return next((len(present[0]) for column in columns if len(present := column.drop_null())), 0)
+
+
 def _block_topk(k: int):
     """The k best rows of one split of the vectors for every query of one block, both whole in memory."""
     def run(key: tuple, rows: pa.Table, queries: pa.Table) -> pa.Table:
         if not len(rows) or not len(queries):
             return _FOUND.empty_table()
-        known, unknown = as_matrix(queries.column("v").combine_chunks())
-        targets = np.zeros((len(queries), known.shape[1]))
-        targets[~unknown] = known
-        vectors = rows.column("vec").combine_chunks()
-        matrix, missing = np.zeros((len(rows), targets.shape[1])), np.ones(len(rows), bool)
-        if not unknown.all():
-            present, missing = as_matrix(vectors, targets.shape[1])
-            matrix[~missing] = present
-        ids = rows.column("id").to_numpy()
-        with np.errstate(divide="ignore", invalid="ignore"):
-            targets = targets / np.linalg.norm(targets, axis=1, keepdims=True)
-            matrix = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
-        best_d, best_i = np.full((len(queries), 0), np.inf), np.empty((len(queries), 0), np.int64)
-        step = max(1, DISTANCE_CELLS // len(queries))
-        for at in range(0, len(ids), step):
-            with np.errstate(invalid="ignore"):
-                dist = np.round(1.0 - targets @ matrix[at:at + step].T, 6) + 0.0
-            dist[np.isnan(dist)] = ZERO
-            dist[:, missing[at:at + step]] = MISSING
-            dist[unknown] = MISSING
-            best_d = np.concatenate([best_d, dist], axis=1)
-            best_i = np.concatenate([best_i, np.broadcast_to(ids[at:at + step], dist.shape)], axis=1)
-            order = np.lexsort((best_i, best_d), axis=1)[:, :k]
-            best_d, best_i = np.take_along_axis(best_d, order, 1), np.take_along_axis(best_i, order, 1)
-        distance = best_d.reshape(-1)
-        return pa.table([pa.array(np.repeat(queries.column("q").to_numpy(), best_d.shape[1])), pa.array(best_i.reshape(-1)),
-                         pa.array(np.where(distance == ZERO, np.nan, distance), mask=distance == MISSING)], schema=_FOUND)
+        vectors, targets = rows.column("vec").combine_chunks(), queries.column("v").combine_chunks()
+        if not (width := width_of(targets)):
+            # nothing has a distance to queries without a vector
+            vectors = pa.nulls(len(vectors), vectors.type)
+        closest = Closest(targets, width, k, digits=6)
+        closest.add(vectors, rows.column("id").to_numpy())
+        return closest.table(queries.column("q").combine_chunks())
 
     return run
 
@@ -116,9 +178,10 @@ def nearest_for_each(df: DataFrame, queries: DataFrame, k: int = 5, vector_col:
     number of queries. Vectors and queries without a direction are treated as in `nearest`; a query without id is ignored.
     """
     # kept in the shared folder, since the size and the join read it
-    queries = cut_lineage(queries.select(F.col(query_id).cast("long").alias("q"), F.col(query_vector).cast("array<double>").alias("v")).where("q is not null"))
-    size = queries.agg(F.sum(F.greatest(F.size("v"), F.lit(1)) * 8).alias("b")).first()["b"] or 0
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vec"))
+    queries = cut_lineage(queries.select(F.col(query_id).cast("long").alias("q"), numbers(queries, query_vector).alias("v")).where("q is not null"))
+    # what a query takes in a shuffle: floats stay floats until a task multiplies them
+    size = queries.agg(F.sum(F.greatest(F.size("v"), F.lit(1)) * item_bytes(queries, "v")).alias("b")).first()["b"] or 0
+    rows = df.select(F.col(id_col).cast("long").alias("id"), numbers(df, vector_col).alias("vec"))
     blocks = max(1, math.ceil(size / block_bytes * (1 if size <= block_bytes else 1.5)))
     splits = max(1, math.ceil(df.count() / split_rows), math.ceil(df.sparkSession.sparkContext.defaultParallelism / blocks))
     # the vector is part of the hash, so repeated ids do not crowd one block or split

@@ -9,6 +9,7 @@ reads the few cells that are left and ranks their rows exactly. Probing every ce
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,8 +19,8 @@ from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from tallyloom.functions.vectors import as_matrix, cosine_distance
-from tallyloom.operators.search import nearest, nearest_for_each
+from tallyloom.functions.vectors import as_matrix, item_bytes, numbers
+from tallyloom.operators.search import DISTANCE_CELLS, QUERY_BLOCK_BYTES, Closest, directions, nearest, width_of
 from tallyloom.session import cut_lineage
 from tallyloom.sources.files import Folder
 
@@ -30,6 +31,8 @@ ROWS_PER_CENTRE = 256
 STEPS = 12
 # Rows that are compared with the fine centres in one task.
 SPLIT_ROWS = 65_536
+# What a task holds for each query and cell of it.
+CELL_BYTES = 16
 
 
 def _unit(column: pa.ChunkedArray) -> np.ndarray:
@@ -156,22 +159,119 @@ class IvfIndex:
         return chosen
 
     def search_each(self, spark: SparkSession, queries: DataFrame, k: int = 5, probes: int = 4) -> DataFrame:
-        """(query_id, rank, id, distance) for many queries (query_id long, query_vector), as joins on the cells.
+        """(query_id, rank, id, distance) for many queries (query_id long, query_vector), as a join of blocks.
 
-        For every query the closest coarse cells, then the closest fine ones under these, then their rows. A query whose
+        For every query the closest coarse cells, then the closest fine ones under these, then their rows. Blocks of queries meet
+        the centres, about as many as the square root of the rows, and then the parts of the rows; only the rows of a query's own
+        cells are compared with it. Blocks and parts are written once each, and no pair of a query and a cell or a row is: what a task
+        gives are k rows for each of its queries. A query whose
         cells hold fewer than k rows gets fewer; ids are 64-bit integers, and vectors and queries have a direction.
         """
-        queries = cut_lineage(queries.select(F.col("query_id").cast("long").alias("query_id"), F.col("query_vector").cast("array<double>").alias("query_vector")))
-        rows = spark.read.parquet(f"{self.path}/rows").select("cell", F.col(self.id_col).cast("long").alias("id"), F.col(self.vector_col).cast("array<double>").alias("vec"))
+        rows = spark.read.parquet(f"{self.path}/rows")
         coarse, fine = (spark.read.parquet(f"{self.path}/{name}") for name in ("coarse", "centres"))
-        tops = nearest_for_each(coarse, queries, probes, "centre", "coarse").select("query_id", F.col("id").cast("int").alias("coarse"))
-        asked = tops.join(queries, "query_id").join(fine.select("coarse", "cell", "centre"), "coarse")
-        cells = _ranked(asked, cosine_distance(F.col("centre"), F.col("query_vector")), "cell", probes).select("query_id", "query_vector", "cell")
-        found = cells.unionByName(queries.withColumn("cell", F.lit(-1))).join(rows, "cell")
-        return _ranked(found, cosine_distance(F.col("vec"), F.col("query_vector")), "id", k).select("query_id", "rank", "id", "distance")
+        rows = rows.select("cell", F.col(self.id_col).cast("long").alias("id"), numbers(rows, self.vector_col).alias("vec"))
+        queries = cut_lineage(queries.select(F.col("query_id").cast("long").alias("q"), numbers(queries, "query_vector").alias("v")).where("q is not null"))
+        cells, held = fine.count(), rows.count()
+        size = queries.agg(F.sum(F.greatest(F.size("v"), F.lit(1)) * item_bytes(queries, "v") + CELL_BYTES * min(probes, cells)).alias("b")).first()["b"] or 0
+        blocks = max(1, math.ceil(size / QUERY_BLOCK_BYTES))
+        parts = max(1, math.ceil(held / SPLIT_ROWS), math.ceil(spark.sparkContext.defaultParallelism / blocks))
+        # the vector is part of the hash, so repeated ids do not crowd one block or part
+        asked = _packed(queries, F.xxhash64("q", "v"), blocks)
+        if cells:
+            centres = coarse.select("coarse", F.lit(None).cast("int").alias("cell"), "centre").unionByName(fine.select("coarse", "cell", "centre"))
+            asked = cut_lineage(asked.crossJoin(F.broadcast(_packed(centres, F.lit(0), 1).withColumnRenamed("packed", "centres"))).mapInArrow(
+                _cells_of_queries(probes), "packed binary"))
+        split = _packed(rows, F.xxhash64("id", "vec"), parts).withColumnRenamed("packed", "rows")
+        found = asked.crossJoin(split.hint("shuffle_replicate_nl")).mapInArrow(_rows_of_cells(k), "query_id long, id long, distance double")
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("distance").asc_nulls_last(), "id"))
+        return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "id", F.round("distance", 6).alias("distance"))
+
+
+def _packed(df: DataFrame, dealt: Column, parts: int) -> DataFrame:
+    """Column `packed`: the rows of each part as one Arrow stream, a part for each partition; kept in the shared folder."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_stream(out, held[0].schema) as stream:
+                for batch in held:
+                    stream.write_batch(batch)
+            yield pa.RecordBatch.from_arrays([pa.array([out.getvalue().to_pybytes()], pa.binary())], ["packed"])
+
+    return cut_lineage(df.repartitionById(parts, F.pmod(dealt, F.lit(parts)).cast("int")).mapInArrow(run, "packed binary"))
+
+
+def _unpacked(blob: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(blob.as_buffer()).read_all().combine_chunks()
+
+
+def _column(table: pa.Table, name: str) -> pa.Array:
+    return pa.concat_arrays(table.column(name).chunks)
 
 
-def _ranked(df: DataFrame, distance: Column, name: str, k: int) -> DataFrame:
-    """The first k rows of each query by distance, then `name`."""
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("distance").asc_nulls_last(), name))
-    return df.withColumn("distance", F.round(distance, 6)).withColumn("rank", rank).where(F.col("rank") <= k)
+def _cells_of_queries(probes: int):
+    """Packed queries with the list of their closest cells."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, told in zip(batch.column("packed"), batch.column("centres")):
+                queries, centres = _unpacked(block), _unpacked(told).sort_by("cell")
+                fine = centres.filter(centres.column("cell").is_valid())
+                coarse = centres.filter(centres.column("cell").is_null()).sort_by("coarse")
+                targets = _column(queries, "v")
+                width = width_of(_column(fine, "centre"))
+                top = _near(targets, _column(coarse, "centre"), width, 6)
+                of, cell = fine.column("coarse").to_numpy(), fine.column("cell").to_numpy()
+                place = np.searchsorted(coarse.column("coarse").to_numpy(), of)
+                lists = []
+                step = max(1, DISTANCE_CELLS // len(fine))
+                for at in range(0, len(queries), step):
+                    near = np.argsort(top[at:at + step], axis=1, kind="stable")[:, :probes]
+                    open_ = np.zeros(top[at:at + step].shape, bool)
+                    np.put_along_axis(open_, near, True, axis=1)
+                    distance = np.where(open_[:, place], _near(targets[at:at + step], _column(fine, "centre"), width), np.inf)
+                    order = np.argsort(distance, axis=1, kind="stable")[:, :probes]
+                    reached = np.isfinite(np.take_along_axis(distance, order, axis=1))
+                    ends = np.concatenate([[0], np.cumsum(reached.sum(axis=1))]).astype(np.int32)
+                    lists.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(cell[order[reached]].astype(np.int32))))
+                out = pa.BufferOutputStream()
+                named = queries.append_column("cells", pa.chunked_array(lists))
+                with pa.ipc.new_stream(out, named.schema) as stream:
+                    stream.write_table(named)
+                yield pa.RecordBatch.from_arrays([pa.array([out.getvalue().to_pybytes()], pa.binary())], ["packed"])
+
+    return run
+
+
+def _near(targets: pa.Array, centres: pa.Array, width: int, digits: int | None = None) -> np.ndarray:
+    """Distances of queries (rows) and centres (columns)."""
+    (_, left, known), (_, right, _) = directions(targets, width), directions(centres, width)
+    distance = np.where(known[:, None] > 0, known[:, None], 1.0 - left @ right.T)
+    return distance if digits is None else np.round(distance, digits)
+
+
+def _rows_of_cells(k: int):
+    """The k best rows of a part for every query of a block, from the query's cells and the rows without a cell."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, part in zip(batch.column("packed"), batch.column("rows")):
+                queries, rows = _unpacked(block), _unpacked(part).sort_by([("cell", "ascending"), ("id", "ascending")])
+                targets, vectors, ids = _column(queries, "v"), _column(rows, "vec"), rows.column("id").to_numpy()
+                if not (width := width_of(targets)):
+                    vectors = pa.nulls(len(vectors), vectors.type)
+                closest = Closest(targets, width, k)
+                cells, firsts = np.unique(rows.column("cell").to_numpy(), return_index=True)
+                if "cells" in queries.column_names:
+                    lists = _column(queries, "cells")
+                    probed = lists.flatten().to_numpy()
+                    order = np.argsort(probed, kind="stable")
+                    owner = np.repeat(np.arange(len(queries), dtype=np.int32), np.diff(lists.offsets.to_numpy()))[order]
+                    probed = probed[order]
+                else:
+                    owner = probed = np.zeros(0, np.int32)
+                for cell, first, last in zip(cells, firsts, [*firsts[1:], len(rows)]):
+                    mine = None if cell < 0 else owner[slice(*np.searchsorted(probed, [cell, cell + 1]))]
+                    if mine is None or len(mine):
+                        closest.add(vectors[first:last], ids[first:last], mine)
+                yield from closest.table(_column(queries, "q")).to_batches()
+
+    return run

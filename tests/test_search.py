@@ -157,6 +157,17 @@ def test_many_queries_on_the_index(spark, cloud, tmp_path):
         assert mine[cells[r.id]] == pytest.approx(max(mine.values()))
 
 
+def test_a_batch_on_the_index_joins_blocks(spark, cloud, tmp_path):
+    """No pair of a query and a cell or a row is joined or sorted: blocks meet, and k rows of each query go on."""
+    index = IvfIndex(str(tmp_path / "blocks"), cells=36)
+    index.build(cloud)
+    queries = cloud.where("id < 60").select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    found = index.search_each(spark, queries, 5, probes=24)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in text and "HashJoin" not in text and "[packed" in text
+    assert found.count() == 5 * queries.count()
+
+
 def test_rows_are_assigned_in_splits(spark, cloud, tmp_path, monkeypatch):
     from tallyloom.plans import ivf
     whole, split = IvfIndex(str(tmp_path / "w"), cells=9), IvfIndex(str(tmp_path / "s"), cells=9)
