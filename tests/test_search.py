@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.functions.geo import bounding_box, vincenty
+from tallyloom.functions.geo import METRES_PER_MILE, bounding_box, cells_of_circle, circle_level, half_width, vincenty
 from tallyloom.functions.scalars import parse_vector
 from tallyloom.functions.vectors import cosine_distance
 from tallyloom.operators import search, stations
@@ -255,6 +255,23 @@ def test_the_radius_join_is_an_equi_join(spark, globe):
     assert "Cartesian" not in text and "NestedLoop" not in text and "_cell" in text
 
 
+def test_circles_list_hardly_more_ground_than_their_own(spark):
+    circles = spark.createDataFrame([(float(lat), miles * METRES_PER_MILE) for lat in (-50, 0, 41, 60) for miles in (1.0, 7.0, 30.0)], "lat double, reach double")
+    size = 360 / F.pow(F.lit(2.0), circle_level(F.col("lat"), F.col("reach")))
+    d_lat, d_lon = half_width(F.col("lat"), F.col("reach"))
+    box = F.size(cells_of_circle(F.lit(-73.79), F.col("lat"), F.col("reach"))) * size * size / (2 * F.greatest(d_lat, d_lon)) ** 2
+    assert circles.agg(F.max(box)).first()[0] < 2.0
+
+
+def test_a_crowded_cell_is_dealt_into_parts(spark, globe, monkeypatch):
+    whole = sorted(map(tuple, stations.within_radius_of_each(*_frames(spark, *globe), "sphere").collect()))
+    monkeypatch.setattr(stations, "PART_PAIRS", 20)
+    df = stations.within_radius_of_each(*_frames(spark, *globe), "sphere")
+    assert sorted(map(tuple, df.collect())) == whole
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "CoalescedShuffleRead" not in text and "AQEShuffleRead coalesced" not in text
+
+
 def test_no_circles_and_no_places(spark, globe):
     places, centres = _frames(spark, *globe)
     assert stations.within_radius_of_each(places, centres.limit(0)).collect() == []
