@@ -26,10 +26,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyloom.llm.markup import plain_text
 
-# The format's version, line end and base 32 alphabet.
+# The format's version, line end, base 32 alphabet, and the digits that `conv` writes to base 32.
 VERSION = "WARC/1.0"
 END = "\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 _TITLE = re.compile(r"<title", re.I)
 _TITLE_END = re.compile(r"</title", re.I)
 _LINK = re.compile(r"<a\s", re.I)
@@ -38,15 +39,10 @@ _TARGET = re.compile(r"""(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 
 
 def digest(block: Column) -> Column:
-    """`sha1:` and the SHA-1 in base 32: 32 letters of 5 bits, four from each 5 hexadecimal digits."""
+    """`sha1:` and the SHA-1 in base 32: eight letters from each ten hexadecimal digits."""
     code = F.sha1(block.cast("binary"))
-
-    def letter(i: Column) -> Column:
-        bits = F.conv(F.substring(code, F.floor(i / 4).cast("int") * 5 + 1, F.lit(5)), 16, 10).cast("int")
-        down = F.call_function("shiftright", bits, (15 - 5 * (i % 4)).cast("int"))
-        return F.substring(F.lit(BASE32), down.bitwiseAND(F.lit(31)) + 1, F.lit(1))
-
-    return F.concat(F.lit("sha1:"), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(31)), letter), ""))
+    eights = [F.lpad(F.conv(F.substring(code, at, 10), 16, 32), 8, "0") for at in (1, 11, 21, 31)]
+    return F.concat(F.lit("sha1:"), F.translate(F.concat(*eights), DIGITS, BASE32))
 
 
 def record_id(*parts: Column) -> Column:

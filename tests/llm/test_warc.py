@@ -4,6 +4,8 @@ import base64
 import hashlib
 import uuid
 
+from pyspark.sql import functions as F
+
 from tallyloom.llm import warc
 
 ROWS = "record_id string, target_uri string, warc_date string, http_headers string, payload string"
@@ -88,3 +90,10 @@ def test_long_pages_are_read_in_linear_time():
         page = piece * (1_000_000 // len(piece))
         warc.title_of(page), warc.link_targets(page)
         assert time.time() - start < 2, piece
+
+
+def test_digests_need_no_lambda(spark):
+    found = warc.derivatives(spark.createDataFrame([("a", "b", "c", "d", "e")], ROWS))
+    assert "lambda" not in found._jdf.queryExecution().executedPlan().toString()
+    odd = spark.createDataFrame([("",), ("é\n",), ("0" * 1000,)], "t string")
+    assert all(r.d == _sha(r.t) for r in odd.select("t", warc.digest(F.col("t")).alias("d")).collect())
