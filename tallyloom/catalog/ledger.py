@@ -8,6 +8,7 @@ from tallyloom.catalog.registry import ADDRESS, BLOCK, TXID, query
 from tallyloom.functions.scalars import segment_key
 from tallyloom.operators import checks, ledger, patterns
 from tallyloom.plans.ledger_store import LedgerStore
+from tallyloom.session import cut_lineage, scratch_path
 from tallyloom.sources import views
 
 ROWS = ("tx_vinout",)
@@ -131,8 +132,11 @@ SELECT address, COALESCE(MAX(n) FILTER (side = 'vin'), 0) AS senders, COALESCE(M
     true AS senders_close, true AS receivers_close FROM degree LEFT JOIN found USING (address) GROUP BY address""", ROWS)
 def exchange_counterparties(spark: SparkSession, root: str) -> DataFrame:
     """Distinct senders and receivers, and whether the sketches of `exchange_like` are within their error of them."""
-    rows = views.tx_vinout(spark, root)
-    like = patterns.exchange_like(rows, 1, 1).select("address", F.col("senders").alias("s"), F.col("receivers").alias("r"))
+    # both are read several times: the rows are joined once, and the sketches made once
+    path = scratch_path(spark, "parties")
+    views.tx_vinout(spark, root).select("txid", "timestamp", "type", "address").write.parquet(path)
+    rows = spark.read.parquet(path)
+    like = cut_lineage(patterns.exchange_like(rows, 1, 1).select("address", F.col("senders").alias("s"), F.col("receivers").alias("r")))
     exact = like.join(patterns.counterparties(rows, like), "address", "left").na.fill(0, ["senders", "receivers"])
 
     def close(estimate: str, count: str) -> Column:
