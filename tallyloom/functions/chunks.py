@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
 # Separators from coarse to fine, piece size and overlap in characters.
 SEPARATORS = ("\n\n", "\n", ".", "?", "!", " ", "")
 CHUNK_SIZE = 800
 CHUNK_OVERLAP = 400
+# Characters of chunks that a task holds before it gives them on.
+BLOCK_CHARS = 4_000_000
 
 
 def _pieces(text: str, size: int, separators: tuple[str, ...]) -> Iterator[str]:
@@ -36,14 +38,18 @@ def split_text(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
 
     Nothing is trimmed: with no overlap the chunks joined together are the text.
     """
+    return list(_chunks(text, size, overlap, separators))
+
+
+def _chunks(text: str, size: int, overlap: int, separators: tuple[str, ...]) -> Iterator[str]:
     if not 0 <= overlap < size:
         raise ValueError("overlap must be smaller than size")
     if "" not in separators:
         separators = (*separators, "")
-    chunks, held, length = [], [], 0
+    held, length = [], 0
     for piece in _pieces(text, size, separators):
         if held and length + len(piece) > size:
-            chunks.append("".join(held))
+            yield "".join(held)
             first = 0
             while first < len(held) and (length > overlap or length + len(piece) > size):
                 length -= len(held[first])
@@ -52,23 +58,36 @@ def split_text(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
         held.append(piece)
         length += len(piece)
     if length:
-        chunks.append("".join(held))
-    return chunks
+        yield "".join(held)
 
 
 def split_column(df: DataFrame, text_col: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
                  separators: tuple[str, ...] = SEPARATORS) -> DataFrame:
-    """One row per chunk: the row's other columns, `chunk_seq` from 0, and `chunk`."""
+    """One row per chunk: the row's other columns, `chunk_seq` from 0, and `chunk`.
+
+    Texts are read one at a time, and chunks given on in blocks, so a task never holds the chunks of a whole batch of rows.
+    """
     kept = [f for f in df.schema.fields if f.name != text_col]
     schema = T.StructType([*kept, T.StructField("chunk_seq", T.IntegerType()), T.StructField("chunk", T.StringType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [[] if text is None else split_text(text, size, overlap, separators) for text in batch[text_col]]
-            counts = [len(chunks) for chunks in lists]
-            out = batch.drop(columns=[text_col]).loc[batch.index.repeat(counts)].reset_index(drop=True)
-            out["chunk_seq"] = pd.Series([i for n in counts for i in range(n)], dtype="int32")
-            out["chunk"] = pd.Series([c for chunks in lists for c in chunks], dtype="object")
-            yield out
-
-    return df.mapInPandas(run, schema)
+            for rows, places, chunks in _blocks(batch.column(text_col)):
+                others = [batch.column(f.name).take(pa.array(rows, pa.int64())) for f in kept]
+                yield pa.RecordBatch.from_arrays([*others, pa.array(places, pa.int32()), pa.array(chunks, pa.string())], schema.names)
+
+    def _blocks(texts: pa.Array) -> Iterator[tuple[list[int], list[int], list[str]]]:
+        rows, places, chunks, held = [], [], [], 0
+        for row, text in enumerate(texts):
+            for place, chunk in enumerate(_chunks(text.as_py() or "", size, overlap, separators)):
+                rows.append(row)
+                places.append(place)
+                chunks.append(chunk)
+                held += len(chunk)
+                if held >= BLOCK_CHARS:
+                    yield rows, places, chunks
+                    rows, places, chunks, held = [], [], [], 0
+        if rows:
+            yield rows, places, chunks
+
+    return df.mapInArrow(run, schema)
