@@ -13,7 +13,7 @@ from tallyloom.functions.times import shifted
 from tallyloom.operators import checks, search, stations
 from tallyloom.plans.ivf import IvfIndex
 from tallyloom.plans.vectorizer import Vectorizer
-from tallyloom.session import scratch_path
+from tallyloom.session import cut_lineage, scratch_path
 from tallyloom.sources import views
 
 # The query vector 1, 1/2, 1/3 ... and the words put before the reports.
@@ -291,7 +291,7 @@ def _vectorized(spark: SparkSession, root: str) -> tuple[Vectorizer, DataFrame]:
 @query("chunk_search", """SELECT CAST(range AS INTEGER) AS rank, true AS in_text, true AS nearest,
     CAST(0 AS BIGINT) AS pending_items FROM range(1, 11)""")
 def chunk_search(spark: SparkSession, root: str) -> DataFrame:
-    """The ten chunks closest to a question: vectoriser, its view, top-k, and only then the texts.
+    """The ten chunks closest to a question: vectoriser, its view, top-k, and only then the texts, looked up by id.
 
     The embedding has no SQL, so each answer is checked: its chunk stands in its document,
     and no chunk outside the answer is closer.
@@ -299,10 +299,12 @@ def chunk_search(spark: SparkSession, root: str) -> DataFrame:
     job, documents = _vectorized(spark, root)
     chunks = job.view(documents.select("doc_id"))
     question = embed_query(spark, CHUNK_QUESTION, hashing_provider(64))
-    scored = chunks.select("doc_id", "chunk_seq", "embedding", (F.col("doc_id") * 1_000_000 + F.col("chunk_seq")).alias("id"))
+    # kept in the shared folder: three searches read it
+    scored = cut_lineage(chunks.select("doc_id", "chunk_seq", "embedding", (F.col("doc_id") * 1_000_000 + F.col("chunk_seq")).alias("id")))
     hits = search.nearest(scored, question, 10).select("doc_id", "chunk_seq", "id", "distance")
-    hits = hits.withColumn("rank", F.row_number().over(Window.orderBy("distance", "id")))
-    texts = job.view(documents.select("doc_id", "text")).select("doc_id", "chunk_seq", "chunk", "text")
+    hits = cut_lineage(hits.withColumn("rank", F.row_number().over(Window.orderBy("distance", "id"))))  # ten rows
+    wanted = F.col("doc_id").isin([row[0] for row in hits.select("doc_id").collect()])
+    texts = job.view(documents.select("doc_id", "text").where(wanted)).select("doc_id", "chunk_seq", "chunk", "text")
     worst = search.nearest(scored, question, 10).agg(F.max("distance")).scalar()
     closer = search.nearest(scored, question, 11).where(F.col("distance") < worst).agg(F.count("*")).scalar()
     return hits.join(texts, ["doc_id", "chunk_seq"]).select(

@@ -3,14 +3,18 @@ from __future__ import annotations
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from tallyloom.catalog import search
+from tallyloom.functions import chunks as chunking
 from tallyloom.functions.chunks import split_column, split_text
 from tallyloom.functions.embeddings import batch_provider, embed_column, embed_query, hashing_provider
 from tallyloom.plans.vectorizer import Vectorizer
 from tallyloom.sources.files import Folder
+from tests.conftest import DATA
 
 
 @settings(max_examples=300, deadline=None)
@@ -143,3 +147,20 @@ def test_vectorizer_ids_missing_or_shared(spark, tmp_path):
     assert job.run(data) == 1 and job.run(data) == 0
     assert sorted(r.chunk for r in spark.read.parquet(job.store).where("chunk is not null").collect()) == ["one", "two"]
     assert tuple(job.status(data).first()) == (2, 0)
+
+
+def test_chunks_are_given_on_in_blocks(spark, monkeypatch):
+    """A batch of texts makes many batches of chunks."""
+    df = spark.createDataFrame([(i, "ab " * 40 if i % 3 else None) for i in range(30)], "id int, t string").repartition(1)
+    monkeypatch.setattr(chunking, "BLOCK_CHARS", 50)
+    split = split_column(df, "t", 10, 0)
+    sizes = split.mapInPandas(lambda batches: (pd.DataFrame({"n": [len(b)]}) for b in batches), "n long").collect()
+    assert sum(r.n for r in sizes) == split.count() == 20 * len(split_text("ab " * 40, 10, 0))
+    assert "MapInArrow" in split._jdf.queryExecution().executedPlan().toString()
+    found = sorted(map(tuple, split.where("id = 4").collect()))
+    assert found == [(4, k, chunk) for k, chunk in enumerate(split_text("ab " * 40, 10, 0))]
+
+
+def test_the_texts_of_found_chunks_are_looked_up_by_id(spark):
+    text = search.chunk_search(spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "In(doc_id" in text
