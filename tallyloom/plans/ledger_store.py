@@ -22,10 +22,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyloom.operators.ledger import TX, follow, is_input, is_output, totals_by_receiver
-from tallyloom.session import shared_root
+from tallyloom.session import cut_lineage, shared_root
 from tallyloom.sources.files import Folder
 
 PART_ROWS = 1_000_000
+KEY_HASHES = 1 << 18
 
 
 def _spread(group: DataFrame, parts: str) -> DataFrame:
@@ -33,6 +34,20 @@ def _spread(group: DataFrame, parts: str) -> DataFrame:
     return group.withColumn("part", F.explode(F.sequence(F.lit(0), F.col(parts) - 1))).drop(parts)
 
 
+def _crowded(table: DataFrame, key: list[str], parts: str, part_rows: int) -> DataFrame:
+    """Keys with more than `part_rows` rows, and their number of parts.
+
+    Rows are first counted by a hash of the key, in few sums for each task: a crowded key is in a crowded hash, and only
+    the rows of those are counted by key.
+    """
+    table = table.select(*key, F.pmod(F.xxhash64(*key), F.lit(KEY_HASHES)).cast("int").alias("hashed"))
+    hashes = cut_lineage(table.groupBy("hashed").agg(F.count("*").alias("n")).where(F.col("n") > part_rows).select("hashed"))
+    if hashes.isEmpty():
+        return table.limit(0).select(*key, F.lit(1).alias(parts))
+    counted = table.join(F.broadcast(hashes), "hashed", "left_semi").groupBy(*key).agg(F.ceil(F.count("*") / part_rows).cast("int").alias(parts))
+    return cut_lineage(counted.where(F.col(parts) > 1))
+
+
 @dataclass(frozen=True)
 class LedgerStore:
     """The two tables under `path`; `name` is their prefix in the session's catalog."""
@@ -60,16 +75,17 @@ class LedgerStore:
         known = vinout.where(F.col("txid").isNotNull() & F.col("timestamp").isNotNull())
         known.select(*TX, "type", "address", "value", "coinbase", F.xxhash64(*vinout.columns).alias("row")).write.mode("overwrite").parquet(f"{path}/rows")
         rows = spark.read.parquet(f"{path}/rows")
-        spends = (rows.where(is_input() & F.col("address").isNotNull()).groupBy("address", *TX)
-                  .agg(F.coalesce(F.max("coinbase"), F.lit(False)).alias("coinbase")))
+        (rows.where(is_input() & F.col("address").isNotNull()).groupBy("address", *TX)
+         .agg(F.coalesce(F.max("coinbase"), F.lit(False)).alias("coinbase")).write.mode("overwrite").parquet(f"{path}/spends"))
+        spends = spark.read.parquet(f"{path}/spends")
         receipts = rows.where(is_output()).drop("type")
-        # only what is spread is listed: at most one row in `part_rows`
-        addresses, transactions = (
-            table.groupBy(*key).agg(F.ceil(F.count("*") / part_rows).cast("int").alias(parts)).where(F.col(parts) > 1)
-            for table, key, parts in ((spends, ["address"], "address_parts"), (receipts, TX, "tx_parts")))
+        # only what is spread is listed: at most one row in `part_rows`, so both lists are broadcast and the tables stay where they are
+        addresses, transactions = (_crowded(table, key, parts, part_rows) for table, key, parts in (
+            (spends, ["address"], "address_parts"), (receipts, TX, "tx_parts")))
 
         def with_parts(table: DataFrame) -> DataFrame:
-            return table.join(addresses, "address", "left").join(transactions, TX, "left").na.fill(1, ["address_parts", "tx_parts"])
+            return (table.join(F.broadcast(addresses), "address", "left").join(F.broadcast(transactions), TX, "left")
+                    .na.fill(1, ["address_parts", "tx_parts"]))
 
         def part(of: Column, parts: str) -> Column:
             return F.pmod(of, F.col(parts)).cast("int").alias("part")
@@ -79,7 +95,8 @@ class LedgerStore:
                      "inputs", ["address", "part"], buckets)
         store._write(with_parts(receipts).select(*TX, part(F.col("row"), "tx_parts"), "address", "value", "coinbase", "address_parts"),
                      "outputs", [*TX, "part"], buckets)
-        Folder(spark, f"{path}/rows").delete()
+        for read in ("rows", "spends"):
+            Folder(spark, f"{path}/{read}").delete()
         return store
 
     def _write(self, table: DataFrame, kind: str, keys: list[str], buckets: int) -> None:
@@ -94,7 +111,8 @@ class LedgerStore:
 
     def paid(self, spends: DataFrame) -> DataFrame:
         """The outputs of transactions (txid, timestamp, tx_parts)."""
-        asked = _spread(spends.select(*TX, "tx_parts").distinct(), "tx_parts")
+        # distinct by the columns of the join, which then needs no shuffle of its own
+        asked = _spread(spends.select(*TX, "tx_parts"), "tx_parts").distinct()
         return self.outputs.join(asked, [*TX, "part"], "left_semi").withColumnRenamed("address_parts", "parts")
 
     def spent(self, addresses: DataFrame) -> DataFrame:

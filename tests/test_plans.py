@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.catalog import health, ledger, market, search, sensors
 from tallyloom.operators import patterns
+from tallyloom.plans.ledger_store import LedgerStore
 from tallyloom.plans.timetable import TimeTable
 from tallyloom.sources import views
 from tests.conftest import DATA
@@ -90,3 +91,15 @@ def test_texts_of_a_search_are_looked_up_by_id(spark):
     assert "TakeOrderedAndProject" in first and "text" not in first
     lookup = plan(nearest_with(reports, search.QUERY, ["description"], 10))
     assert "In(doc_id" in lookup and "embedding" not in lookup.replace("embeddings.parquet", "")
+
+
+def test_exchanges_are_sketched_once(spark):
+    text = plan(ledger.exchange_counterparties(spark, DATA))
+    assert "hll" not in text and "lineitem" not in text
+
+
+def test_a_ledger_without_hot_keys_is_shuffled_by_its_buckets_only(spark, no_broadcast, monkeypatch):
+    written = []
+    monkeypatch.setattr(LedgerStore, "_write", lambda self, table, kind, keys, buckets: written.append(plan(table)))
+    LedgerStore.build(views.tx_vinout(spark, DATA), buckets=4)
+    assert len(written) == 2 and not any("Join" in text or "Exchange" in text for text in written)
