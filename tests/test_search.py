@@ -7,8 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.functions.geo import METRES_PER_MILE, bounding_box, cells_of_circle, circle_level, half_width, vincenty
-from tallyloom.functions.scalars import parse_vector
+from tallyloom.functions.geo import EARTH_RADIUS_M, METRES_PER_MILE, arc_m, bounding_box, cells_of_circle, circle_level, half_width, haversine_m, sine_squared, vincenty
+from tallyloom.functions.scalars import parse_vector, round_double
 from tallyloom.functions.vectors import cosine_distance
 from tallyloom.operators import search, stations
 from tallyloom.plans.ivf import IvfIndex
@@ -272,6 +272,49 @@ def test_a_crowded_cell_is_dealt_into_parts(spark, globe, monkeypatch):
     assert "CoalescedShuffleRead" not in text and "AQEShuffleRead coalesced" not in text
 
 
+def test_the_radius_join_shuffles_each_side_once(spark, globe):
+    text = stations.within_radius_of_each(*_frames(spark, *globe), "sphere")._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 2
+
+
+def test_both_sides_of_a_crowded_cell_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(stations, "PART_PAIRS", 400)
+    listed = spark.range(400).select(F.col("id").alias("c"), F.lit(7).cast("long").alias("_cell"))
+    known = spark.range(900).select(F.col("id").alias("p"), F.lit(7).cast("long").alias("_cell"))
+    circles, places = stations.in_blocks(listed, known, [F.col("c")], [F.col("p")])
+    # 20 x 45 blocks: every pair meets once, and a row is copied for each block of the other side, not for each 400 pairs
+    assert circles.count() == 400 * 45 and places.count() == 900 * 20
+    met = circles.join(places, ["_cell", "_part"]).select("c", "p")
+    assert met.count() == met.distinct().count() == 400 * 900
+    assert circles.groupBy("_part").count().agg(F.max("count")).first()[0] < 60
+
+
+def test_the_edge_of_many_circles_is_exact(spark):
+    at = [(10.0, 50.0, 13.001, 52.002), (179.99, -3.0, -179.98, -3.01), (0.0, 89.9, 170.0, 89.95), (-73.79, 40.641, -73.7900001, 40.641), (5.0, 5.0, -174.0, -5.0)]
+    far = spark.createDataFrame(at, "a double, b double, c double, d double").select(
+        (haversine_m(F.col("c"), F.col("d"), F.col("a"), F.col("b")) / METRES_PER_MILE).alias("m")).collect()
+    circles = [(lon, lat, r.m + step) for (lon, lat, _, _), r in zip(at, far) for step in (-1e-8, 1e-8)]
+    got = stations.within_radius_of_each(*_frames(spark, [p[2:] for p in at], circles), "sphere").collect()
+    assert {(r.centre_id, r.id) for r in got if r.centre_id // 2 == r.id} == {(2 * i + 1, i) for i in range(len(at))}
+
+
+def test_series_are_as_exact_as_the_functions(spark):
+    df = spark.range(1, 4000).select((F.pow(F.col("id") / 4000, 3) * 3.1).alias("x"))
+    near = F.sin(F.col("x") / 2) * F.sin(F.col("x") / 2)
+    got = df.select((sine_squared(F.col("x") * F.col("x"), F.col("x")) / F.pow(F.sin("x"), 2) - 1).alias("s"),
+                    (arc_m(near) / (2 * EARTH_RADIUS_M * F.asin(F.sqrt(near))) - 1).alias("a")).agg(F.max(F.abs("s")), F.max(F.abs("a"))).first()
+    assert max(got) < 2e-15
+
+
+def test_rounding_by_arithmetic_is_that_of_decimals(spark):
+    rng = random.Random(3)
+    values = [rng.uniform(-1, 1) * 10.0 ** rng.randint(-9, 18) for _ in range(3000)] + [(n + 0.5) / 1e6 for n in range(-1000, 1000)]
+    values += [(n + 0.5) / 1e6 + s * 1e-12 for n in range(1000) for s in (-1, 1)] + [0.0, -0.0, -1e-9, float("nan"), float("inf"), -float("inf"), 1e300, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = df.select(F.round("v", 6).cast("string").alias("a"), round_double(F.col("v"), 6).cast("string").alias("b"))
+    assert got.where("not a <=> b").collect() == []
+
+
 def test_no_circles_and_no_places(spark, globe):
     places, centres = _frames(spark, *globe)
     assert stations.within_radius_of_each(places, centres.limit(0)).collect() == []
